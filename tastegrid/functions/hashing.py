@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tastegrid.functions.binding import let
+
 EMBEDDING_DIM = 384
 _DIGEST_BYTES = 16
 
@@ -36,10 +38,12 @@ def hash_bucket(c: Column, seed: int, buckets: int = 10_000) -> Column:
 
 def digest_vector(c: Column, dim: int = EMBEDDING_DIM) -> Column:
     """Fallback embedding: the 16 md5 bytes of the lower-cased text, tiled to ``dim``, mapped to [-1, 1]."""
-    digest = F.md5(F.lower(c))
-    one = F.transform(
-        F.sequence(F.lit(0), F.lit(min(dim, _DIGEST_BYTES) - 1)),
-        lambda i: F.conv(F.substring(digest, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / 127.5 - 1.0,
+    one = let(
+        F.md5(F.lower(c)),
+        lambda digest: F.transform(
+            F.sequence(F.lit(0), F.lit(min(dim, _DIGEST_BYTES) - 1)),
+            lambda i: F.conv(F.substring(digest, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / 127.5 - 1.0,
+        ),
     )
     if dim <= _DIGEST_BYTES:
         return one

@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tastegrid.functions.text import blank, word_set, words
+from tastegrid.functions.binding import let, let_all
+from tastegrid.functions.text import blank, keyword_score, words
 
 ROUGE = "struct<rouge_l_precision:double,rouge_l_recall:double,rouge_l_f1:double>"
 
@@ -80,14 +81,18 @@ def answer_facts(context: Column) -> Column:
 
 def factuality_score(response: Column, context: Column) -> Column:
     """1..5 from the share of context facts named in the response; 3 without context."""
-    facts = answer_facts(context)
-    text = F.lower(response)
-    hits = F.size(F.filter(facts, lambda f: (f != "") & F.contains(text, f)))
-    coverage = hits / F.greatest(F.size(facts), F.lit(1))
-    ladder = (
-        F.when(coverage >= 0.4, 5.0).when(coverage >= 0.3, 4.0).when(coverage >= 0.2, 3.0).when(coverage >= 0.1, 2.0)
-    ).otherwise(1.0)
-    return F.when(context.isNull() | (F.size(context) == 0), F.lit(3.0)).otherwise(ladder)
+
+    def coverage(facts: Column, text: Column) -> Column:
+        hits = F.size(F.filter(facts, lambda f: (f != "") & F.contains(text, f)))
+        return hits / F.greatest(F.size(facts), F.lit(1))
+
+    def ladder(share: Column) -> Column:
+        return (
+            F.when(share >= 0.4, 5.0).when(share >= 0.3, 4.0).when(share >= 0.2, 3.0).when(share >= 0.1, 2.0).otherwise(1.0)
+        )
+
+    scored = let(let_all(coverage, facts=answer_facts(context), text=F.lower(response)), ladder)
+    return F.when(context.isNull() | (F.size(context) == 0), F.lit(3.0)).otherwise(scored)
 
 
 # fixed values: markers that raise the helpfulness score
@@ -100,13 +105,13 @@ def _any_marker(text: Column, markers: list[str]) -> Column:
 
 
 def helpfulness_score(response: Column, query: Column) -> Column:
-    n = F.size(words(response))
-    terms = word_set(query)
-    text = F.lower(response)
-    share = F.size(F.filter(terms, lambda t: F.contains(text, t))) / F.greatest(F.size(terms), F.lit(1))
+    length = let(
+        F.size(words(response)), lambda n: F.when((n >= 50) & (n <= 300), 0.5).when(n < 20, -1.0).otherwise(0.0)
+    )
+    share = keyword_score(query, F.lower(response))
     score = (
         F.lit(3.0)
-        + F.when((n >= 50) & (n <= 300), 0.5).when(n < 20, -1.0).otherwise(0.0)
+        + length
         + F.when(_any_marker(response, STRUCTURE_MARKERS), 0.5).otherwise(0.0)
         + F.when(_any_marker(response, CITATION_MARKERS), 0.5).otherwise(0.0)
         + share

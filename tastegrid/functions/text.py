@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tastegrid.functions.binding import let_all
+
 
 def blank(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
@@ -86,18 +88,21 @@ def parse_json_response(c: Column, schema: str) -> Column:
 
 
 def jaccard_words(a: Column, b: Column) -> Column:
-    left, right = word_set(a), word_set(b)
-    union = F.size(F.array_union(left, right))
-    both = F.size(F.array_intersect(left, right))
-    empty = (F.size(left) == 0) | (F.size(right) == 0)
-    return F.when(empty, F.lit(0.0)).otherwise(both / union)
+    def ratio(left: Column, right: Column) -> Column:
+        empty = (F.size(left) == 0) | (F.size(right) == 0)
+        shared, union = F.size(F.array_intersect(left, right)), F.size(F.array_union(left, right))
+        return F.when(empty, F.lit(0.0)).otherwise(shared / union)
+
+    return let_all(ratio, left=word_set(a), right=word_set(b))
 
 
 def keyword_score(query: Column, text: Column) -> Column:
     """Share of distinct query terms found as substrings of ``text`` (lower-cased)."""
-    terms = word_set(query)
-    hit = F.filter(terms, lambda t: F.contains(text, t))
-    return F.size(hit) / F.greatest(F.size(terms), F.lit(1))
+    return let_all(
+        lambda terms, text: F.size(F.filter(terms, lambda t: F.contains(text, t))) / F.greatest(F.size(terms), F.lit(1)),
+        terms=word_set(query),
+        text=text,
+    )
 
 
 def default_prompt(query: Column, context: Column) -> Column:

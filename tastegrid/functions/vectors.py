@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tastegrid.functions.binding import let
+
 
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -17,10 +19,8 @@ def norm(a: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Unit vector; a zero vector stays as it is."""
-    length = norm(a)
-    return F.when(length > 0, F.transform(a, lambda x: x.cast("double") / length)).otherwise(
-        F.transform(a, lambda x: x.cast("double"))
-    )
+    measured = let(a.cast("array<double>"), lambda v: F.struct(v.alias("v"), norm(v).alias("n")))
+    return let(measured, lambda s: F.when(s["n"] > 0, F.transform(s["v"], lambda x: x / s["n"])).otherwise(s["v"]))
 
 
 def cosine_similarity(a: Column, b: Column) -> Column:

@@ -169,7 +169,7 @@ def topk_inner_product(
         partial = d.mapInArrow(lambda batches: search.scan(*shipped.value, batches), search.schema)
     else:
         lefts, rights, _, _ = block_pairs(q, d, query_id, doc_id, LEFT_BLOCK, RIGHT_BLOCK)
-        partial = lefts.groupBy("_lb", "_rb").cogroup(rights.groupBy("_lb", "_rb")).applyInArrow(search.pair, search.schema)
+        partial = lefts.groupBy("_lb", "_rb").cogroup(rights.groupBy("_lb", "_rb")).applyInArrow(lambda a, b: search.pair(a, b), search.schema)
     return _merge(partial, query_id, doc_id, k)
 
 
@@ -211,7 +211,7 @@ def topk_in_cells(
         lefts.drop("_nl", "_nr")
         .groupBy(cell, "_lb", "_rb")
         .cogroup(rights.drop("_nl", "_nr").groupBy(cell, "_lb", "_rb"))
-        .applyInArrow(search.pair, search.schema)
+        .applyInArrow(lambda a, b: search.pair(a, b), search.schema)
     )
     return _merge(partial, query_id, doc_id, k)
 

@@ -1,4 +1,4 @@
 """Loads every query module; import this to fill the registry."""
 
-from tastegrid.plans import ratings, retrieving  # noqa: F401
+from tastegrid.plans import guarding, ratings, retrieving  # noqa: F401
 from tastegrid.plans.registry import ORACLE, QUERIES  # noqa: F401

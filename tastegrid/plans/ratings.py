@@ -356,7 +356,7 @@ def hybrid(spark: SparkSession, d: str, k: int = 10, candidates: DataFrame | Non
     users, items = hash_factors(spark, d)
     vectors, dim = recommending.item_vectors(tables.items(spark, d))
     history = recommending.topn_history(clean(spark, d))
-    top = recommending.hybrid_recommend(users, items, history, vectors, dim, k, candidates=candidates)
+    top = recommending.hybrid_recommend(users, items, history, vectors, dim, k, candidates=candidates, digits=12)
     return top.withColumn("score", F.round("score", 6))
 
 

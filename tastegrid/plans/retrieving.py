@@ -156,9 +156,9 @@ def _(spark, d):
 @query(
     "vector_topk_overfetch",
     f"""WITH {SEARCH}, first AS ({_ranked(15)})
-SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY f.rank) AS rank FROM first f
-  WHERE id IN (SELECT id FROM corpus WHERE year >= 2000) QUALIFY rank <= 5)""",
+SELECT query_id, id, score, CAST(rn AS INTEGER) AS rank FROM (
+  SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY f.rank) AS rn FROM first f
+  WHERE id IN (SELECT id FROM corpus WHERE year >= 2000)) WHERE rn <= 5""",
 )
 def _(spark, d):
     return retrieval.vector_topk(
@@ -222,16 +222,17 @@ def _(spark, d):
 
 @query(
     "hybrid_search",
-    f"""WITH {SEARCH}, pool AS ({_ranked(10)}), scored AS (
-  SELECT query_id, p.id, round(0.7 * score + 0.3 * len(list_filter(terms, lambda t: contains(text, t)))
-    / greatest(len(terms), 1), 6) AS score
+    f"""WITH {SEARCH.replace('6) AS score FROM q', '9) AS score FROM q')}, pool AS ({_ranked(10)}), scored AS (
+  SELECT query_id, p.id, 0.7 * score + 0.3 * len(list_filter(terms, lambda t: contains(text, t)))
+    / greatest(len(terms), 1) AS score
   FROM (SELECT *, list_distinct(list_filter(string_split_regex(lower(query), '\\s+'), lambda w: w <> '')) AS terms FROM pool) p
   JOIN (SELECT id, lower(title || ' ' || genre || ' ' || director || ' ' || plot) AS text FROM corpus) c ON p.id = c.id)
-SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored) WHERE rank <= 5""",
+SELECT query_id, id, round(round(score, 9), 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id) AS rank FROM scored) WHERE rank <= 5""",
 )
 def _(spark, d):
-    return retrieval.hybrid_search(queries(spark, d), corpus(spark, d), 5, digits=6)
+    found = retrieval.hybrid_search(queries(spark, d), corpus(spark, d), 5)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query(
