@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tastegrid.functions.binding import let, let_all
 from tastegrid.functions.text import blank, keyword_score, words
@@ -44,7 +45,7 @@ def _lcs_length(a: np.ndarray, b: np.ndarray) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def lcs_tokens(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for left, right in batches:
         out = []
