@@ -416,7 +416,7 @@ def _(spark, d):
 
 @query(
     "parse_json_response",
-    """SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN source END AS title, CASE WHEN doc_id % 4 < 3 THEN CAST(1990 + doc_id % 35 AS INTEGER) END AS year,
+    """SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN source END AS title, CASE WHEN doc_id % 4 < 3 THEN CAST(1990 + doc_id % 35 AS INTEGER) ELSE 0 END AS year,
   CASE WHEN doc_id % 4 < 3 THEN lang || ',x' END AS genres, doc_id % 4 = 3 AS failed FROM documents""",
 )
 def _(spark, d):
@@ -437,7 +437,7 @@ def _(spark, d):
     )
     parsed = docs.select("doc_id", text.parse_json_response(reply, EXTRACTED_ITEM).alias("p"))
     return parsed.select(
-        "doc_id", "p.title", "p.year", F.array_join("p.genres", ",").alias("genres"), F.col("p.title").isNull().alias("failed")
+        "doc_id", "p.title", F.coalesce("p.year", F.lit(0)).alias("year"), F.array_join("p.genres", ",").alias("genres"), F.col("p.title").isNull().alias("failed")
     )
 
 
