@@ -6,15 +6,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegrid import schemas
+from tastegrid.functions import guards
 from tastegrid.functions.hashing import cache_key
 from tastegrid.functions.vectors import l2_normalize
 from tastegrid.operators import drift, evaluating, factors, retrieval, telemetry
-from tastegrid.operators.prompting import register_strategy
+from tastegrid.operators.prompting import build_prompts, register_strategy
 from tastegrid.operators.cleaning import clean_ratings
 from tastegrid.plans import experimenting
 from tastegrid.plans.guarding import _INPUT_VIOLATIONS, SCREENED
 from tastegrid.plans.ratings import ORDER
-from tastegrid.plans.registry import CONTENT, CORPUS, ITEMS, LOG, RATINGS, query
+from tastegrid.plans.registry import CONTENT, CORPUS, ITEMS, LOG, QA, RATINGS, query
 from tastegrid.sources import readers, stores, tables
 from tastegrid.streaming import jobs
 
@@ -48,8 +50,6 @@ def _(spark, d):
 
 @query("load_csv", "SELECT CAST(o_orderkey AS VARCHAR) AS user_id, CAST(o_custkey AS VARCHAR) AS movie_id, o_totalprice AS rating FROM orders")
 def _(spark, d):
-    from tastegrid import schemas
-
     o = tables.table(spark, d, "orders")
     path = _csv(o.select(F.col("o_orderkey").alias("user_id"), F.col("o_custkey").alias("movie_id"), F.col("o_totalprice").alias("rating")), "orders")
     return readers.load_csv(spark, path, schemas.RATINGS).drop("timestamp")
@@ -95,16 +95,21 @@ def _(spark, d):
     return spark.createDataFrame([(n,)], "n_documents long")
 
 
-@query(
-    "save_load_index",
-    f"WITH {CORPUS} SELECT id, title, CAST(384 AS INTEGER) AS dims, md5({CONTENT}) AS content_md5 FROM corpus",
-)
-def _(spark, d):
+def stored_index(spark: SparkSession, d: str) -> DataFrame:
     path = stores.scratch_folder(spark, "index")
     docs = retrieval.embed_text(tables.with_content(tables.corpus(spark, d)), "content")
     stores.save_index(*retrieval.ivf_build(docs, cells=4, iterations=3), path)
-    stored, _ = stores.load_index(spark, path)
-    return stored.select("id", "title", F.size("vector").alias("dims"), F.md5("content").alias("content_md5"))
+    return stores.load_index(spark, path)[0]
+
+
+@query("save_index", f"WITH {CORPUS} SELECT genre, CAST(count(*) AS BIGINT) AS n FROM corpus GROUP BY genre")
+def _(spark, d):
+    return stored_index(spark, d).groupBy("genre").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("load_index", f"WITH {CORPUS} SELECT id, title, CAST(384 AS INTEGER) AS dims, md5({CONTENT}) AS content_md5 FROM corpus")
+def _(spark, d):
+    return stored_index(spark, d).select("id", "title", F.size("vector").alias("dims"), F.md5("content").alias("content_md5"))
 
 
 @query("ensure_index", f"WITH {ITEMS} SELECT id, title FROM items")
@@ -113,17 +118,28 @@ def _(spark, d):
     return stored.select("id", "title")
 
 
-@query(
-    "save_load_model",
-    "SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(1 AS INTEGER) AS n FROM (SELECT DISTINCT o_custkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey)",
-)
-def _(spark, d):
+def stored_model(spark: SparkSession, d: str) -> tuple[factors.Factors, dict]:
     path = stores.scratch_folder(spark, "model")
     rated = clean_ratings(tables.raw_ratings(spark, d), ORDER)
     model = factors.fit_svd(rated, n_components=4, iterations=1, oversample=4)
     stores.save_model(model, path, "v1", n_components=4)
-    loaded, _ = stores.load_model(spark, [f"{path}-absent", path], required=True)
-    return loaded.user_factors.groupBy("user_id").agg(F.count(F.lit(1)).cast("int").alias("n"))
+    # the first place is empty, the second holds the model
+    return stores.load_model(spark, [f"{path}-absent", path], required=True)
+
+
+@query("save_model", "SELECT 'v1' AS version, '4' AS n_components, CAST(4 AS INTEGER) AS n_values")
+def _(spark, d):
+    model, meta = stored_model(spark, d)
+    row = [(meta["version"], meta["n_components"], len(model.singular_values))]
+    return spark.createDataFrame(row, "version string, n_components string, n_values int")
+
+
+@query(
+    "load_model",
+    "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, CAST(4 AS INTEGER) AS dims FROM orders JOIN lineitem ON l_orderkey = o_orderkey",
+)
+def _(spark, d):
+    return stored_model(spark, d)[0].user_factors.select("user_id", F.size("vector").alias("dims"))
 
 
 @query("write_experiment_results", "SELECT * FROM (VALUES ('zero_shot'), ('few_shot_k3'), ('few_shot_k5'), ('chain_of_thought'), ('meta_prompt')) t(strategy)")
@@ -178,15 +194,13 @@ def _(spark, d):
 )
 def _(spark, d):
     """A strategy added by the caller."""
-    from tastegrid.operators.prompting import build_prompts
-
     register_strategy("plain", lambda q, c: F.concat(F.lit("Q: "), q))
     asked = tables.user_turns(spark, d).withColumn("context", F.array())
     return build_prompts(asked, ["plain"]).select("query_id", "strategy", "prompt")
 
 
 @query(
-    "embedding_model_hook",
+    "embedding_model",
     f"""WITH {CORPUS} SELECT id, round(length(plot) / sqrt(length(plot) * length(plot) + 1.0), 6) AS first FROM corpus""",
 )
 def _(spark, d):
@@ -202,6 +216,44 @@ def _(spark, d):
     return embedded.select("id", F.round(F.col("vector")[0], 6).alias("first"))
 
 
+@query(
+    "toxicity_model",
+    """WITH s AS (SELECT doc_id, length(replace(lower(text), 'e', '')) / greatest(length(text), 1.0) AS v FROM documents)
+SELECT doc_id, 'toxicity' AS max_category, round(1 - v, 6) AS max_score, round(1 - v, 6) < 0.1::DOUBLE AS passed FROM s""",
+)
+def _(spark, d):
+    """A classifier added by the caller: an iterator UDF gives the score, the threshold rule stays here."""
+
+    def share_of_e(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for text in batches:
+            yield pd.Series([t.lower().count("e") / max(len(t), 1) for t in text])
+
+    score = F.pandas_udf(share_of_e, "double")
+    docs = tables.table(spark, d, "documents").select("doc_id", score("text").alias("s"))
+    r = guards.toxicity_scores(F.create_map(F.lit("toxicity"), F.round("s", 6)), threshold=0.1)
+    rows = docs.select("doc_id", r.alias("r")).select("doc_id", "r.max_category", "r.max_score", "r.passed")
+    return rows.withColumn("max_score", F.round("max_score", 6))
+
+
+@query(
+    "context_provider",
+    f"""WITH {CORPUS}, {QA} SELECT query_id, 'zero_shot' AS strategy, CAST(count(*) AS BIGINT) AS n_prompts
+FROM qa JOIN corpus ON id = conv_id GROUP BY query_id""",
+)
+def _(spark, d):
+    """Context chosen by a function of the caller: the document with the number of the conversation."""
+    docs = tables.corpus(spark, d).withColumn("cast", F.lit(""))
+
+    def provider(questions: DataFrame) -> DataFrame:
+        keyed = questions.withColumn("id", F.split_part("query_id", F.lit(":"), F.lit(1)).cast("long"))
+        fields = F.struct("title", "genre", "year", "rating", "director", "cast", "plot")
+        return keyed.join(docs, "id").select("query_id", F.array(fields).alias("context"))
+
+    asked = provider(tables.qa_pairs(spark, d).select("query_id", "query"))
+    prompts = build_prompts(asked.withColumn("query", F.lit("?")), ["zero_shot"])
+    return prompts.groupBy("query_id", "strategy").agg(F.count("prompt").alias("n_prompts"))
+
+
 # ---- streams ----
 def log_stream(spark: SparkSession, d: str) -> DataFrame:
     e = jobs.read_table_stream(spark, f"{d}/events.parquet")
