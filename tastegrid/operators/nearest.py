@@ -21,13 +21,39 @@ QUERY_BATCH_BYTES = 32 << 20
 _DIGITS = 9  # scores are rounded here before ranking, so ties are ties in every layout
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if len(column) == 0:
-        return np.zeros((0, 0))
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(len(column), -1)
+class _Vectors:
+    """Rows of an ``array<double>`` column, or of struct<dense, slots, weights> (a dense head and a sparse tail)."""
+
+    def __init__(self, column: pa.ChunkedArray | pa.Array):
+        if isinstance(column, pa.ChunkedArray):
+            column = column.combine_chunks()
+        self.n = len(column)
+        self.rows = self.slots = np.zeros(0, dtype=np.int64)
+        self.weights = np.zeros(0)
+        dense = column
+        if pa.types.is_struct(column.type):
+            dense, slots, weights = (column.field(i) for i in range(3))
+            self.rows = np.repeat(np.arange(self.n), slots.value_lengths().to_numpy(zero_copy_only=False))
+            self.slots = slots.flatten().to_numpy(zero_copy_only=False)
+            self.weights = weights.flatten().to_numpy(zero_copy_only=False)
+        flat = dense.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+        self.dense = flat.reshape(self.n, -1) if len(flat) else np.zeros((self.n, 0))
+
+    def with_slots(self, shared: np.ndarray) -> np.ndarray:
+        """Dense rows with one more column per shared slot."""
+        if not len(shared):
+            return self.dense
+        tail = np.zeros((self.n, len(shared)))
+        at = np.minimum(np.searchsorted(shared, self.slots), len(shared) - 1)
+        kept = shared[at] == self.slots
+        tail[self.rows[kept], at[kept]] = self.weights[kept]
+        return np.hstack([self.dense, tail])
+
+
+def _aligned(a: _Vectors, b: _Vectors) -> tuple[np.ndarray, np.ndarray]:
+    """Two matrices over the same columns; a sparse slot only one side has cannot add to a product."""
+    shared = np.intersect1d(a.slots, b.slots)
+    return a.with_slots(shared), b.with_slots(shared)
 
 
 def _ids(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -91,8 +117,9 @@ class _Search:
         self.names = [query_id, doc_id, "score"]
         self.k, self.exclude_same, self.min_score, self.digits = k, exclude_same, min_score, digits
 
-    def top(self, qid: np.ndarray, qv: np.ndarray, did: np.ndarray, dv: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def top(self, qid: np.ndarray, queries: _Vectors, did: np.ndarray, docs: _Vectors) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores), one row per query, best first; scores of left-out documents are -inf."""
+        qv, dv = _aligned(queries, docs)
         by_id = np.argsort(did, kind="stable")
         did, dv = did[by_id], dv[by_id]
         ids, values = [], []
@@ -123,16 +150,16 @@ class _Search:
         if left.num_rows == 0 or right.num_rows == 0:
             return self.empty()
         qid = _ids(left[self.names[0]])
-        ids, scores = self.top(qid, _matrix(left["_qv"]), _ids(right[self.names[1]]), _matrix(right["_dv"]))
+        ids, scores = self.top(qid, _Vectors(left["_qv"]), _ids(right[self.names[1]]), _Vectors(right["_dv"]))
         return pa.Table.from_batches([self.rows(qid, ids, scores)])
 
-    def scan(self, qid: np.ndarray, qv: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(self, qid: np.ndarray, qv: _Vectors, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Running best k over all batches of a partition: k rows per query leave it, whatever its size."""
         held: tuple[np.ndarray, np.ndarray] | None = None
         for b in batches:
             if b.num_rows == 0 or len(qid) == 0:
                 continue
-            found = self.top(qid, qv, _ids(b.column(0)), _matrix(b.column(1)))
+            found = self.top(qid, qv, _ids(b.column(0)), _Vectors(b.column(1)))
             if held is not None:
                 ids, scores = np.hstack([held[0], found[0]]), np.hstack([held[1], found[1]])
                 by_id = np.argsort(ids, axis=1, kind="stable")
@@ -165,7 +192,7 @@ def topk_inner_product(
     search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits)
     batch = q.limit(QUERY_BATCH_ROWS + 1).toArrow()
     if batch.num_rows <= QUERY_BATCH_ROWS and batch.nbytes <= QUERY_BATCH_BYTES:
-        shipped = queries.sparkSession.sparkContext.broadcast((_ids(batch[query_id]), _matrix(batch["_qv"])))
+        shipped = queries.sparkSession.sparkContext.broadcast((_ids(batch[query_id]), _Vectors(batch["_qv"])))
         partial = d.mapInArrow(lambda batches: search.scan(*shipped.value, batches), search.schema)
     else:
         lefts, rights, _, _ = block_pairs(q, d, query_id, doc_id, LEFT_BLOCK, RIGHT_BLOCK)
@@ -231,7 +258,8 @@ def score_range(
             lo = hi = np.zeros(0)
             a = a.slice(0, 0)
         else:
-            s = _matrix(a["_lv"]) @ _matrix(b["_rv"]).T
+            lv, rv = _aligned(_Vectors(a["_lv"]), _Vectors(b["_rv"]))
+            s = lv @ rv.T
             lo, hi = s.min(axis=1), s.max(axis=1)
         return pa.table(
             {

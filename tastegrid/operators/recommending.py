@@ -91,43 +91,40 @@ def topk_per_user(user_factors: DataFrame, item_factors: DataFrame, k: int = 10,
     )
 
 
-def item_vectors(items: DataFrame, id_col: str = "id", max_features: int = tfidf.MAX_FEATURES) -> tuple[DataFrame, int]:
-    """Dense TF-IDF vector per item and its length (at most ``max_features``)."""
+def item_weights(items: DataFrame, id_col: str = "id", max_features: int = tfidf.MAX_FEATURES) -> DataFrame:
+    """item_id, slot, weight: TF-IDF of the items with numbered terms, written out once."""
     content = items.select(
         F.col(id_col).alias("item_id"),
         tfidf.item_content(F.col("genre"), F.col("plot"), F.col("title")).alias("content"),
     )
     weights = settle(tfidf.fit_tfidf(content, "content", "item_id", max_features))
     # at most max_features rows, so one window partition is enough to number them
-    slots = weights.select("term").distinct().select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("slot"))
-    slots = settle(slots)
-    dim = slots.count()
-    vectors = tfidf.dense(weights.join(F.broadcast(slots), "term"), "item_id", "slot", dim)
-    # items without any kept term still take part, as zero vectors
-    zero = F.array_repeat(F.lit(0.0), dim)
-    filled = content.select("item_id").join(vectors, "item_id", "left").select(
-        "item_id", F.coalesce("vector", zero).alias("vector")
-    )
-    return filled, dim
+    slots = weights.select("term").distinct().select("term", F.row_number().over(Window.orderBy("term")).alias("slot"))
+    return weights.join(F.broadcast(slots), "term").select("item_id", "slot", "weight")
 
 
-def content_profiles(history: DataFrame, vectors: DataFrame) -> DataFrame:
-    """user_id, vector: mean item vector of the history (divisor = number of history items)."""
-    joined = history.select("user_id", "item_id").join(vectors, "item_id")
-    exploded = joined.select("user_id", F.posexplode("vector").alias("slot", "value")).where("value <> 0")
-    sums = exploded.groupBy("user_id", "slot").agg(F.sum("value").alias("weight"))
+def content_profiles(history: DataFrame, weights: DataFrame) -> DataFrame:
+    """user_id, slot, weight: mean item vector of the history (divisor = number of history items)."""
+    sums = (
+        history.select("user_id", "item_id")
+        .join(weights, "item_id")
+        .groupBy("user_id", "slot")
+        .agg(F.sum("weight").alias("weight"))
+    )
     n = history.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"))
     return sums.join(n, "user_id").select("user_id", "slot", (F.col("weight") / F.col("_n")).alias("weight"))
 
 
-def score_content(history: DataFrame, vectors: DataFrame, dim: int, k: int = 10, digits: int = 9) -> DataFrame:
+def score_content(history: DataFrame, weights: DataFrame, k: int = 10, digits: int = 9) -> DataFrame:
     """user_id, item_id, score, rank: mean cosine to the history, the k best items per user."""
-    profiles = tfidf.dense(content_profiles(history, vectors), "user_id", "slot", dim)
+    profiles = settle(tfidf.sparse(content_profiles(history, weights), "user_id", "slot"))
+    vectors = settle(tfidf.sparse(weights, "item_id", "slot"))
     return topk_inner_product(profiles, vectors, k, "user_id", "item_id", digits=digits)
 
 
-def cosine_pairs(vectors: DataFrame, k: int = 5, digits: int = 9) -> DataFrame:
+def cosine_pairs(weights: DataFrame, k: int = 5, digits: int = 9) -> DataFrame:
     """For each item its k most similar other items by TF-IDF cosine; the n x n matrix is never built."""
+    vectors = settle(tfidf.sparse(weights, "item_id", "slot"))
     left = vectors.withColumnRenamed("item_id", "left_id")
     right = vectors.withColumnRenamed("item_id", "right_id")
     return topk_inner_product(left, right, k, "left_id", "right_id", exclude_same=True, digits=digits)
@@ -137,8 +134,7 @@ def hybrid_recommend(
     user_factors: DataFrame,
     item_factors: DataFrame,
     history: DataFrame,
-    vectors: DataFrame,
-    dim: int,
+    weights: DataFrame,
     k: int = 10,
     collab_weight: float = COLLAB_WEIGHT,
     content_weight: float = CONTENT_WEIGHT,
@@ -147,34 +143,33 @@ def hybrid_recommend(
 ) -> DataFrame:
     """user_id, item_id, score, rank of ``w1 * minmax(collab) + w2 * content``.
 
-    Both parts are inner products, so the weighted sum is one inner product of joined-up vectors; the
-    user's minimum is the same for all items and is taken off at the end. The min-max range is over all
-    items, whatever the candidates.
+    Both parts are inner products, so the weighted sum is one inner product of joined-up vectors (factors
+    as the dense head, TF-IDF as the sparse tail); the user's minimum is the same for all items and is
+    taken off at the end. The min-max range is over all items, whatever the candidates.
     """
     extent = minmax_per_user(user_factors, item_factors)
     spread = F.col("max_score") - F.col("min_score") + RANGE_GUARD
-    profiles = tfidf.dense(content_profiles(history, vectors), "user_id", "slot", dim)
-    zero = F.array_repeat(F.lit(0.0), dim)
+    pairs = F.collect_list(F.struct(F.col("slot").alias("s"), F.col("weight").alias("w"))).alias("_p")
+    profiles = content_profiles(history, weights).groupBy("user_id").agg(pairs)
+    scaled = F.transform("_p", lambda p: F.struct(p["s"].alias("s"), (p["w"] * content_weight).alias("w")))
+    # the factors come in as they are and are scaled by one number per user
     users = (
         user_factors.select("user_id", F.col("vector").alias("_c"))
         .join(extent, "user_id")
-        .join(profiles.select("user_id", F.col("vector").alias("_p")), "user_id", "left")
+        .join(profiles, "user_id", "left")
+        .withColumn("_f", F.lit(collab_weight) / spread)
         .select(
             "user_id",
-            F.concat(
-                F.transform("_c", lambda x: x.cast("double") * collab_weight / spread),
-                F.transform(F.coalesce("_p", zero), lambda x: x * content_weight),
-            ).alias("vector"),
-            (F.col("min_score") * collab_weight / spread).alias("offset"),
+            tfidf.sparse_vector(scaled, F.transform("_c", lambda x: x.cast("double") * F.col("_f"))).alias("vector"),
+            (F.col("min_score") * F.col("_f")).alias("offset"),
         )
     )
     users = settle(users)
     ranked_items = item_factors if candidates is None else candidate_restrict(item_factors, candidates)
-    items = ranked_items.select("item_id", F.col("vector").alias("_c")).join(
-        vectors.select("item_id", F.col("vector").alias("_p")), "item_id", "left"
-    )
-    items = items.select(
-        "item_id", F.concat(F.transform("_c", lambda x: x.cast("double")), F.coalesce("_p", zero)).alias("vector")
+    items = (
+        ranked_items.select("item_id", F.transform("vector", lambda x: x.cast("double")).alias("_c"))
+        .join(weights.groupBy("item_id").agg(pairs), "item_id", "left")
+        .select("item_id", tfidf.sparse_vector(F.col("_p"), F.col("_c")).alias("vector"))
     )
     top = topk_inner_product(users, settle(items), k, "user_id", "item_id", digits=digits)
     return top.join(users.select("user_id", "offset"), "user_id").select(

@@ -119,3 +119,19 @@ def dense(weights: DataFrame, id_col: str, slot: str, dim: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), vectors], names=[id_col, "vector"])
 
     return collected.mapInArrow(scatter, f"`{id_col}` {id_type}, vector array<double>")
+
+
+def sparse(weights: DataFrame, id_col: str, slot: str) -> DataFrame:
+    """(id, slot, weight) rows to one struct<dense, slots, weights> per id, the kernel's sparse vector."""
+    pairs = F.collect_list(F.struct(F.col(slot).cast("int").alias("s"), F.col("weight").alias("w")))
+    return weights.groupBy(id_col).agg(pairs.alias("_p")).select(id_col, sparse_vector(F.col("_p")).alias("vector"))
+
+
+def sparse_vector(pairs: Column, dense: Column | None = None) -> Column:
+    """struct<dense, slots, weights> from an array of (s, w) pairs and an optional dense head."""
+    empty = F.array().cast("array<double>")
+    return F.struct(
+        (empty if dense is None else dense).alias("dense"),
+        F.coalesce(F.transform(pairs, lambda p: p["s"]), F.array().cast("array<int>")).alias("slots"),
+        F.coalesce(F.transform(pairs, lambda p: p["w"]), empty).alias("weights"),
+    )

@@ -69,7 +69,7 @@ def _(spark, d):
     f"SELECT page_id, md5({redacted(guards.PII_LABELS, 'html')}) AS filtered_md5 FROM pages",
 )
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", F.md5(guards.pii_redact(F.col("html"))).alias("filtered_md5"))
+    return tables.texts(spark, d, "pages", "page_id").select("page_id", F.md5(guards.pii_redact(F.col("html"))).alias("filtered_md5"))
 
 
 @query("pii_redact_validator", f"WITH {SCREENED} SELECT doc_id, {redacted(_VALIDATOR_LABELS)} AS sanitized FROM screened")

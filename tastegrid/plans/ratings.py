@@ -278,7 +278,7 @@ def _(spark, d):
 SELECT term, CAST(sum(tf) AS BIGINT) AS total FROM tf GROUP BY term ORDER BY total DESC, term LIMIT 1000""",
 )
 def _(spark, d):
-    return tfidf.vocabulary_topn(tfidf.term_counts(table(spark, d, "documents"), "text", "doc_id"))
+    return tfidf.vocabulary_topn(tfidf.term_counts(tables.texts(spark, d, "documents", "doc_id"), "text", "doc_id"))
 
 
 @query(
@@ -288,7 +288,7 @@ SELECT term, CAST(count(*) AS BIGINT) AS df,
   round(ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + count(*))) + 1.0, 6) AS idf FROM tf GROUP BY term""",
 )
 def _(spark, d):
-    docs = table(spark, d, "documents")
+    docs = tables.texts(spark, d, "documents", "doc_id")
     freq = tfidf.doc_frequency(tfidf.term_counts(docs, "text", "doc_id"), docs.count())
     return freq.withColumn("idf", F.round("idf", 6))
 
@@ -302,8 +302,7 @@ SELECT left_id, right_id, score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY score DESC, right_id) AS rank FROM sim) WHERE rank <= 5""",
 )
 def _(spark, d):
-    vectors, _ = recommending.item_vectors(tables.items(spark, d))
-    return recommending.cosine_pairs(vectors, 5, digits=6)
+    return recommending.cosine_pairs(recommending.item_weights(tables.items(spark, d)), 5, digits=6)
 
 
 _CONTENT = """profile AS (SELECT user_id, term, sum(weight) / any_value(n) AS weight
@@ -321,8 +320,8 @@ SELECT user_id, item_id, score, CAST(rank AS INTEGER) AS rank FROM (
   FROM (SELECT user_id, item_id, round(c, 6) AS score FROM content)) WHERE rank <= 10""",
 )
 def _(spark, d):
-    vectors, dim = recommending.item_vectors(tables.items(spark, d))
-    return recommending.score_content(recommending.topn_history(clean(spark, d)), vectors, dim, 10, digits=6)
+    weights = recommending.item_weights(tables.items(spark, d))
+    return recommending.score_content(recommending.topn_history(clean(spark, d)), weights, 10, digits=6)
 
 
 _HYBRID = f"""WITH {RATINGS}, {ITEMS}, {HISTORY}, {ITEM_TEXT}, {tfidf_sql('itext', 'item_id', 'content')}, {_CONTENT}, {FACTORS},
@@ -354,9 +353,9 @@ def _(spark, d):
 
 def hybrid(spark: SparkSession, d: str, k: int = 10, candidates: DataFrame | None = None) -> DataFrame:
     users, items = hash_factors(spark, d)
-    vectors, dim = recommending.item_vectors(tables.items(spark, d))
+    weights = recommending.item_weights(tables.items(spark, d))
     history = recommending.topn_history(clean(spark, d))
-    top = recommending.hybrid_recommend(users, items, history, vectors, dim, k, candidates=candidates, digits=12)
+    top = recommending.hybrid_recommend(users, items, history, weights, k, candidates=candidates, digits=12)
     return top.withColumn("score", F.round("score", 6))
 
 

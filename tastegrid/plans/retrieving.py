@@ -99,7 +99,7 @@ w AS (SELECT doc_id, bucket, sum(tf * idf) AS w FROM tf JOIN df USING (term) GRO
 SELECT doc_id, bucket, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w""",
 )
 def _(spark, d):
-    weights = tfidf.hashed_vectors(table(spark, d, "documents"), "text", "doc_id")
+    weights = tfidf.hashed_vectors(tables.texts(spark, d, "documents", "doc_id"), "text", "doc_id")
     return weights.withColumn("weight", F.round("weight", 6))
 
 

@@ -14,6 +14,7 @@ def local_session(cpus: str | int = "*", app: str = "tastegrid", **conf) -> Spar
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TASTEGRID_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
@@ -50,3 +51,13 @@ def settle(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give CPU-heavy work on a small table a task per core.
+
+    A table of a few files arrives in a few tasks; only then is it repartitioned (by a unique key, so a
+    replay gives the same layout). A table with at least as many splits as cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

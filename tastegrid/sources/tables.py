@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.functions.text import doc_content
+from tastegrid.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A text table, spread over the cores for regex and token work."""
+    return spread(table(spark, folder, name), key)
+
+
 def instant(c: str) -> Column:
     """NTZ columns become session-zone (UTC) timestamps, the type watermarks and windows need."""
     return F.col(c).cast("timestamp")
@@ -48,7 +54,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 def corpus(spark: SparkSession, folder: str) -> DataFrame:
     """documents (+ labels) as the retrieval corpus; the title is the first word of the text."""
-    d = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    d = texts(spark, folder, "documents", "doc_id").select("doc_id", "text", "lang", "source")
     q = table(spark, folder, "labels").select(F.col("doc_id").alias("_id"), "quality")
     return d.join(q, d["doc_id"] == q["_id"], "left").select(
         F.col("doc_id").alias("id"),
@@ -122,7 +128,7 @@ LEADS = [
 
 def screened_texts(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, text: every document with a lead sentence chosen by its id."""
-    docs = table(spark, folder, "documents")
+    docs = texts(spark, folder, "documents", "doc_id")
     leads = F.array(*[F.lit(x) for x in LEADS])
     lead = F.get(leads, (F.col("doc_id") % len(LEADS)).cast("int"))
     return docs.select("doc_id", F.concat(lead, F.lit("\n"), F.col("text")).alias("text"))
