@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cpus: str | int = "*", app: str = "tastegrid", **conf) -> SparkSession:
     """A local session for tests and the bench; clusters bring their own session."""
+    # one BLAS thread per Python worker: the tasks already fill the cores
+    for name in ("OPENBLAS_NUM_THREADS", "OMP_NUM_THREADS", "MKL_NUM_THREADS"):
+        os.environ.setdefault(name, "1")
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
