@@ -78,10 +78,15 @@ def context_for_query(
 
 
 def search_results(
-    queries: DataFrame, docs: DataFrame, top_k: int = 10, filters: dict | None = None, min_score: float | None = MIN_SCORE
+    queries: DataFrame,
+    docs: DataFrame,
+    top_k: int = 10,
+    filters: dict | None = None,
+    min_score: float | None = MIN_SCORE,
+    digits: int = 9,
 ) -> DataFrame:
     """The search response rows with ``total`` hits per query."""
-    hits = vector_topk(queries, docs, top_k, filters or None, min_score)
+    hits = vector_topk(queries, docs, top_k, filters or None, min_score, digits=digits)
     joined = hits.join(docs.select(*HIT_COLUMNS), "id")
     total = F.count(F.lit(1)).over(Window.partitionBy("query_id"))
     return joined.withColumnRenamed("score", "relevance_score").withColumn("total", total)

@@ -206,8 +206,7 @@ JOIN corpus c ON h.id = c.id""",
 )
 def _(spark, d):
     filters = cleaning.search_filters(genre="EN", year_min=0, year_max=2010)
-    rows = retrieval.search_results(queries(spark, d), corpus(spark, d), 10, filters)
-    return rows.withColumn("relevance_score", F.round("relevance_score", 6))
+    return retrieval.search_results(queries(spark, d), corpus(spark, d), 10, filters, digits=6)
 
 
 @query(
