@@ -31,27 +31,27 @@ def stack_parts(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     return ref.unionByName(current.select(*columns).withColumn("part", F.lit("current")))
 
 
-def _counts(stacked: DataFrame, column: str, as_number: bool) -> DataFrame:
-    """value, n_ref, n_cur: one row per distinct value, no join."""
+def _counts(stacked: DataFrame, column: str, as_number: bool) -> tuple[DataFrame, int, int]:
+    """(value, n_ref, n_cur) with one row per distinct value, and both totals.
+
+    The counts are written out: the figures below read them several times, the table only once.
+    """
     value = F.col(column).cast("double") if as_number else F.col(column).cast("string")
-    return (
+    counts = settle(
         stacked.where(F.col(column).isNotNull())
         .groupBy(value.alias("value"))
         .agg(F.count_if(F.col("part") == "reference").alias("n_ref"), F.count_if(F.col("part") == "current").alias("n_cur"))
     )
-
-
-def _totals(counts: DataFrame) -> tuple[int, int]:
     row = counts.agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c")).first()
-    return row["r"] or 0, row["c"] or 0
+    return counts, row["r"] or 0, row["c"] or 0
 
 
-def merged_cdf(stacked: DataFrame, column: str) -> DataFrame:
-    """value, next_value, f, g: both empirical distribution functions at every distinct value."""
-    counts = _counts(stacked, column, True)
-    n_ref, n_cur = _totals(counts)
+def merged_cdf(stacked: DataFrame, column: str) -> tuple[DataFrame, int, int]:
+    """(value, next_value, f, g): both empirical distribution functions at every distinct value; both totals."""
+    counts, n_ref, n_cur = _counts(stacked, column, True)
     cdf = cumulative(counts, "value", {"n_ref": "c_ref", "n_cur": "c_cur"})
-    return cdf.select("value", "next_value", (F.col("c_ref") / n_ref).alias("f"), (F.col("c_cur") / n_cur).alias("g"))
+    shares = cdf.select("value", "next_value", (F.col("c_ref") / n_ref).alias("f"), (F.col("c_cur") / n_cur).alias("g"))
+    return shares, n_ref, n_cur
 
 
 def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Column:
@@ -67,8 +67,8 @@ def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Co
 
 def drift_numeric_ks(stacked: DataFrame, column: str) -> DataFrame:
     """One row: statistic D and p_value of the two-sample Kolmogorov-Smirnov test."""
-    n_ref, n_cur = _totals(_counts(stacked, column, True))
-    row = merged_cdf(stacked, column).agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("statistic"))
+    cdf, n_ref, n_cur = merged_cdf(stacked, column)
+    row = cdf.agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("statistic"))
     return row.withColumn("p_value", kolmogorov_p(F.col("statistic"), n_ref, n_cur))
 
 
@@ -77,13 +77,12 @@ def drift_numeric_wasserstein(stacked: DataFrame, column: str) -> DataFrame:
     ref = F.when(F.col("part") == "reference", F.col(column).cast("double"))
     spread = stacked.agg(F.stddev_pop(ref).alias("s")).first()["s"] or 0.0
     gap = F.coalesce(F.abs(F.col("f") - F.col("g")) * (F.col("next_value") - F.col("value")), F.lit(0.0))
-    return merged_cdf(stacked, column).agg((F.sum(gap) / max(spread, STD_FLOOR)).alias("statistic"))
+    return merged_cdf(stacked, column)[0].agg((F.sum(gap) / max(spread, STD_FLOOR)).alias("statistic"))
 
 
 def drift_categorical_js(stacked: DataFrame, column: str) -> DataFrame:
     """One row: Jensen-Shannon distance (natural log) of the category shares."""
-    counts = _counts(stacked, column, False)
-    n_ref, n_cur = _totals(counts)
+    counts, n_ref, n_cur = _counts(stacked, column, False)
     shares = counts.select((F.col("n_ref") / n_ref).alias("p"), (F.col("n_cur") / n_cur).alias("q"))
     mid = (F.col("p") + F.col("q")) / 2
 
@@ -135,8 +134,7 @@ def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
 
 def drift_categorical_chi2(stacked: DataFrame, column: str) -> DataFrame:
     """One row: chi-square statistic of the current counts against the scaled reference shares, and p_value."""
-    counts = _counts(stacked, column, False)
-    n_ref, n_cur = _totals(counts)
+    counts, n_ref, n_cur = _counts(stacked, column, False)
     expected = F.col("n_ref") * (n_cur / n_ref)
     part = F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).when(F.col("n_cur") > 0, float("inf")).otherwise(0.0)
     row = counts.agg(F.sum(part).alias("statistic"), (F.count(F.lit(1)) - 1).alias("df"))

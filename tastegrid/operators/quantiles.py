@@ -12,6 +12,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegrid.session import settle
+
 BUCKETS = 64
 
 
@@ -60,11 +62,11 @@ def cumulative(counted: DataFrame, value: str, sums: dict[str, str], buckets: in
 
 def exact_percentiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
     """q, value rows by linear interpolation between the closest ranks, exact at any size."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(
-        F.count(F.lit(1)).alias("n")
+    counted = settle(
+        df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
     )
+    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 0
     cdf = cumulative(counted, "v", {"n": "cum"})
-    total = df.where(F.col(value).isNotNull()).count()
     ranks = F.array(
         *[
             F.struct(

@@ -92,9 +92,24 @@ def search_results(
     return joined.withColumnRenamed("score", "relevance_score").withColumn("total", total)
 
 
-def similar_items(vectors: DataFrame, k: int = 5, id_col: str = "id", digits: int = 9) -> DataFrame:
-    """id, similar_id, score, rank for every item, itself left out by id."""
+def similar_items(
+    vectors: DataFrame,
+    k: int = 5,
+    id_col: str = "id",
+    digits: int = 9,
+    index: tuple[DataFrame, DataFrame] | None = None,
+    nprobe: int = 1,
+) -> DataFrame:
+    """id, similar_id, score, rank for every item, itself left out by id.
+
+    Without an index every item is compared with every other, exact and quadratic. With (documents,
+    centroids) of ``ivf_build`` an item meets only its nearest cells, the way for large item tables.
+    """
     left = vectors.select(F.col(id_col).alias("id"), "vector")
+    if index is not None:
+        stored, centroids = index
+        right = stored.select(F.col(id_col).alias("similar_id"), "vector", "centroid")
+        return ivf_search(left, right, centroids, k, nprobe, "id", "similar_id", exclude_same=True)
     right = vectors.select(F.col(id_col).alias("similar_id"), "vector")
     return topk_inner_product(left, right, k, "id", "similar_id", exclude_same=True, digits=digits)
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # fixed values: English function words left out of the vocabulary (own list)
@@ -79,8 +79,9 @@ def fit_tfidf(
         .select("term", (F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
     )
     raw = counts.join(F.broadcast(vocabulary), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("_w"))
-    lengths = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
-    return raw.join(lengths, id_col).select(id_col, "term", (F.col("_w") / F.col("_len")).alias("weight"))
+    # a window group is one document's kept terms: at most max_features rows
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    return raw.select(id_col, "term", (F.col("_w") / length).alias("weight"))
 
 
 def hashed_vectors(docs: DataFrame, text: str, id_col: str = "id", dim: int = 384) -> DataFrame:
@@ -97,8 +98,9 @@ def hashed_vectors(docs: DataFrame, text: str, id_col: str = "id", dim: int = 38
         .groupBy(id_col, "bucket")
         .agg(F.sum(F.col("tf") * F.col("idf")).alias("_w"))
     )
-    lengths = raw.groupBy(id_col).agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_len"))
-    return raw.join(lengths, id_col).select(id_col, "bucket", (F.col("_w") / F.col("_len")).alias("weight"))
+    # a window group is one document's buckets: at most dim rows
+    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
+    return raw.select(id_col, "bucket", (F.col("_w") / length).alias("weight"))
 
 
 def dense(weights: DataFrame, id_col: str, slot: str, dim: int) -> DataFrame:

@@ -91,6 +91,13 @@ def test_all_cells_probed_is_exact(spark):
     assert indexed.count() == 120
 
 
+def test_similar_items_through_cells(spark):
+    d = retrieval.ivf_build(vectors(spark, 90, "id", 8), cells=3)
+    exact = retrieval.similar_items(d[0], 4).withColumnRenamed("id", "query_id").withColumnRenamed("similar_id", "id")
+    probed = retrieval.similar_items(d[0], 4, index=d, nprobe=3).withColumnRenamed("id", "query_id").withColumnRenamed("similar_id", "id")
+    assert found(exact) == found(probed)
+
+
 def test_cell_count():
     assert [retrieval.cell_count(n) for n in (10, 10_000, 10_100, 1_000_000)] == [1, 1, 100, 100]
 
