@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegrid.functions.binding import let
+
 # fixed values: English function words left out of the vocabulary (own list)
 STOP_WORDS = (
     "a about above after again against all also am an and any are as at be because been before being below between "
@@ -28,13 +30,15 @@ def tokens(text: Column) -> Column:
     return F.filter(found, lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
 
 
-def _with_pairs(t: Column) -> Column:
+def _with_pairs(found: Column) -> Column:
     """Tokens and neighbouring pairs."""
-    shorter = F.greatest(F.size(t) - 1, F.lit(0))
-    pairs = F.zip_with(
-        F.slice(t, F.lit(1), shorter), F.slice(t, F.lit(2), shorter), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
-    return F.concat(t, pairs)
+
+    def joined(t: Column) -> Column:
+        shorter = F.greatest(F.size(t) - 1, F.lit(0))
+        left, right = F.slice(t, F.lit(1), shorter), F.slice(t, F.lit(2), shorter)
+        return F.concat(t, F.zip_with(left, right, lambda a, b: F.concat(a, F.lit(" "), b)))
+
+    return let(found, joined)
 
 
 def item_content(genre: Column, plot: Column, title: Column) -> Column:
@@ -45,8 +49,7 @@ def item_content(genre: Column, plot: Column, title: Column) -> Column:
 
 def term_counts(docs: DataFrame, text: str, id_col: str = "id") -> DataFrame:
     """id, term, tf. Partial counts run before the shuffle."""
-    with_tokens = docs.select(id_col, tokens(F.col(text)).alias("_t"))
-    exploded = with_tokens.select(id_col, F.explode(_with_pairs(F.col("_t"))).alias("term"))
+    exploded = docs.select(id_col, F.explode(_with_pairs(tokens(F.col(text)))).alias("term"))
     return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
