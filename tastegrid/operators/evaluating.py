@@ -11,6 +11,7 @@ from tastegrid.functions import guards, scoring
 from tastegrid.functions.text import jaccard_words, query_preview
 from tastegrid.operators.prompting import build_prompts
 
+# fixed value: the reply where nothing was found
 NO_ANSWER = "I couldn't find relevant movie information for your question. Please try a different query."
 SCORES = [
     "rouge_l_precision", "rouge_l_recall", "rouge_l_f1", "embedding_similarity",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.functions import hashing, scoring, text
-from tastegrid.functions.guards import context_facts  # noqa: F401
 from tastegrid.operators import abtest, caching, cleaning, evaluating, prompting
 from tastegrid.operators.prompting import NUMBER, TEMPLATES, Part
 from tastegrid.plans.guarding import ANSWERED, lit
