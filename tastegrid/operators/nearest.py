@@ -192,8 +192,13 @@ def topk_inner_product(
     search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits)
     batch = q.limit(QUERY_BATCH_ROWS + 1).toArrow()
     if batch.num_rows <= QUERY_BATCH_ROWS and batch.nbytes <= QUERY_BATCH_BYTES:
-        shipped = queries.sparkSession.sparkContext.broadcast((_ids(batch[query_id]), _Vectors(batch["_qv"])))
-        partial = d.mapInArrow(lambda batches: search.scan(*shipped.value, batches), search.schema)
+        shipped = queries.sparkSession.sparkContext.broadcast(batch)
+
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked = shipped.value
+            return search.scan(_ids(asked[query_id]), _Vectors(asked["_qv"]), batches)
+
+        partial = d.mapInArrow(scan, search.schema)
     else:
         lefts, rights, _, _ = block_pairs(q, d, query_id, doc_id, LEFT_BLOCK, RIGHT_BLOCK)
         partial = lefts.groupBy("_lb", "_rb").cogroup(rights.groupBy("_lb", "_rb")).applyInArrow(lambda a, b: search.pair(a, b), search.schema)

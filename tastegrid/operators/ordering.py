@@ -64,9 +64,10 @@ def running_totals(
     local = rows
     for c in values:
         local = local.withColumn(f"_l_{c}", F.sum(c).over(inside))
-    same = F.col("_bucket") == F.col("_ob")
+    # null-safe, so rows without a key stay
+    same = F.col("_bucket").eqNullSafe(F.col("_ob"))
     for k in keys:
-        same = same & (F.col(k) == F.col(f"_k_{k}"))
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     joined = local.join(offsets, same, "inner")
     for c, out in values.items():
         joined = joined.withColumn(out, F.col(f"_l_{c}") + F.col(f"_o_{c}"))

@@ -99,7 +99,9 @@ def quiet_stretches(log: DataFrame, gap_seconds: int = DAY) -> DataFrame:
     silent = F.col("_a") - F.lag("_b").over(w) > gap_seconds * _MICROS
     cut = days.withColumn("_new", F.coalesce(silent, F.lit(False)).cast("int"))
     cut = cut.withColumn("stretch", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return log.withColumn("_day", day).join(cut.select("key", "_day", "stretch"), ["key", "_day"]).drop("_day")
+    marks = cut.select(F.col("key").alias("_k"), F.col("_day").alias("_d"), "stretch")
+    same = F.col("key").eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d"))  # rows without a key stay
+    return log.withColumn("_day", day).join(marks, same).drop("_day", "_k", "_d")
 
 
 def admission_control(log: DataFrame, rpm: int = RPM, tpm: int = TPM, daily: int = DAILY) -> DataFrame:

@@ -18,7 +18,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} is registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            # the tables carry UTC wall-clock times; windows are cut in the session zone
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, folder)
+
+        run.__module__, run.__doc__ = fn.__module__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -129,3 +129,11 @@ def test_sliding_equals_direct(spark):
     got = {(r["window_end"], r["key"]): r["increase"] for r in telemetry.sliding_increase(df, "5 minutes", "1 minute", ["key"]).collect()}
     for (end, key), n in got.items():
         assert n == sum(r[0] == key and end - dt.timedelta(minutes=5) <= r[2] < end for r in rows)
+
+
+def test_rows_without_a_key_stay(spark):
+    rows = [(None, 1, T0, 5), (None, 2, T0 + dt.timedelta(seconds=5), 7), ("a", 3, T0, 1)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    used = {r["event_id"]: r["tokens_minute"] for r in quota.trailing_usage(df).collect()}
+    assert used == {1: 0, 2: 5, 3: 0}
+    assert quota.admission_control(df).count() == 3
