@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm import fingerprints, lines, mixing, sharding
+from tastegrid.llm import decontaminate, fingerprints, jaccard, language, lines, mixing, quality, sharding, tokens, warc
+from tastegrid.session import settle
+
+#: Where the public vocabularies are; the files are read on the driver.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +29,16 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose five-word shingle sets are 75 % alike."""
+    return jaccard.near_duplicates(_documents(spark, folder))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents."""
+    return tokens.count_tokens(_documents(spark, folder), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts."""
     return fingerprints.fingerprint_report(_documents(spark, folder))
@@ -34,6 +49,27 @@ def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(_documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of all documents, learned from those outside the held-out quarter."""
+    rows = _documents(spark, folder).select("doc_id", "text", "lang", (quality.remainder(F.col("doc_id"), 4) == 2).alias("held_out"))
+    model = language.train(rows.where("not held_out"), language.vocabulary_pieces(f"{TOKENIZERS}/piece_bpe_32k.model"))
+    return language.predict(rows, model)
+
+
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents, learned from labels outside the held-out third."""
+    featured = settle(quality.with_features(_documents(spark, folder)))
+    held_out = quality.remainder(F.col("doc_id"), 3) == 1
+    model = quality.train(featured.where(~held_out), spark.read.parquet(f"{folder}/labels.parquet"))
+    return quality.score_features(featured, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written to archives and read back."""
+    archives = warc.write_archives(spark.read.parquet(f"{folder}/pages.parquet"))
+    return warc.read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """All documents without lines that stand on ten sources or more."""
     clean = lines.remove_boilerplate(_documents(spark, folder))
@@ -42,14 +78,36 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """All pairs of a document and a benchmark item whose words it covers by half or more."""
+    return decontaminate.contaminated_pairs(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_token_counts": op3_token_counts,
     "op4_fingerprints": op4_fingerprints,
     "op5_mixing": op5_mixing,
+    "op6_language": op6_language,
+    "op7_quality": op7_quality,
+    "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_warc": r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, row_number() OVER (PARTITION BY page_id, coalesce(html, '')) AS copy FROM pages),
+h AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS s, copy, max(page_id) OVER (PARTITION BY body) AS top FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(s, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31) + 1, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id = top AND copy = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top AND copy = 1 THEN NULL ELSE top END AS refers_to
+FROM h""",
     "op5_mixing": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,

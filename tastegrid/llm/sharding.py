@@ -15,10 +15,10 @@ gives an empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegrid.llm.layout import digest
+from tastegrid.llm.layout import digest, keyed
 from tastegrid.operators.ordering import global_position, running_totals
 from tastegrid.session import settle
 
@@ -95,3 +95,17 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, r
     placed = nodes.join(propagate(nodes, links, shards, rounds), "node")
     slots = running_totals(placed.withColumn("_one", F.lit(1)), ["shard"], F.floor(F.col("node") / run), ["node"], {"_one": "_rank"})
     return slots.withColumn("slot", (F.col("_rank") - 1).cast("long")).drop("_rank", "_one")
+
+
+def with_shards(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+    """``docs`` with ``shard`` and ``slot`` added (columns of these names are replaced)."""
+    placed = assign_shards(docs, shards, rounds)
+    own = Window.partitionBy("doc_id", "_digest").orderBy("node")
+    numbered = placed.select("doc_id", "_digest", "shard", "slot", F.row_number().over(own).alias("_copy"))
+    named = numbered.select(
+        F.col("doc_id").alias("_id"), F.col("_digest").alias("_d"), F.col("_copy").alias("_c"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot")
+    )
+    rows = keyed(docs)
+    on = rows["doc_id"].eqNullSafe(named["_id"]) & rows["_digest"].eqNullSafe(named["_d"]) & (rows["_copy"] == named["_c"])
+    kept = [rows[c] for c in docs.columns if c not in ("shard", "slot")]
+    return rows.join(named, on).select(*kept, F.col("_shard").alias("shard"), F.col("_slot").alias("slot"))

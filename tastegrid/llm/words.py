@@ -64,15 +64,30 @@ def groups(bounds: np.ndarray, limit: int = GROUP_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def word_hashes(raw: np.ndarray, bounds: np.ndarray, fold: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def letters_and_digits() -> np.ndarray:
+    """Bytes inside a word where punctuation parts words too: ASCII letters and digits, and all of non-ASCII."""
+    inside = np.zeros(256, dtype=bool)
+    inside[48:58] = inside[65:91] = inside[97:123] = inside[128:] = True
+    return inside
+
+
+def not_space() -> np.ndarray:
+    """Bytes inside a word where only white space parts words."""
+    inside = np.ones(256, dtype=bool)
+    inside[list(SPACES)] = False
+    return inside
+
+
+def word_hashes(
+    raw: np.ndarray, bounds: np.ndarray, fold: bool, inside: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash per word, words before each text, start byte of each word) of the texts at ``bounds``."""
+    inside = not_space() if inside is None else inside
     base, end = int(bounds[0]), int(bounds[-1])
     text = raw[base:end]
     ends = bounds - base
     if not len(text):
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), np.zeros(0, np.int64)
-    inside = np.ones(256, dtype=bool)
-    inside[list(SPACES)] = False
     letter = inside[text]
     begins = letter.copy()
     begins[1:] &= ~letter[:-1]
@@ -82,12 +97,14 @@ def word_hashes(raw: np.ndarray, bounds: np.ndarray, fold: bool) -> tuple[np.nda
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), starts
     lengths = np.diff(starts, append=len(text))
-    place = np.arange(len(text)) - np.repeat(starts, lengths).astype(np.int64) if starts[0] == 0 else None
-    if place is None:
-        head = int(starts[0])
-        place = np.concatenate([np.zeros(head, np.int64), np.arange(head, len(text)) - np.repeat(starts, lengths)])
+    head = int(starts[0])
+    place = np.arange(head, len(text), dtype=np.int32) - np.repeat(starts.astype(np.int32), lengths)
     powers = mix(np.arange(int(lengths.max()) + 1, dtype=np.uint64)) | np.uint64(1)
-    sums = np.add.reduceat(byte_values(fold)[text] * powers[place], starts)
+    values = byte_values(fold)
+    values[~inside] = 0
+    weighed = values[text[head:]]
+    weighed *= powers[place]
+    sums = np.add.reduceat(weighed, starts - head)
     before = np.searchsorted(starts, ends)
     return mix(sums), before, starts
 
@@ -126,10 +143,10 @@ def shingle_hashes(hashes: np.ndarray, before: np.ndarray, width: int) -> tuple[
 
 def distinct_per_text(values: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(values sorted and distinct inside each text, values before each text)."""
-    owner = np.repeat(np.arange(len(after) - 1), np.diff(after))
-    order = np.lexsort((values, owner))
-    values, owner = values[order], owner[order]
+    values = values.copy()
+    for first, last in zip(after[:-1].tolist(), after[1:].tolist()):
+        values[first:last].sort()
     keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
-    values, owner = values[keep], owner[keep]
-    return values, np.searchsorted(owner, np.arange(len(after)))
+    keep[1:] = values[1:] != values[:-1]
+    keep[after[:-1][np.diff(after) > 0]] = True
+    return values[keep], np.concatenate([[0], np.cumsum(keep)])[after]
