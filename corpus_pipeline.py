@@ -10,6 +10,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tastegrid.llm import decontaminate, jaccard, mixing, quality, sharding
 from tastegrid.llm.queries import ORACLE as OPERATOR_ORACLE
@@ -37,7 +38,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their target weights: documents go, stay, repeat, or are cut at a block's end."""
-    return mixing.apply_mix(docs, mixing.mix_sources(docs))
+    mixed = mixing.apply_mix(docs, mixing.mix_sources(docs))
+    return mixed.withColumn("n_chars", F.length("text").cast("long"))  # a cut text has fewer
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -436,7 +436,9 @@ def similarity_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
         new = settle(_links(pairs, records, percent))
         links = links.union(new)
         labels = components(labels, new)
-    documents = rows.join(classes.select("k1", "k2", "cls", "rep"), ["k1", "k2"], "left")
+    named = classes.select("k1", "k2", "cls", "rep").withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
+    own = (rows["k1"] == named["_k1"]) & (rows["k2"] == named["_k2"]) & rows["doc_id"].isNotNull()
+    documents = rows.join(named, own, "left").drop("_k1", "_k2")
     return documents, labels, links.distinct()
 
 
