@@ -103,9 +103,10 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
 
     White space inside the cut text is kept. Only the document at the end of a source's run is cut.
     """
-    rows = attach(keyed(docs, "source"), mixed, ["doc_id", "source", "_digest", "_copy"], ["size", "taken"])
-    whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size"))).otherwise(0)
-    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
+    named = mixed.select("doc_id", "source", "_digest", "_copy", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    rows = attach(keyed(docs, "source"), named, ["doc_id", "source", "_digest", "_copy"], ["_size", "_taken"])
+    whole = F.when(F.col("_size") > 0, F.floor(F.col("_taken") / F.col("_size"))).otherwise(0)
+    rest = F.when(F.col("_size") > 0, F.col("_taken") % F.col("_size")).otherwise(0)
     pieces = F.regexp_extract_all(F.col("text"), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.when(rest > 0, F.array_join(F.slice(pieces, 1, F.greatest(rest, F.lit(1)).cast("int")), ""))
     texts = F.array_compact(F.concat(F.array_repeat(F.col("text"), whole.cast("int")), F.array(cut)))
