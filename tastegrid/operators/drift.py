@@ -46,16 +46,23 @@ def _counts(stacked: DataFrame, column: str, as_number: bool) -> tuple[DataFrame
     return counts, row["r"] or 0, row["c"] or 0
 
 
+def _share(count: str, total: int) -> Column:
+    """A count over its total; null where a side has no values."""
+    return F.try_divide(F.col(count).cast("double"), F.lit(float(total)))
+
+
 def merged_cdf(stacked: DataFrame, column: str) -> tuple[DataFrame, int, int]:
     """(value, next_value, f, g): both empirical distribution functions at every distinct value; both totals."""
     counts, n_ref, n_cur = _counts(stacked, column, True)
     cdf = cumulative(counts, "value", {"n_ref": "c_ref", "n_cur": "c_cur"})
-    shares = cdf.select("value", "next_value", (F.col("c_ref") / n_ref).alias("f"), (F.col("c_cur") / n_cur).alias("g"))
+    shares = cdf.select("value", "next_value", _share("c_ref", n_ref).alias("f"), _share("c_cur", n_cur).alias("g"))
     return shares, n_ref, n_cur
 
 
 def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Column:
-    """Two-sided p-value from the Kolmogorov series with a fixed number of terms."""
+    """Two-sided p-value from the Kolmogorov series with a fixed number of terms; null for an empty side."""
+    if not n_ref or not n_cur:
+        return F.lit(None).cast("double")
     lam = d * math.sqrt(n_ref * n_cur / (n_ref + n_cur))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
@@ -66,31 +73,34 @@ def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Co
 
 
 def drift_numeric_ks(stacked: DataFrame, column: str) -> DataFrame:
-    """One row: statistic D and p_value of the two-sample Kolmogorov-Smirnov test."""
+    """One row: statistic D and p_value of the two-sample Kolmogorov-Smirnov test; nulls where a side is empty."""
     cdf, n_ref, n_cur = merged_cdf(stacked, column)
     row = cdf.agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("statistic"))
     return row.withColumn("p_value", kolmogorov_p(F.col("statistic"), n_ref, n_cur))
 
 
 def drift_numeric_wasserstein(stacked: DataFrame, column: str) -> DataFrame:
-    """One row: Wasserstein distance divided by the reference standard deviation."""
+    """One row: Wasserstein distance divided by the reference standard deviation; null where a side is empty."""
     ref = F.when(F.col("part") == "reference", F.col(column).cast("double"))
     spread = stacked.agg(F.stddev_pop(ref).alias("s")).first()["s"] or 0.0
-    gap = F.coalesce(F.abs(F.col("f") - F.col("g")) * (F.col("next_value") - F.col("value")), F.lit(0.0))
-    return merged_cdf(stacked, column)[0].agg((F.sum(gap) / max(spread, STD_FLOOR)).alias("statistic"))
+    gap = F.abs(F.col("f") - F.col("g")) * (F.col("next_value") - F.col("value"))
+    cdf, n_ref, n_cur = merged_cdf(stacked, column)
+    total = F.coalesce(F.sum(gap), F.lit(0.0)) if n_ref and n_cur else F.lit(None).cast("double")
+    return cdf.agg((total / max(spread, STD_FLOOR)).alias("statistic"))
 
 
 def drift_categorical_js(stacked: DataFrame, column: str) -> DataFrame:
-    """One row: Jensen-Shannon distance (natural log) of the category shares."""
+    """One row: Jensen-Shannon distance (natural log) of the category shares; null where a side is empty."""
     counts, n_ref, n_cur = _counts(stacked, column, False)
-    shares = counts.select((F.col("n_ref") / n_ref).alias("p"), (F.col("n_cur") / n_cur).alias("q"))
+    shares = counts.select(_share("n_ref", n_ref).alias("p"), _share("n_cur", n_cur).alias("q"))
     mid = (F.col("p") + F.col("q")) / 2
 
     def kl(x: str) -> Column:
         return F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / mid)).otherwise(F.lit(0.0))
 
     divergence = F.sum(kl("p") + kl("q")) / 2
-    return shares.agg(F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("statistic"))
+    distance = F.sqrt(F.greatest(divergence, F.lit(0.0))) if n_ref and n_cur else F.lit(None).cast("double")
+    return shares.agg(F.sum("p").alias("_p"), distance.alias("statistic")).select("statistic")
 
 
 def _chi2_tail(x: float, df: int) -> float:
@@ -133,8 +143,14 @@ def chi2_p(x: pd.Series, df: pd.Series) -> pd.Series:
 
 
 def drift_categorical_chi2(stacked: DataFrame, column: str) -> DataFrame:
-    """One row: chi-square statistic of the current counts against the scaled reference shares, and p_value."""
+    """One row: chi-square statistic of the current counts against the scaled reference shares, and p_value.
+
+    Nulls where a side is empty.
+    """
     counts, n_ref, n_cur = _counts(stacked, column, False)
+    if not n_ref or not n_cur:
+        none = F.lit(None).cast("double")
+        return counts.agg((F.count(F.lit(1)) - 1).alias("df")).select(none.alias("statistic"), "df", none.alias("p_value"))
     expected = F.col("n_ref") * (n_cur / n_ref)
     part = F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).when(F.col("n_cur") > 0, float("inf")).otherwise(0.0)
     row = counts.agg(F.sum(part).alias("statistic"), (F.count(F.lit(1)) - 1).alias("df"))
@@ -146,10 +162,17 @@ def drift_level(score: Column) -> Column:
     return F.when(score > HIGH_LEVEL, "HIGH").when(score > MODERATE_LEVEL, "MODERATE").otherwise("LOW")
 
 
-def column_drift(stacked: DataFrame, column: str, small: bool) -> DataFrame:
-    """column_name, method, score, drifted: the test that fits the type and the size of the reference."""
+def column_drift(stacked: DataFrame, column: str, measure: str = "distance") -> DataFrame:
+    """column_name, method, score, drifted by the ``measure`` that the caller names.
+
+    "distance": Wasserstein or Jensen-Shannon, drifted at DISTANCE_THRESHOLD; "test": Kolmogorov-Smirnov or
+    chi-square, drifted below P_THRESHOLD (the published rule takes it for references of SMALL_REFERENCE rows at
+    most). An empty side has a null score and has not drifted.
+    """
     numeric = isinstance(stacked.schema[column].dataType, NumericType)
-    if small:
+    if measure not in ("distance", "test"):
+        raise ValueError(f"unknown measure: {measure}")
+    if measure == "test":
         row = (drift_numeric_ks if numeric else drift_categorical_chi2)(stacked, column)
         score, drifted = F.col("p_value"), F.col("p_value") < P_THRESHOLD
         method = "ks" if numeric else "chi2"
@@ -158,26 +181,24 @@ def column_drift(stacked: DataFrame, column: str, small: bool) -> DataFrame:
         score, drifted = F.col("statistic"), F.col("statistic") >= DISTANCE_THRESHOLD
         method = "wasserstein" if numeric else "jensen_shannon"
     return row.select(
-        F.lit(column).alias("column_name"), F.lit(method).alias("method"), score.alias("score"), drifted.alias("drifted")
+        F.lit(column).alias("column_name"), F.lit(method).alias("method"), score.alias("score"), F.coalesce(drifted, F.lit(False)).alias("drifted")
     )
 
 
-def drift_table(stacked: DataFrame, columns: Sequence[str], small: bool | None = None) -> DataFrame:
+def drift_table(stacked: DataFrame, columns: Sequence[str], measure: str = "distance") -> DataFrame:
     """One row per column."""
     stacked = settle(stacked.select(*columns, "part"))
-    if small is None:
-        small = stacked.where("part = 'reference'").count() <= SMALL_REFERENCE
-    out = column_drift(stacked, columns[0], small)
+    out = column_drift(stacked, columns[0], measure)
     for column in columns[1:]:
-        out = out.unionByName(column_drift(stacked, column, small))
+        out = out.unionByName(column_drift(stacked, column, measure))
     return out
 
 
-def target_drift(stacked: DataFrame, column: str = "rating", small: bool | None = None) -> DataFrame:
+def target_drift(stacked: DataFrame, column: str = "rating", measure: str = "distance") -> DataFrame:
     """The drift test on the target column; no row when the table has none."""
     if column not in stacked.columns:
         return stacked.sparkSession.createDataFrame([], "column_name string, method string, score double, drifted boolean")
-    return drift_table(stacked, [column], small)
+    return drift_table(stacked, [column], measure)
 
 
 def dataset_drift(per_column: DataFrame, share: float = DRIFT_SHARE) -> DataFrame:
@@ -190,10 +211,10 @@ def dataset_drift(per_column: DataFrame, share: float = DRIFT_SHARE) -> DataFram
     return row.withColumn("dataset_drift", F.col("drift_share") >= share).withColumn("level", drift_level(F.col("drift_share")))
 
 
-def corpus_drift(reference: DataFrame, current: DataFrame, small: bool | None = None) -> DataFrame:
+def corpus_drift(reference: DataFrame, current: DataFrame, measure: str = "distance") -> DataFrame:
     """Drift of genre, year, rating and director (those that exist)."""
     columns = [c for c in ("genre", "year", "rating", "director") if c in reference.columns]
-    return drift_table(stack_parts(reference, current, columns), columns, small)
+    return drift_table(stack_parts(reference, current, columns), columns, measure)
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:

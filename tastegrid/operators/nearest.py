@@ -16,11 +16,24 @@ from pyspark.sql import functions as F
 
 LEFT_BLOCK = 2048
 RIGHT_BLOCK = 8192
-QUERY_BATCH_ROWS = 4096  # a query batch up to this size travels to the scan, beyond it blocks are paired
+QUERY_BATCH_ROWS = 4096  # a query batch up to this size may travel to the scan
 QUERY_BATCH_BYTES = 32 << 20
 _DIGITS = 9  # scores are rounded here before ranking, so ties are ties in every layout
 
 
+# fixed values: id types and what they are in Arrow
+_ARROW = {
+    "bigint": pa.int64(), "int": pa.int32(), "smallint": pa.int16(), "tinyint": pa.int8(), "string": pa.string(),
+}
+
+
+def arrow_type(spark_type: str) -> pa.DataType:
+    """The Arrow type of an id column."""
+    if spark_type not in _ARROW:
+        raise TypeError(f"ids must be one of {', '.join(_ARROW)}, not {spark_type}")
+    return _ARROW[spark_type]
+
+
 class _Vectors:
     """Rows of an ``array<double>`` column, or of struct<dense, slots, weights> (a dense head and a sparse tail)."""
 
@@ -36,6 +49,9 @@ class _Vectors:
             self.rows = np.repeat(np.arange(self.n), slots.value_lengths().to_numpy(zero_copy_only=False))
             self.slots = slots.flatten().to_numpy(zero_copy_only=False)
             self.weights = weights.flatten().to_numpy(zero_copy_only=False)
+        lengths = dense.value_lengths().to_numpy(zero_copy_only=False)
+        if self.n and (lengths != lengths[0]).any():
+            raise ValueError(f"vectors of different lengths: {sorted(set(lengths.tolist()))}")
         flat = dense.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         self.dense = flat.reshape(self.n, -1) if len(flat) else np.zeros((self.n, 0))
 
@@ -52,6 +68,8 @@ class _Vectors:
 
 def _aligned(a: _Vectors, b: _Vectors) -> tuple[np.ndarray, np.ndarray]:
     """Two matrices over the same columns; a sparse slot only one side has cannot add to a product."""
+    if a.dense.shape[1] != b.dense.shape[1]:
+        raise ValueError(f"vectors of different lengths: {a.dense.shape[1]} and {b.dense.shape[1]}")
     shared = np.intersect1d(a.slots, b.slots)
     return a.with_slots(shared), b.with_slots(shared)
 
@@ -113,7 +131,7 @@ class _Search:
         q_type = queries.schema[query_id].dataType.simpleString()
         d_type = docs.schema[doc_id].dataType.simpleString()
         self.schema = f"`{query_id}` {q_type}, `{doc_id}` {d_type}, score double"
-        self.types = [pa.int64() if t == "bigint" else pa.string() for t in (q_type, d_type)] + [pa.float64()]
+        self.types = [arrow_type(t) for t in (q_type, d_type)] + [pa.float64()]
         self.names = [query_id, doc_id, "score"]
         self.k, self.exclude_same, self.min_score, self.digits = k, exclude_same, min_score, digits
 
@@ -181,17 +199,22 @@ def topk_inner_product(
     exclude_same: bool = False,
     min_score: float | None = None,
     digits: int = _DIGITS,
+    route: str = "checked",
 ) -> DataFrame:
     """query_id, doc_id, score, rank: the k documents of largest inner product for every query.
 
-    A query batch with few rows is shipped to the document scan (no shuffle of the documents); a larger
-    query table is paired with the documents block by block. Both give the same rows.
+    Rows with a null vector match nothing; vectors of unequal lengths are an error. ``route``: "checked" sends a
+    query table of at most QUERY_BATCH_ROWS rows and QUERY_BATCH_BYTES to the document scan, without a shuffle of
+    the documents, and otherwise does as "pair", which meets queries and documents block by block. Both give the
+    same rows.
     """
-    q = queries.select(F.col(query_id), F.col(vector).alias("_qv"))
-    d = docs.select(F.col(doc_id), F.col(vector).alias("_dv"))
+    if route not in ("checked", "pair"):
+        raise ValueError(f"unknown route: {route}")
+    q = queries.select(F.col(query_id), F.col(vector).alias("_qv")).where("_qv is not null")
+    d = docs.select(F.col(doc_id), F.col(vector).alias("_dv")).where("_dv is not null")
     search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits)
-    batch = q.limit(QUERY_BATCH_ROWS + 1).toArrow()
-    if batch.num_rows <= QUERY_BATCH_ROWS and batch.nbytes <= QUERY_BATCH_BYTES:
+    batch = q.limit(QUERY_BATCH_ROWS + 1).toArrow() if route == "checked" else None
+    if batch is not None and batch.num_rows <= QUERY_BATCH_ROWS and batch.nbytes <= QUERY_BATCH_BYTES:
         shipped = queries.sparkSession.sparkContext.broadcast(batch)
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,8 +245,8 @@ def topk_in_cells(
     Cells are cut into sub-blocks of about RIGHT_BLOCK rows (and their queries into LEFT_BLOCK) by a hash of
     the id, so a cell that holds a third of the documents becomes many tasks.
     """
-    q = probes.select(F.col(query_id), F.col(cell), F.col(vector).alias("_qv"))
-    d = docs.select(F.col(doc_id), F.col(cell), F.col(vector).alias("_dv"))
+    q = probes.select(F.col(query_id), F.col(cell), F.col(vector).alias("_qv")).where("_qv is not null")
+    d = docs.select(F.col(doc_id), F.col(cell), F.col(vector).alias("_dv")).where("_dv is not null")
     search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits)
     sizes_d = d.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / RIGHT_BLOCK).alias("_nr"))
     sizes_q = q.groupBy(cell).agg(F.ceil(F.count(F.lit(1)) / LEFT_BLOCK).alias("_nl"))
@@ -252,11 +275,11 @@ def score_range(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, vector: str = "vector"
 ) -> DataFrame:
     """left_id, min_score, max_score, n: the extent of the inner products of each left row with all right rows."""
-    lhs = left.select(left_id, F.col(vector).alias("_lv"))
-    rhs = right.select(right_id, F.col(vector).alias("_rv"))
+    lhs = left.select(left_id, F.col(vector).alias("_lv")).where("_lv is not null")
+    rhs = right.select(right_id, F.col(vector).alias("_rv")).where("_rv is not null")
     lefts, rights, _, _ = block_pairs(lhs, rhs, left_id, right_id, LEFT_BLOCK, RIGHT_BLOCK)
     l_type = lhs.schema[left_id].dataType.simpleString()
-    l_arrow = pa.int64() if l_type == "bigint" else pa.string()
+    l_arrow = arrow_type(l_type)
 
     def extent(a: pa.Table, b: pa.Table) -> pa.Table:
         if a.num_rows == 0 or b.num_rows == 0:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -11,12 +11,14 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tastegrid.functions.hashing import digest_vector
 from tastegrid.functions.text import keyword_score
-from tastegrid.functions.vectors import dot, l2_normalize
-from tastegrid.operators.cleaning import match_filters, score_threshold
-from tastegrid.operators.nearest import block_pairs, topk_in_cells, topk_inner_product
+from tastegrid.functions.vectors import l2_normalize
+from tastegrid.operators.cleaning import match_filters
+from tastegrid.operators.nearest import arrow_type, block_pairs, topk_in_cells, topk_inner_product
+from tastegrid.session import settle
 
 # fixed values
 OVERFETCH = 3
@@ -142,21 +144,24 @@ def hybrid_search(
 
 
 def cell_count(n_docs: int) -> int:
-    """1 (flat) up to the flat limit, else min(100, n // 100)."""
+    """The published rule for callers who want it: 1 (flat) up to the flat limit, else min(100, n // 100)."""
     return 1 if n_docs <= FLAT_LIMIT else min(MAX_CELLS, n_docs // 100)
 
 
-def ivf_build(docs: DataFrame, cells: int | None = None, seed: int = 42, iterations: int = 10) -> tuple[DataFrame, DataFrame]:
-    """(docs with ``centroid``, centroids(centroid, vector)): k-means cells over unit vectors."""
+def ivf_build(docs: DataFrame, cells: int = 1, seed: int = 42, iterations: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(docs with ``centroid``, centroids(centroid, vector)): k-means cells over unit vectors.
+
+    One cell, the default, is the exact flat index; whatever the size of the table, only the caller makes it
+    approximate.
+    """
     unit = docs.withColumn("vector", l2_normalize(F.col("vector")))
-    cells = cell_count(unit.count()) if cells is None else cells
     spark = docs.sparkSession
     if cells <= 1:
         flat = spark.createDataFrame([], "centroid int, vector array<double>")
         return unit.withColumn("centroid", F.lit(0)), flat
     featured = unit.withColumn("_features", array_to_vector("vector"))
     model = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_features", predictionCol="centroid").fit(featured)
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]  # at most MAX_CELLS rows
+    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]  # one row per cell
     return (
         model.transform(featured).drop("_features"),
         spark.createDataFrame(centers, "centroid int, vector array<double>"),
@@ -174,20 +179,38 @@ def ivf_search(
     exclude_same: bool = False,
     min_score: float | None = None,
 ) -> DataFrame:
-    """Top-k among the documents of the nprobe nearest cells of each query."""
-    centers = {r["centroid"]: r["vector"] for r in centroids.collect()}  # at most MAX_CELLS rows
+    """Top-k among the documents of the nprobe nearest cells of each query.
+
+    Cells are chosen by a matrix product in the tasks; the numbers of the probed cells (at most one per cell)
+    then become a filter, so that of an index stored by cell only their folders are read.
+    """
+    centers = sorted((r["centroid"], r["vector"]) for r in centroids.collect())  # one row per cell
     if not centers:
-        probes = queries.withColumn("centroid", F.lit(0))
+        probes, pool = queries.withColumn("centroid", F.lit(0)), indexed
     else:
-        scored = F.array(
-            *[
-                F.struct((-dot(F.col("vector"), F.array(*[F.lit(x) for x in v]))).alias("d"), F.lit(c).alias("centroid"))
-                for c, v in sorted(centers.items())
-            ]
-        )
-        best = F.transform(F.slice(F.array_sort(scored), 1, nprobe), lambda s: s["centroid"])
-        probes = queries.withColumn("centroid", F.explode(best))
-    return topk_in_cells(probes, indexed, k, "centroid", query_id, doc_id, exclude_same=exclude_same, min_score=min_score)
+        probes = settle(nearest_cells(queries, centers, nprobe))
+        probed = sorted(r["centroid"] for r in probes.select("centroid").distinct().collect())
+        pool = indexed.where(F.col("centroid").isin(probed))
+    return topk_in_cells(probes, pool, k, "centroid", query_id, doc_id, exclude_same=exclude_same, min_score=min_score)
+
+
+def nearest_cells(queries: DataFrame, centers: list[tuple[int, list[float]]], nprobe: int) -> DataFrame:
+    """``queries`` once per cell to probe, with its number in ``centroid``; ties go to the lower number."""
+    numbers = np.array([c for c, _ in centers])
+    shared = queries.sparkSession.sparkContext.broadcast(np.array([v for _, v in centers], dtype=np.float64))
+    at = queries.columns.index("vector")
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = batch.filter(batch.column(at).is_valid())
+            if not known.num_rows:
+                continue
+            asked = known.column(at).flatten().to_numpy(zero_copy_only=False).reshape(known.num_rows, -1)
+            order = np.argsort(-(asked @ shared.value.T), axis=1, kind="stable")[:, :nprobe]
+            rows = known.take(pa.array(np.repeat(np.arange(known.num_rows), order.shape[1])))
+            yield rows.append_column("centroid", pa.array(numbers[order.ravel()], pa.int32()))
+
+    return queries.mapInArrow(probe, StructType([*queries.schema.fields, StructField("centroid", IntegerType())]))
 
 
 def recall_at_k(approximate: DataFrame, exact: DataFrame, query_id: str = "query_id", doc_id: str = "id") -> DataFrame:
@@ -280,7 +303,7 @@ def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5, query
     )
     id_type = d.schema["id"].dataType.simpleString()
     names = ["query_id", "id", "score"]
-    types = [pa.string(), pa.int64() if id_type == "bigint" else pa.string(), pa.float64()]
+    types = [pa.string(), arrow_type(id_type), pa.float64()]
     lefts, rights, _, _ = block_pairs(q, d, "query_id", "id", query_block, item_block)
     partial = (
         lefts.groupBy("_lb", "_rb")
@@ -290,7 +313,3 @@ def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5, query
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
-
-def similar_by_content(docs: DataFrame, k: int = 5, min_score: float | None = MIN_SCORE) -> DataFrame:
-    """Items similar to each item by their content embedding."""
-    return score_threshold(similar_items(embed_text(docs, "content"), k), -1.0 if min_score is None else min_score)

@@ -392,7 +392,7 @@ def _(spark, d):
     )
 
 
-_REPLY = "CASE WHEN doc_id % 3 = 0 THEN 'SUMMARY: ' || substr(text, 1, 80) || chr(10) || 'SENTIMENT: Mixed ' WHEN doc_id % 3 = 1 THEN 'SUMMARY: ' || substr(text, 1, 80) ELSE text END"
+_REPLY = "CASE WHEN doc_id % 3 = 0 THEN 'SUMMARY: ' || text || chr(10) || 'SENTIMENT: Mixed ' WHEN doc_id % 3 = 1 THEN 'SUMMARY: ' || text ELSE text END"
 
 
 @query(
@@ -403,7 +403,7 @@ SELECT doc_id, CASE WHEN contains(t, 'SUMMARY:') THEN trim(replace(p[1], 'SUMMAR
   CASE WHEN contains(t, 'SUMMARY:') AND len(p) > 1 THEN lower(trim(p[2], ' ' || chr(9) || chr(10) || chr(13))) ELSE 'neutral' END AS sentiment FROM p""",
 )
 def _(spark, d):
-    body = F.concat(F.lit("SUMMARY: "), F.substring("text", 1, 80))
+    body = F.concat(F.lit("SUMMARY: "), F.col("text"))
     reply = (
         F.when(F.col("doc_id") % 3 == 0, F.concat(body, F.lit("\nSENTIMENT: Mixed ")))
         .when(F.col("doc_id") % 3 == 1, body)

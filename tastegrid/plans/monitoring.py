@@ -127,7 +127,7 @@ js AS (SELECT sqrt(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
     f"WITH {_SPLIT}, {_W_RATING} SELECT 'rating' AS column_name, 'wasserstein' AS method, round(s, 6) AS score, s >= 0.1 AS drifted FROM w",
 )
 def _(spark, d):
-    return drift.target_drift(stacked(spark, d), "rating", small=False).withColumn("score", F.round("score", 6))
+    return drift.target_drift(stacked(spark, d), "rating").withColumn("score", F.round("score", 6))
 
 
 _PER_COLUMN = f"""{_SPLIT}, {_W_RATING}, {_JS_BRAND}, per AS (SELECT s >= 0.1 AS drifted FROM w UNION ALL SELECT s >= 0.1 FROM js)"""
@@ -140,7 +140,22 @@ _PER_COLUMN = f"""{_SPLIT}, {_W_RATING}, {_JS_BRAND}, per AS (SELECT s >= 0.1 AS
   CASE WHEN avg(CAST(drifted AS INTEGER)) > 0.15 THEN 'HIGH' WHEN avg(CAST(drifted AS INTEGER)) > 0.05 THEN 'MODERATE' ELSE 'LOW' END AS level FROM per""",
 )
 def _(spark, d):
-    return drift.dataset_drift(drift.drift_table(stacked(spark, d), ["rating", "brand"], small=False))
+    return drift.dataset_drift(drift.drift_table(stacked(spark, d), ["rating", "brand"]))
+
+
+@query(
+    "dataset_drift_tests",
+    f"""WITH {_HALVES}, {cdf_sql('st', 'value')}, s AS (SELECT max(abs(f - g)) AS d FROM cdf),
+l AS (SELECT d * sqrt((SELECT CAST(sum(r) AS DOUBLE) * sum(c) / (sum(r) + sum(c)) FROM vc)) AS lam FROM s),
+p AS (SELECT CASE WHEN lam < 0.2 THEN 1.0 ELSE {_KS_P} END AS p FROM l),
+cc AS (SELECT event_type, count(*) FILTER (part = 'reference') AS r, count(*) FILTER (part = 'current') AS c FROM st GROUP BY 1),
+e AS (SELECT sum((c - x) * (c - x) / x) AS chi2 FROM (SELECT c, r * (SELECT CAST(sum(c) AS DOUBLE) / sum(r) FROM cc) AS x FROM cc))
+SELECT 'value' AS column_name, 'ks' AS method, round(p, 6) AS score, p < 0.05 AS drifted FROM p
+UNION ALL SELECT 'event_type', 'chi2', round(exp(-chi2 / 2) * (1 + chi2 / 2), 6), exp(-chi2 / 2) * (1 + chi2 / 2) < 0.05 FROM e""",
+)
+def _(spark, d):
+    """The tests instead of the distances; five event types make four degrees of freedom, a closed form."""
+    return drift.drift_table(halves(spark, d), ["value", "event_type"], "test").withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -174,7 +189,7 @@ SELECT column_name, method, round(s, 6) AS score, s >= 0.1 AS drifted FROM s""",
 )
 def _(spark, d):
     c = tables.corpus(spark, d)
-    rows = drift.corpus_drift(c.where("genre <> 'de'"), c.where("genre <> 'fr'"), small=False)
+    rows = drift.corpus_drift(c.where("genre <> 'de'"), c.where("genre <> 'fr'"))
     return rows.withColumn("score", F.round("score", 6))
 
 

@@ -161,7 +161,7 @@ def _(spark, d):
 def _(spark, d):
     """Singular values of the training users' matrix, largest first."""
     rated = cleaning.train_test_split_users(clean(spark, d)).where("not is_test")
-    fitted = factors.fit_svd(rated, n_components=20, iterations=3)
+    fitted = factors.fit_svd(rated)
     values = [(i + 1, round(v, 6)) for i, v in enumerate(fitted.singular_values)]
     return spark.createDataFrame(values, "component int, singular_value double")
 

@@ -252,11 +252,15 @@ def _(spark, d):
     return retrieval.hybrid_rerank(candidates, 10, digits=6)
 
 
+#: Cells of the registered index; a parameter of the index, not of the table's size.
+CELLS = 32
+
+
 @query("ivf_build")
 def _(spark, d):
     """Documents per cell; every vector is in exactly one cell."""
     v = vectors(spark, d)
-    indexed, _ = retrieval.ivf_build(v, cells=max(2, min(retrieval.MAX_CELLS, v.count() // 100)))
+    indexed, _ = retrieval.ivf_build(v, cells=CELLS)
     return indexed.groupBy("centroid").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -265,7 +269,7 @@ def _(spark, d):
     """Cell search for the label means, with the recall against the exact search."""
     v = vectors(spark, d)
     asked = label_queries(spark, d)
-    indexed, centers = retrieval.ivf_build(v, cells=max(2, min(retrieval.MAX_CELLS, v.count() // 100)))
+    indexed, centers = retrieval.ivf_build(v, cells=CELLS)
     found = retrieval.ivf_search(asked, indexed, centers, 10, nprobe=2)
     return retrieval.recall_at_k(found, retrieval.vector_topk(asked, v, 10, min_score=None))
 

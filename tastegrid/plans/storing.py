@@ -89,16 +89,18 @@ def _(spark, d):
     return readers.read_eval_jsonl(spark, path)
 
 
-@query("ingest", f"WITH {ITEMS} SELECT CAST(count(*) AS BIGINT) AS n_documents FROM items")
+@query("ingest", f"WITH {ITEMS} SELECT id, title, {CONTENT} AS content, CAST(384 AS INTEGER) AS dims, (SELECT count(*) FROM items) AS n_documents FROM items")
 def _(spark, d):
-    n = stores.ingest(spark, _items_csv(spark, d), "csv", stores.scratch_folder(spark, "index"))
-    return spark.createDataFrame([(n,)], "n_documents long")
+    path = stores.scratch_folder(spark, "index")
+    n = stores.ingest(spark, _items_csv(spark, d), "csv", path)
+    stored, _ = stores.load_index(spark, path)
+    return stored.select("id", "title", "content", F.size("vector").alias("dims"), F.lit(n).cast("long").alias("n_documents"))
 
 
 def stored_index(spark: SparkSession, d: str) -> DataFrame:
     path = stores.scratch_folder(spark, "index")
     docs = retrieval.embed_text(tables.with_content(tables.corpus(spark, d)), "content")
-    stores.save_index(*retrieval.ivf_build(docs, cells=4, iterations=3), path)
+    stores.save_index(*retrieval.ivf_build(docs, cells=16), path)
     return stores.load_index(spark, path)[0]
 
 
@@ -121,13 +123,13 @@ def _(spark, d):
 def stored_model(spark: SparkSession, d: str) -> tuple[factors.Factors, dict]:
     path = stores.scratch_folder(spark, "model")
     rated = clean_ratings(tables.raw_ratings(spark, d), ORDER)
-    model = factors.fit_svd(rated, n_components=4, iterations=1, oversample=4)
-    stores.save_model(model, path, "v1", n_components=4)
+    model = factors.fit_svd(rated)
+    stores.save_model(model, path, "v1", n_components=len(model.singular_values))
     # the first place is empty, the second holds the model
     return stores.load_model(spark, [f"{path}-absent", path], required=True)
 
 
-@query("save_model", "SELECT 'v1' AS version, '4' AS n_components, CAST(4 AS INTEGER) AS n_values")
+@query("save_model", "SELECT 'v1' AS version, '50' AS n_components, CAST(50 AS INTEGER) AS n_values")
 def _(spark, d):
     model, meta = stored_model(spark, d)
     row = [(meta["version"], meta["n_components"], len(model.singular_values))]
@@ -136,7 +138,7 @@ def _(spark, d):
 
 @query(
     "load_model",
-    "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, CAST(4 AS INTEGER) AS dims FROM orders JOIN lineitem ON l_orderkey = o_orderkey",
+    "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id, CAST(50 AS INTEGER) AS dims FROM orders JOIN lineitem ON l_orderkey = o_orderkey",
 )
 def _(spark, d):
     return stored_model(spark, d)[0].user_factors.select("user_id", F.size("vector").alias("dims"))
@@ -156,7 +158,7 @@ def _(spark, d):
 def _(spark, d):
     path = stores.scratch_folder(spark, "drift")
     c = tables.corpus(spark, d)
-    rows = drift.corpus_drift(c, c, small=False)
+    rows = drift.corpus_drift(c, c)
     stores.write_drift_report(rows, drift.dataset_drift(rows), path)
     return spark.read.json(f"{path}/columns").select("column_name")
 
@@ -177,7 +179,7 @@ def _(spark, d):
     return spark.read.parquet(path).groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
-@query("append_log", "SELECT event_type AS log_stream, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY event_type")
+@query("append_log", "SELECT 'requests' AS log_group, event_type AS log_stream, props AS message, ts FROM events")
 def _(spark, d):
     path = stores.scratch_folder(spark, "log")
     e = tables.table(spark, d, "events")
@@ -185,7 +187,7 @@ def _(spark, d):
         e.select(F.lit("requests").alias("log_group"), F.col("event_type").alias("log_stream"), F.col("props").alias("message"), tables.instant("ts").alias("ts")),
         path,
     )
-    return spark.read.parquet(path).groupBy("log_stream").agg(F.count(F.lit(1)).alias("n"))
+    return spark.read.parquet(path).select("log_group", "log_stream", "message", F.col("ts").cast(NTZ).alias("ts"))
 
 
 @query(
@@ -320,7 +322,7 @@ def _(spark, d):
 
 @query("stream_admission")
 def _(spark, d):
-    """Streamed admission per user, decisions counted by reason (equal to admission_control)."""
+    """Streamed admission per user; the decisions of the events that the watermark has passed."""
     log = log_stream(spark, d).withColumn("key", F.col("user_id"))
     rows = jobs.run_available(jobs.stream_admission(log, 2, 60, 3), stores.scratch_folder(spark, "admission"))
-    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("key", "event_id", "reason", "admitted")

@@ -28,14 +28,16 @@ def _paths(path: str | Sequence[str]) -> list[str]:
     return [path] if isinstance(path, str) else list(path)
 
 
-def load_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType) -> DataFrame:
+def load_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType, line_per_row: bool = False) -> DataFrame:
     """CSV with a header; columns are matched to the schema by name, missing ones are null.
 
-    ``path`` may be any URI Spark can reach; a list is tried in order. Nothing found is an error.
+    ``path`` may be any URI Spark can reach; a list is tried in order. Nothing found is an error. Quoted fields
+    may hold line breaks, so a file is one task: write many files. ``line_per_row`` promises that no field has
+    a line break; files are then split.
     """
 
     def read(p: str) -> DataFrame:
-        options = {"header": True, "quote": '"', "escape": '"', "multiLine": False}
+        options = {"header": True, "quote": '"', "escape": '"', "multiLine": not line_per_row}
         names = spark.read.options(**options).csv(p).columns  # header line only
         # columns are read as text and cast, so the order in the file does not matter
         text = spark.read.options(**options).schema(", ".join(f"`{n}` string" for n in names)).csv(p)

@@ -39,7 +39,7 @@ def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] |
         raise
 
 
-def ingest(spark: SparkSession, source: str | DataFrame, source_type: str, index_path: str, model: str = "digest", cells: int | None = None) -> int:
+def ingest(spark: SparkSession, source: str | DataFrame, source_type: str, index_path: str, model: str = "digest", cells: int = 1) -> int:
     """Read, embed, place into cells, store; gives the number of documents."""
     if isinstance(source, DataFrame):
         docs = source
@@ -60,14 +60,14 @@ def is_ready(spark: SparkSession, path: str) -> bool:
     return found is not None and not found[0].isEmpty()
 
 
-def rebuild_index(spark: SparkSession, items_csv: str, path: str) -> int:
-    return ingest(spark, items_csv, "csv", path)
+def rebuild_index(spark: SparkSession, items_csv: str, path: str, cells: int = 1) -> int:
+    return ingest(spark, items_csv, "csv", path, cells=cells)
 
 
-def ensure_index(spark: SparkSession, path: str, items_csv: str) -> tuple[DataFrame, DataFrame]:
+def ensure_index(spark: SparkSession, path: str, items_csv: str, cells: int = 1) -> tuple[DataFrame, DataFrame]:
     """The stored index; rebuilt from the items file where it is missing or empty."""
     if not is_ready(spark, path):
-        rebuild_index(spark, items_csv, path)
+        rebuild_index(spark, items_csv, path, cells)
     return load_index(spark, path)
 
 

@@ -80,32 +80,42 @@ def dedup_prompts(requests: DataFrame, ttl: str = "1 day") -> DataFrame:
 def stream_admission(
     log: DataFrame, rpm: int = RPM, tpm: int = TPM, daily: int = DAILY, watermark: str = WATERMARK
 ) -> DataFrame:
-    """key, event_id, reason, admitted: the admission rule with keyed state across micro-batches.
+    """key, event_id, reason, admitted: the admission rule in event order, whatever the order of arrival.
 
-    State per key: the admitted instants and tokens of the trailing day, at most ``daily`` of each. It
-    leaves memory a day after the key's last event.
+    Events wait in the key's state until the watermark has passed them, so a late event still comes before the
+    events that it precedes; what arrives behind the watermark is dropped by Spark. State per key: the waiting
+    events, and the admitted instants and tokens of the trailing day, at most ``daily`` of each. It leaves memory
+    a day after the key's last event. Events that the watermark has not passed yet have no decision yet.
     """
     key_type = log.schema["key"].dataType.simpleString()
 
     def decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        at, tokens, waiting = state.get if state.exists else ([], [], [])
+        queue = [tuple(w) for w in waiting]
+        if not state.hasTimedOut:
+            for rows in chunks:
+                queue += zip(rows["at"].tolist(), rows["event_id"].tolist(), rows["tokens"].tolist())
+        passed = state.getCurrentWatermarkMs() * 1000
+        due = sorted(w for w in queue if w[0] < passed)
+        queue = sorted(w for w in queue if w[0] >= passed)
+        ledger = Ledger(rpm, tpm, daily, [(int(a), int(t)) for a, t in zip(at, tokens)])
+        reasons = [ledger.decide(int(a), int(t)) for a, _, t in due]
+        if not queue and (not ledger.entries or ledger.entries[-1][0] + DAY * 1_000_000 < passed):
             state.remove()
-            return
-        rows = pd.concat(list(chunks)).sort_values(["at", "event_id"], kind="stable")  # one key in one micro-batch
-        held = list(zip(*state.get)) if state.exists else []
-        ledger = Ledger(rpm, tpm, daily, [(int(a), int(t)) for a, t in held])
-        reasons = [ledger.decide(int(a), int(t)) for a, t in zip(rows["at"], rows["tokens"])]
-        state.update(([a for a, _ in ledger.entries], [t for _, t in ledger.entries]))
-        last = max(int(rows["at"].iloc[-1]) // 1000, state.getCurrentWatermarkMs())
-        state.setTimeoutTimestamp(last + DAY * 1000 + 1)
-        yield pd.DataFrame(
-            {
-                "key": key[0],
-                "event_id": rows["event_id"].to_numpy(),
-                "reason": reasons,
-                "admitted": [r == "ok" for r in reasons],
-            }
-        )
+        else:
+            state.update(([a for a, _ in ledger.entries], [t for _, t in ledger.entries], queue))
+            # woken when the watermark passes the first waiting event, or a day after the last admitted one
+            wake = queue[0][0] // 1000 + 1 if queue else ledger.entries[-1][0] // 1000 + DAY * 1000 + 1
+            state.setTimeoutTimestamp(max(wake, state.getCurrentWatermarkMs() + 1))
+        if due:
+            yield pd.DataFrame(
+                {
+                    "key": key[0],
+                    "event_id": [e for _, e, _ in due],
+                    "reason": reasons,
+                    "admitted": [r == "ok" for r in reasons],
+                }
+            )
 
     slim = log.withWatermark("ts", watermark).select(
         "key", "event_id", "ts", F.unix_micros("ts").alias("at"), F.col("tokens").cast("long").alias("tokens")
@@ -113,7 +123,7 @@ def stream_admission(
     return slim.groupBy("key").applyInPandasWithState(
         decide,
         f"key {key_type}, event_id long, reason string, admitted boolean",
-        "at array<long>, tokens array<long>",
+        "at array<long>, tokens array<long>, waiting array<struct<at: long, event_id: long, tokens: long>>",
         "append",
         GroupStateTimeout.EventTimeTimeout,
     )

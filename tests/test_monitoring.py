@@ -112,7 +112,7 @@ def test_categorical(spark):
     chi = drift.drift_categorical_chi2(df, "c").first()
     assert chi["statistic"] == pytest.approx(100 / 30 + 100 / 20)
     assert drift.drift_categorical_js(df, "c").first()["statistic"] > 0
-    table = drift.drift_table(df, ["c"])
+    table = drift.drift_table(df, ["c"], "test")
     assert table.first()["method"] == "chi2" and table.first()["drifted"]
     assert drift.dataset_drift(table).first()["level"] == "HIGH"
 
@@ -137,3 +137,21 @@ def test_rows_without_a_key_stay(spark):
     used = {r["event_id"]: r["tokens_minute"] for r in quota.trailing_usage(df).collect()}
     assert used == {1: 0, 2: 5, 3: 0}
     assert quota.admission_control(df).count() == 3
+
+
+@pytest.mark.parametrize("side", ["reference", "current"])
+def test_drift_with_an_empty_side_is_null(spark, side):
+    one = spark.createDataFrame([(1.0, "a"), (2.0, "b")], "x double, c string").withColumn("part", F.lit(side))
+    for row in (drift.drift_numeric_ks(one, "x"), drift.drift_categorical_chi2(one, "c")):
+        assert row.first()["statistic"] is None and row.first()["p_value"] is None
+    assert drift.drift_numeric_wasserstein(one, "x").first()["statistic"] is None
+    assert drift.drift_categorical_js(one, "c").first()["statistic"] is None
+    for measure in ("distance", "test"):
+        rows = drift.drift_table(one, ["x", "c"], measure).collect()
+        assert [(r["score"], r["drifted"]) for r in rows] == [(None, False)] * 2
+
+
+def test_the_measure_is_the_callers_choice(spark):
+    small = spark.createDataFrame([(float(i), "reference" if i < 6 else "current") for i in range(10)], "x double, part string")
+    assert drift.drift_table(small, ["x"]).first()["method"] == "wasserstein"
+    assert drift.drift_table(small, ["x"], "test").first()["method"] == "ks"

@@ -133,3 +133,47 @@ def test_keyword_points(spark):
 def test_unknown_embedding_model(spark):
     with pytest.raises(ValueError):
         retrieval.embed_text(spark.range(1), "id", "no_such_model")
+
+
+def test_null_vectors_and_int_ids(spark):
+    rows = [(i, None if i % 3 == 0 else [float(i), 1.0]) for i in range(12)]
+    d = spark.createDataFrame(rows, "id int, vector array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id smallint, vector array<double>")
+    for route in ("checked", "pair"):
+        hits = nearest.topk_inner_product(q, d, 3, route=route).orderBy("rank").collect()
+        assert [(r["query_id"], r["id"]) for r in hits] == [(1, 11), (1, 10), (1, 8)]
+    extent = nearest.score_range(q, d, "query_id", "id").collect()
+    assert [(r["query_id"], r["min_score"], r["max_score"], r["n_items"]) for r in extent] == [(1, 1.0, 11.0, 8)]
+
+
+def test_unequal_lengths_are_refused_by_name(spark):
+    d = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0])], "id long, vector array<double>").coalesce(1)
+    q = spark.createDataFrame([(1, [1.0, 0.0])], "query_id long, vector array<double>")
+    with pytest.raises(Exception, match="different lengths"):
+        nearest.topk_inner_product(q, d, 3).collect()
+
+
+def test_cell_search_reads_probed_folders_only(spark, tmp_path):
+    from tastegrid.sources import stores
+
+    rng = np.random.default_rng(5)
+    v = rng.normal(size=(400, 8))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    docs = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "id long, vector array<double>")
+    stores.save_index(*retrieval.ivf_build(docs, cells=8), str(tmp_path / "i"))
+    indexed, centers = stores.load_index(spark, str(tmp_path / "i"))
+    q = docs.limit(1).withColumnRenamed("id", "query_id")
+    found = retrieval.ivf_search(q, indexed, centers, 5, nprobe=2)
+    plan = found._jdf.queryExecution().toString()
+    assert any("PartitionFilters" in line and "centroid" in line and " IN " in line for line in plan.splitlines())
+    assert found.first()["id"] == q.first()["query_id"]
+    queries = docs.withColumnRenamed("id", "query_id")
+    exact = nearest.topk_inner_product(queries, docs, 5)
+    recalls = [retrieval.recall_at_k(retrieval.ivf_search(queries, indexed, centers, 5, nprobe=n), exact).first()["recall"] for n in (1, 4, 8)]
+    assert recalls[0] <= recalls[1] and recalls[1] >= 0.9 and recalls[2] == 1.0
+
+
+def test_an_index_is_flat_unless_the_caller_says_otherwise(spark):
+    docs = spark.range(10).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    indexed, centers = retrieval.ivf_build(docs)
+    assert indexed.select("centroid").distinct().count() == 1 and centers.count() == 0

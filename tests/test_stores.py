@@ -23,6 +23,19 @@ def test_csv_fallback_and_missing(spark, tmp_path):
     assert docs["2"]["year"] == 0 and docs["2"]["rating"] == 0.0
 
 
+def test_csv_fields_with_line_breaks(spark, tmp_path):
+    path = tmp_path / "movies.csv"
+    path.write_text('id,title,plot,rating,year\n1,A,"line one\nline two, with ""more""",4.5,1999\n2,B,plain,3.0,2001\n')
+    rows = {r["id"]: r for r in readers.read_items(spark, str(path)).collect()}
+    assert sorted(rows) == ["1", "2"]
+    assert rows["1"]["plot"] == 'line one\nline two, with "more"' and rows["1"]["rating"] == 4.5 and rows["1"]["year"] == 1999
+    docs = {r["id"]: r for r in readers.load_documents_csv(spark, str(path)).collect()}
+    assert docs["1"]["content"].endswith('line two, with "more"')
+    plain = tmp_path / "plain.csv"
+    plain.write_text("user_id,movie_id,rating\n1,2,3.0\n")
+    assert readers.load_csv(spark, str(plain), readers.schemas.RATINGS, line_per_row=True).count() == 1
+
+
 def test_json_array_defaults(spark, tmp_path):
     path = tmp_path / "docs.json"
     path.write_text(json.dumps([{"id": "1", "title": "Avatar"}, {"id": "2", "title": "Up", "year": 2009, "metadata": {"budget": "5"}}], indent=1))
@@ -98,14 +111,31 @@ def test_stream_metrics_equal_batch(spark, arrivals):
 
 def test_stream_admission_equals_batch(spark, arrivals):
     root, path, batch = arrivals
+    last = batch.agg(F.max("ts")).first()[0]
     stream = jobs.read_table_stream(spark, path, files_per_trigger=1)
     got = jobs.run_available(jobs.stream_admission(stream, 2, 60, 30), str(root / "a"))
-    expected = quota.admission_control(batch, 2, 60, 30)
+    expected = quota.admission_control(batch, 2, 60, 30).join(batch.where(F.col("ts") < last - dt.timedelta(minutes=10)), ["key", "event_id"], "left_semi")
     columns = ["key", "event_id", "reason"]
-    # arrivals are in time order across files, so both follow the same event order
     assert sorted(map(tuple, got.select(*columns).collect())) == sorted(map(tuple, expected.select(*columns).collect()))
 
 
+def test_late_events_are_decided_in_event_order(spark, tmp_path):
+    """Events at 0, 70 and 100 seconds arrive as 0, 100, 70; a last one moves the watermark past them."""
+    def event(number, second):
+        return (number, T0 + dt.timedelta(seconds=second), "k", 1)
+
+    schema = "event_id long, ts timestamp, key string, tokens long"
+    for arrived in ([event(1, 0)], [event(3, 100)], [event(2, 70)], [event(4, 4000)]):
+        spark.createDataFrame(arrived, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
+    got = jobs.run_available(jobs.stream_admission(stream, 1, 1000, 30), str(tmp_path / "out"))
+    batch = quota.admission_control(spark.read.parquet(str(tmp_path / "log")), 1, 1000, 30)
+    want = {r["event_id"]: r["reason"] for r in batch.collect()}
+    assert want == {1: "ok", 2: "ok", 3: "rpm", 4: "ok"}
+    found = {r["event_id"]: r["reason"] for r in got.collect()}
+    assert found == {k: want[k] for k in (1, 2, 3)}  # the watermark has not passed the fourth
+
+
 def test_dedup_keeps_one_per_key(spark, arrivals):
     root, path, batch = arrivals
     stream = jobs.read_table_stream(spark, path, files_per_trigger=1).withColumn("cache_key", F.col("tokens"))
