@@ -42,7 +42,9 @@ def apply_filters(df: DataFrame, text: str, names: list[str] | None = None) -> D
 def violation_counts(df: DataFrame, result: str = "result") -> DataFrame:
     """Violations by (guardrail_type, severity)."""
     return (
-        df.select(F.explode(F.col(result)["violations"]).alias("v"))
+        # the outer form adds no filter on the size of the list, which would work out all checks a second time
+        df.select(F.explode_outer(F.col(result)["violations"]).alias("v"))
+        .where("v is not null")
         .groupBy(F.col("v.guardrail_type").alias("guardrail_type"), F.col("v.severity").alias("severity"))
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -118,6 +118,34 @@ def histogram_quantile(
     return wide.select(*names, F.explode(rows).alias("x")).select(*names, "x.q", "x.value")
 
 
+def sliding_quantile(
+    log: DataFrame,
+    value: str,
+    bounds: Sequence[float],
+    qs: Sequence[float] = (0.5, 0.95, 0.99),
+    width: str = "5 minutes",
+    step: str = "1 minute",
+    labels: Sequence[str] = (),
+) -> DataFrame:
+    """window_end, labels, q, value: quantiles of the trailing ``width`` at every step.
+
+    Buckets are counted per step first; only these counts are copied to the windows that hold the step.
+    """
+    w, s = _seconds(width), _seconds(step)
+    slot = F.floor(F.unix_micros("ts") / (s * 1_000_000)).alias("slot")
+    steps = histogram_counts(log, value, bounds, [slot, *labels])
+    size = len(bounds) + 1
+    ends = F.explode(F.sequence(F.col("slot") + 1, F.col("slot") + w // s)).alias("_end")
+    spread = steps.select(ends, *labels, "counts").groupBy("_end", *labels)
+    sums = spread.agg(*[F.sum(F.col("counts")[i]).alias(f"_c{i}") for i in range(size)])
+    counts = sums.withColumn("counts", F.array(*[f"_c{i}" for i in range(size)]))
+    rows = F.array(
+        *[F.struct(F.lit(float(q)).alias("q"), bucket_quantile(F.col("counts"), bounds, q).alias("value")) for q in qs]
+    )
+    named = counts.select(F.timestamp_seconds(F.col("_end") * s).alias("window_end"), *labels, F.explode(rows).alias("x"))
+    return named.select("window_end", *labels, "x.q", "x.value")
+
+
 def exact_latency_percentiles(log: DataFrame, value: str = "duration", qs: Sequence[float] = (0.95, 0.99)) -> DataFrame:
     return exact_percentiles(log, value, qs)
 
@@ -182,22 +210,20 @@ def token_usage(log: DataFrame, cost_per_1k: float = 0.0) -> DataFrame:
     )
 
 
+# fixed values: what names an error class, in order
+ERROR_CLASSES = {
+    "rate": ("429", "quota", "rate limit"),
+    "auth": ("401", "unauthorized", "api key"),
+    "model": ("404", "not found"),
+}
+
+
 def error_class(message: Column) -> Column:
     """rate / auth / model / other from an error message."""
-    low = F.lower(message)
-
-    def has(c: Column, *needles: str) -> Column:
-        found = F.contains(c, F.lit(needles[0]))
-        for needle in needles[1:]:
-            found = found | F.contains(c, F.lit(needle))
-        return found
-
-    return (
-        F.when(has(low, "429", "quota", "rate limit"), "rate")
-        .when(has(low, "401", "unauthorized", "api key"), "auth")
-        .when(has(low, "404", "not found"), "model")
-        .otherwise("other")
-    )
+    low, found = F.lower(message), F.lit("other")
+    for name, needles in reversed(ERROR_CLASSES.items()):
+        found = F.when(F.exists(F.array(*map(F.lit, needles)), lambda n: F.contains(low, n)), name).otherwise(found)
+    return found
 
 
 def strategy_runs_scores(runs: DataFrame, bounds: Sequence[float] = tuple(BUCKETS["experiment_score"])) -> DataFrame:

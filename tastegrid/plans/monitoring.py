@@ -341,6 +341,22 @@ def _(spark, d):
     return r.withColumn("value", F.round("value", 6))
 
 
+@query(
+    "sliding_quantile",
+    f"""WITH {LOG}, steps AS (SELECT endpoint, duration, to_timestamp((CAST(floor(epoch(ts) / 60) AS BIGINT) + i) * 60)::TIMESTAMP AS window_end
+  FROM log, range(1, 6) r(i)), {hist_sql('steps', 'duration', 'endpoint, window_end')},
+e AS (SELECT *, coalesce(lag(b) OVER w, 0) AS lo, coalesce(lag(n) OVER w, 0) AS below, max(n) OVER (PARTITION BY endpoint, window_end) AS total
+  FROM hb WINDOW w AS (PARTITION BY endpoint, window_end ORDER BY b)),
+f AS (SELECT e.*, q, row_number() OVER (PARTITION BY endpoint, window_end, q ORDER BY b) AS rn
+  FROM e, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) t(q) WHERE n >= q * total)
+SELECT window_end, endpoint, q, round(CASE WHEN isinf(b) THEN lo ELSE lo + (b - lo) * (q * total - below) / (n - below) END, 6) AS value FROM f WHERE rn = 1""",
+)
+def _(spark, d):
+    """The quantiles of the trailing five minutes, every minute, by endpoint."""
+    r = telemetry.sliding_quantile(tables.request_log(spark, d), "duration", BOUNDS, labels=["endpoint"])
+    return r.select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "endpoint", "q", F.round("value", 6).alias("value"))
+
+
 @query(
     "exact_latency_percentiles",
     f"""WITH {LOG} SELECT 0.95::DOUBLE AS q, round(quantile_cont(duration, 0.95), 6) AS value FROM log
