@@ -95,7 +95,12 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 
 def _merge(partial: DataFrame, left_id: str, right_id: str, k: int) -> DataFrame:
     w = Window.partitionBy(left_id).orderBy(F.desc("score"), F.asc(right_id))
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    if "_lo" not in partial.columns:
+        return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    # a group has k rows per block of documents
+    whole = Window.partitionBy(left_id)
+    wide = partial.withColumn("min_score", F.min("_lo").over(whole)).withColumn("max_score", F.max("_hi").over(whole))
+    return wide.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).drop("_lo", "_hi")
 
 
 def _blocks(rows: int, size: int) -> int:
@@ -127,24 +132,34 @@ def block_pairs(
 class _Search:
     """Block search shared by the plans below; pickled into the tasks."""
 
-    def __init__(self, queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, k: int, exclude_same, min_score, digits):
+    def __init__(self, queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, k: int, exclude_same, min_score, digits, extent=False):
         q_type = queries.schema[query_id].dataType.simpleString()
         d_type = docs.schema[doc_id].dataType.simpleString()
         self.schema = f"`{query_id}` {q_type}, `{doc_id}` {d_type}, score double"
         self.types = [arrow_type(t) for t in (q_type, d_type)] + [pa.float64()]
         self.names = [query_id, doc_id, "score"]
+        self.extent = extent
+        if extent:
+            self.schema += ", _lo double, _hi double"
+            self.types += [pa.float64()] * 2
+            self.names += ["_lo", "_hi"]
         self.k, self.exclude_same, self.min_score, self.digits = k, exclude_same, min_score, digits
 
-    def top(self, qid: np.ndarray, queries: _Vectors, did: np.ndarray, docs: _Vectors) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores), one row per query, best first; scores of left-out documents are -inf."""
+    def top(self, qid: np.ndarray, queries: _Vectors, did: np.ndarray, docs: _Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, scores, extents), one row per query, best first; scores of left-out documents are -inf.
+
+        The extent of a query is its least and largest product with any document.
+        """
         qv, dv = _aligned(queries, docs)
         by_id = np.argsort(did, kind="stable")
         did, dv = did[by_id], dv[by_id]
-        ids, values = [], []
+        ids, values, extents = [], [], []
         step = max(1, (16 << 20) // max(1, len(did)))  # at most 16M scores in memory at a time
         for at in range(0, len(qid), step):
             part = qid[at : at + step]
-            scores = np.round(qv[at : at + step] @ dv.T, self.digits)
+            scores = qv[at : at + step] @ dv.T
+            extents.append(np.stack([scores.min(axis=1), scores.max(axis=1)], axis=1))
+            scores = np.round(scores, self.digits)
             if self.exclude_same:
                 pos = np.minimum(np.searchsorted(did, part), len(did) - 1)
                 own = np.flatnonzero(did[pos] == part)
@@ -154,11 +169,13 @@ class _Search:
             order, best = _best(scores, did, self.k)
             ids.append(did[order])
             values.append(best)
-        return np.concatenate(ids), np.concatenate(values)
+        return np.concatenate(ids), np.concatenate(values), np.concatenate(extents)
 
-    def rows(self, qid: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+    def rows(self, qid: np.ndarray, ids: np.ndarray, scores: np.ndarray, extents: np.ndarray) -> pa.RecordBatch:
         r, c = np.nonzero(np.isfinite(scores))
         arrays = [qid[r].tolist(), ids[r, c].tolist(), scores[r, c]]
+        if self.extent:
+            arrays += [extents[r, 0], extents[r, 1]]
         return pa.RecordBatch.from_arrays([pa.array(a, type=t) for a, t in zip(arrays, self.types)], names=self.names)
 
     def empty(self) -> pa.Table:
@@ -168,12 +185,12 @@ class _Search:
         if left.num_rows == 0 or right.num_rows == 0:
             return self.empty()
         qid = _ids(left[self.names[0]])
-        ids, scores = self.top(qid, _Vectors(left["_qv"]), _ids(right[self.names[1]]), _Vectors(right["_dv"]))
-        return pa.Table.from_batches([self.rows(qid, ids, scores)])
+        found = self.top(qid, _Vectors(left["_qv"]), _ids(right[self.names[1]]), _Vectors(right["_dv"]))
+        return pa.Table.from_batches([self.rows(qid, *found)])
 
     def scan(self, qid: np.ndarray, qv: _Vectors, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Running best k over all batches of a partition: k rows per query leave it, whatever its size."""
-        held: tuple[np.ndarray, np.ndarray] | None = None
+        held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
         for b in batches:
             if b.num_rows == 0 or len(qid) == 0:
                 continue
@@ -183,7 +200,8 @@ class _Search:
                 by_id = np.argsort(ids, axis=1, kind="stable")
                 ids, scores = np.take_along_axis(ids, by_id, 1), np.take_along_axis(scores, by_id, 1)
                 best = np.argsort(-scores, axis=1, kind="stable")[:, : self.k]
-                found = np.take_along_axis(ids, best, 1), np.take_along_axis(scores, best, 1)
+                reach = np.stack([np.minimum(held[2][:, 0], found[2][:, 0]), np.maximum(held[2][:, 1], found[2][:, 1])], axis=1)
+                found = np.take_along_axis(ids, best, 1), np.take_along_axis(scores, best, 1), reach
             held = found
         if held is not None:
             yield self.rows(qid, *held)
@@ -200,19 +218,20 @@ def topk_inner_product(
     min_score: float | None = None,
     digits: int = _DIGITS,
     route: str = "checked",
+    extent: bool = False,
 ) -> DataFrame:
     """query_id, doc_id, score, rank: the k documents of largest inner product for every query.
 
     Rows with a null vector match nothing; vectors of unequal lengths are an error. ``route``: "checked" sends a
     query table of at most QUERY_BATCH_ROWS rows and QUERY_BATCH_BYTES to the document scan, without a shuffle of
     the documents, and otherwise does as "pair", which meets queries and documents block by block. Both give the
-    same rows.
+    same rows. ``extent`` adds min_score and max_score of each query over all documents, from the same products.
     """
     if route not in ("checked", "pair"):
         raise ValueError(f"unknown route: {route}")
     q = queries.select(F.col(query_id), F.col(vector).alias("_qv")).where("_qv is not null")
     d = docs.select(F.col(doc_id), F.col(vector).alias("_dv")).where("_dv is not null")
-    search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits)
+    search = _Search(q, d, query_id, doc_id, k, exclude_same, min_score, digits, extent)
     batch = q.limit(QUERY_BATCH_ROWS + 1).toArrow() if route == "checked" else None
     if batch is not None and batch.num_rows <= QUERY_BATCH_ROWS and batch.nbytes <= QUERY_BATCH_BYTES:
         shipped = queries.sparkSession.sparkContext.broadcast(batch)

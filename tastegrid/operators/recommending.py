@@ -83,12 +83,10 @@ def minmax_per_user(user_factors: DataFrame, item_factors: DataFrame) -> DataFra
 
 
 def topk_per_user(user_factors: DataFrame, item_factors: DataFrame, k: int = 10, digits: int = 9) -> DataFrame:
-    """Top-k items per user with the score scaled to the user's own range."""
-    top = score_collab(user_factors, item_factors, k, digits)
+    """Top-k items per user with the score scaled to the user's own range; each product is worked out once."""
+    top = topk_inner_product(user_factors, item_factors, k, "user_id", "item_id", digits=digits, extent=True)
     scaled = (F.col("score") - F.col("min_score")) / (F.col("max_score") - F.col("min_score") + RANGE_GUARD)
-    return top.join(minmax_per_user(user_factors, item_factors), "user_id").select(
-        "user_id", "item_id", "rank", scaled.alias("score")
-    )
+    return top.select("user_id", "item_id", "rank", scaled.alias("score"))
 
 
 def item_weights(items: DataFrame, id_col: str = "id", max_features: int = tfidf.MAX_FEATURES) -> DataFrame:
