@@ -66,3 +66,15 @@ LOG = """log AS (
          CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status,
          value / 50 AS duration, CAST(ceil(value) AS BIGINT) AS tokens, value
   FROM events)"""
+# greedy admission, one event of every key per step; the limits are 2 requests and 60 tokens a minute, 3 requests a day
+ADMISSION = """ev AS (SELECT key, event_id, epoch_us(ts) AS tick, tokens, row_number() OVER (PARTITION BY key ORDER BY ts, event_id) AS rn FROM log),
+passed AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS BIGINT) AS tick,
+    CAST([] AS STRUCT(a BIGINT, t BIGINT)[]) AS held, '' AS reason FROM ev
+  UNION ALL
+  SELECT key, rn, event_id, tick, CASE WHEN reason = 'ok' THEN list_append(day, {'a': tick, 't': tokens}) ELSE day END AS held, reason FROM (
+    SELECT *, CASE WHEN len(day) >= 3 THEN 'daily' WHEN len(recent) >= 2 THEN 'rpm'
+      WHEN coalesce(list_sum(list_transform(recent, lambda x: x.t)), 0) + tokens > 60 THEN 'tokens' ELSE 'ok' END AS reason FROM (
+      SELECT *, list_filter(day, lambda x: x.a >= tick - 60000000) AS recent FROM (
+        SELECT e.key, e.rn, e.event_id, e.tick, e.tokens, list_filter(p.held, lambda x: x.a >= e.tick - 86400000000) AS day
+        FROM passed p JOIN ev e ON e.key = p.key AND e.rn = p.rn + 1))))"""

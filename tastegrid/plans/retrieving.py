@@ -256,12 +256,33 @@ def _(spark, d):
 CELLS = 32
 
 
-@query("ivf_build")
+@query(
+    "ivf_build",
+    f"""WITH {VECTORS} SELECT id, label, round(v[1], 6) AS first, true AS nearest FROM unit""",
+)
 def _(spark, d):
-    """Documents per cell; every vector is in exactly one cell."""
-    v = vectors(spark, d)
-    indexed, _ = retrieval.ivf_build(v, cells=CELLS)
-    return indexed.groupBy("centroid").agg(F.count(F.lit(1)).alias("n"))
+    """Every vector once, with its unit form, and whether its cell is the one with the nearest centre."""
+    indexed, centers = retrieval.ivf_build(vectors(spark, d), cells=CELLS)
+    rows = indexed.select("id", "label", "vector", F.col("centroid").alias("own"))
+    # every vector meets every centre: CELLS of them
+    centre = F.broadcast(centers.select(F.col("centroid").alias("cell"), F.col("vector").alias("centre")))
+    gap = F.aggregate(F.zip_with("vector", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    met = rows.withColumn("cell", F.explode(F.sequence(F.lit(0), F.lit(CELLS - 1)))).join(centre, "cell").withColumn("gap", gap)
+    own = F.min(F.when(F.col("cell") == F.col("own"), F.col("gap")))
+    checked = met.groupBy("id", "label", F.round(F.col("vector")[0], 6).alias("first")).agg((own <= F.min("gap") + 1e-9).alias("nearest"))
+    return checked.select("id", "label", "first", "nearest")
+
+
+@query(
+    "ivf_search_all_cells",
+    f"""WITH {LABEL_QUERIES}, hits AS (SELECT query_id, id, round(list_dot_product(q, v), 6) AS score FROM lq, unit)
+SELECT query_id, id, score, CAST(rank AS INTEGER) AS rank FROM ({_ranked(10, 'true')})""",
+)
+def _(spark, d):
+    """A search that probes all cells gives the exact hits."""
+    indexed, centers = retrieval.ivf_build(vectors(spark, d), cells=CELLS)
+    found = retrieval.ivf_search(label_queries(spark, d), indexed, centers, 10, nprobe=CELLS)
+    return found.withColumn("score", F.round("score", 6))
 
 
 @query("ivf_search")

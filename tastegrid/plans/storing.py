@@ -16,7 +16,7 @@ from tastegrid.operators.cleaning import clean_ratings
 from tastegrid.plans import experimenting
 from tastegrid.plans.guarding import _INPUT_VIOLATIONS, SCREENED
 from tastegrid.plans.ratings import ORDER
-from tastegrid.plans.registry import CONTENT, CORPUS, ITEMS, LOG, QA, RATINGS, query
+from tastegrid.plans.registry import ADMISSION, CONTENT, CORPUS, ITEMS, LOG, QA, RATINGS, query
 from tastegrid.sources import readers, stores, tables
 from tastegrid.streaming import jobs
 
@@ -320,7 +320,11 @@ def _(spark, d):
     return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("stream_admission")
+@query(
+    "stream_admission",
+    f"""WITH RECURSIVE {LOG}, {ADMISSION} SELECT key, event_id, reason, reason = 'ok' AS admitted FROM passed
+WHERE rn > 0 AND tick < (SELECT (epoch_ms(max(ts)) - 600000) * 1000 FROM events)""",
+)
 def _(spark, d):
     """Streamed admission per user; the decisions of the events that the watermark has passed."""
     log = log_stream(spark, d).withColumn("key", F.col("user_id"))
