@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,44 +48,71 @@ def item_content(genre: Column, plot: Column, title: Column) -> Column:
     )
 
 
-def term_counts(docs: DataFrame, text: str, id_col: str = "id") -> DataFrame:
-    """id, term, tf. Partial counts run before the shuffle."""
-    exploded = docs.select(id_col, F.explode(_with_pairs(tokens(F.col(text)))).alias("term"))
-    return exploded.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+def doc_terms(docs: DataFrame, text: str, id_col: str = "id") -> DataFrame:
+    """id, terms: the tokens and neighbouring pairs of each document, one row per document."""
+    return docs.select(id_col, _with_pairs(tokens(F.col(text))).alias("terms"))
 
 
-def vocabulary_topn(counts: DataFrame, n: int = MAX_FEATURES) -> DataFrame:
+def term_sums(terms: DataFrame) -> DataFrame:
+    """term, total, df in one shuffle of partial sums: all occurrences, and one per document."""
+    every = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
+    once = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
+    return (
+        terms.select(F.explode(F.concat(every, once)).alias("x"))
+        .groupBy(F.col("x.term").alias("term"))
+        .agg(F.sum("x.n").alias("total"), F.sum("x.d").alias("df"))
+    )
+
+
+def vocabulary_topn(sums: DataFrame, n: int = MAX_FEATURES) -> DataFrame:
     """The n terms with the largest total count, ties by term."""
-    return counts.groupBy("term").agg(F.sum("tf").alias("total")).orderBy(F.desc("total"), "term").limit(n)
+    return sums.orderBy(F.desc("total"), "term").limit(n).select("term", "total")
 
 
-def doc_frequency(counts: DataFrame, n_docs: int | Column) -> DataFrame:
-    """term, df, idf = ln((1 + n) / (1 + df)) + 1. ``counts`` has one row per (id, term)."""
+def _idf(n: Column) -> Column:
+    return F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0
+
+
+def doc_frequency(sums: DataFrame, n_docs: int | Column) -> DataFrame:
+    """term, df, idf = ln((1 + n) / (1 + df)) + 1 from a table with df per term."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
-    by_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return by_term.withColumn("idf", F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("df"))) + 1.0)
+    return sums.select("term", "df", _idf(n).alias("idf"))
 
 
-def fit_tfidf(
-    docs: DataFrame, text: str, id_col: str = "id", max_features: int = MAX_FEATURES, counts: DataFrame | None = None
-) -> DataFrame:
+def fit_tfidf(docs: DataFrame, text: str, id_col: str = "id", max_features: int = MAX_FEATURES) -> DataFrame:
     """id, term, weight: tf * idf over the kept vocabulary, each document scaled to unit length.
 
-    The vocabulary has at most ``max_features`` rows, so its broadcast does not grow with the corpus.
+    A document is one row: its terms are counted and scaled inside the row, only the sums per term cross the
+    network. The vocabulary has at most ``max_features`` rows, so what travels to the tasks does not grow.
     """
-    counts = term_counts(docs, text, id_col) if counts is None else counts
-    n_docs = docs.count()
-    vocabulary = (
-        counts.groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    terms = doc_terms(docs, text, id_col)
+    kept = (
+        term_sums(terms)
         .orderBy(F.desc("total"), "term")
         .limit(max_features)
-        .select("term", (F.log((F.lit(1.0) + F.lit(n_docs)) / (F.lit(1.0) + F.col("df"))) + 1.0).alias("idf"))
+        .select("term", _idf(F.lit(docs.count())).alias("idf"))
+        .collect()
     )
-    raw = counts.join(F.broadcast(vocabulary), "term").select(id_col, "term", (F.col("tf") * F.col("idf")).alias("_w"))
-    # a window group is one document's kept terms: at most max_features rows
-    length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(id_col)))
-    return raw.select(id_col, "term", (F.col("_w") / length).alias("weight"))
+    shared = docs.sparkSession.sparkContext.broadcast(([r["term"] for r in kept], np.array([r["idf"] for r in kept])))
+
+    def scale(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary, idf = shared.value
+        names = pa.array(vocabulary, pa.string())
+        for b in batches:
+            found = pc.index_in(b.column(1).flatten(), value_set=names)
+            row = np.repeat(np.arange(b.num_rows), b.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            known = found.is_valid().to_numpy(zero_copy_only=False)
+            slot = found.fill_null(0).to_numpy(zero_copy_only=False)[known]
+            key, tf = np.unique(row[known] * max(len(idf), 1) + slot, return_counts=True)
+            row, slot = key // max(len(idf), 1), key % max(len(idf), 1)
+            weight = tf * idf[slot]
+            length = np.sqrt(np.bincount(row, weight * weight, b.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row)), names.take(pa.array(slot)), pa.array(weight / length[row])], [id_col, "term", "weight"]
+            )
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return terms.mapInArrow(scale, f"`{id_col}` {kind}, term string, weight double")
 
 
 def hashed_vectors(docs: DataFrame, text: str, id_col: str = "id", dim: int = 384) -> DataFrame:
@@ -93,7 +121,8 @@ def hashed_vectors(docs: DataFrame, text: str, id_col: str = "id", dim: int = 38
         F.count(F.lit(1)).alias("tf")
     )
     n_docs = docs.count()
-    freq = doc_frequency(counts, n_docs).select(
+    by_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    freq = doc_frequency(by_term, n_docs).select(
         "term", "idf", (F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % dim).cast("int").alias("bucket")
     )
     raw = (

@@ -177,3 +177,27 @@ def test_an_index_is_flat_unless_the_caller_says_otherwise(spark):
     docs = spark.range(10).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
     indexed, centers = retrieval.ivf_build(docs)
     assert indexed.select("centroid").distinct().count() == 1 and centers.count() == 0
+
+
+def test_tfidf_inside_the_row(spark):
+    import math
+    from collections import Counter
+
+    from tastegrid.operators import tfidf
+
+    texts = {1: "red fox red", 2: None, 3: "", 4: "the of", 5: "blue fox", 6: "red"}
+    docs = spark.createDataFrame(list(texts.items()), "id int, text string")
+    got = {(r["id"], r["term"]): r["weight"] for r in tfidf.fit_tfidf(docs, "text", max_features=4).collect()}
+    terms = {}
+    for i, t in texts.items():
+        words = [w for w in (t or "").split() if w not in tfidf.STOP_WORDS]
+        terms[i] = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+    total, df = Counter(t for v in terms.values() for t in v), Counter(t for v in terms.values() for t in set(v))
+    kept = sorted(total, key=lambda t: (-total[t], t))[:4]
+    for i, v in terms.items():
+        raw = {t: v.count(t) * (math.log(7 / (1 + df[t])) + 1) for t in kept if t in v}
+        size = math.sqrt(sum(w * w for w in raw.values()))
+        for t, w in raw.items():
+            assert got.pop((i, t)) == pytest.approx(w / size)
+    assert not got
+    assert tfidf.fit_tfidf(docs.limit(0), "text").count() == 0
