@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegrid.functions.hashing import hash_bucket
+from tastegrid.operators.ordering import global_position
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -43,9 +44,13 @@ def distinct_items(ratings: DataFrame, item: str = "item_id") -> DataFrame:
 
 
 def pick_users(ratings: DataFrame, n: int, seed: int = 42, user: str = "user_id") -> DataFrame:
-    """n users by the order of md5(seed:user): repeatable without a shared random state."""
+    """n users by the order of md5(seed:user): repeatable without a shared random state.
+
+    Positions are counted over a range-partitioned layout, so the n users are never gathered in one task.
+    """
     ranked = F.md5(F.concat(F.lit(f"{seed}:"), F.col(user).cast("string")))
-    return distinct_users(ratings, user).orderBy(ranked, user).limit(n)
+    placed = global_position(distinct_users(ratings, user).withColumn("_ranked", ranked), ["_ranked", user], "_position")
+    return placed.where(F.col("_position") < n).select(user)
 
 
 def semi_sampled_users(ratings: DataFrame, users: DataFrame, user: str = "user_id") -> DataFrame:

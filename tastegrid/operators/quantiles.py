@@ -14,11 +14,17 @@ from pyspark.sql import functions as F
 
 from tastegrid.session import settle
 
-BUCKETS = 64
+#: Distinct values of one bucket, which is one window task.
+BUCKET_VALUES = 100_000
 
 
-def with_buckets(counted: DataFrame, value: str, buckets: int = BUCKETS, out: str = "_bucket") -> DataFrame:
-    """Adds a bucket number that grows with ``value``; bounds come from a fixed-size quantile sketch."""
+def with_buckets(counted: DataFrame, value: str, buckets: int | None = None, out: str = "_bucket") -> DataFrame:
+    """Adds a bucket number that grows with ``value``; bounds come from a quantile sketch.
+
+    There are as many buckets as keep each at about BUCKET_VALUES distinct values, unless the caller says how many.
+    """
+    if buckets is None:
+        buckets = max(2, -(-counted.count() // BUCKET_VALUES))
     qs = [i / buckets for i in range(1, buckets)]
     bounds = counted.agg(F.percentile_approx(value, qs, 10_000).alias("b")).first()["b"] or []
     splits = [-float("inf"), *sorted({float(b) for b in bounds}), float("inf")]
@@ -28,11 +34,10 @@ def with_buckets(counted: DataFrame, value: str, buckets: int = BUCKETS, out: st
     return cut.withColumn(out, F.col(out).cast("int"))
 
 
-def cumulative(counted: DataFrame, value: str, sums: dict[str, str], buckets: int = BUCKETS) -> DataFrame:
+def cumulative(counted: DataFrame, value: str, sums: dict[str, str], buckets: int | None = None) -> DataFrame:
     """Inclusive running sums along ``value`` plus ``next_value``, the next larger distinct value.
 
-    ``counted`` has one row per value. Windows run inside one bucket; offsets come from the at most
-    ``buckets`` + 1 bucket rows.
+    ``counted`` has one row per value. Windows run inside one bucket; offsets come from the one row per bucket.
     """
     rows = with_buckets(counted, value, buckets)
     per_bucket = rows.groupBy("_bucket").agg(
