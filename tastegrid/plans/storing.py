@@ -13,10 +13,10 @@ from tastegrid.functions.vectors import l2_normalize
 from tastegrid.operators import drift, evaluating, factors, retrieval, telemetry
 from tastegrid.operators.prompting import build_prompts, register_strategy
 from tastegrid.operators.cleaning import clean_ratings
-from tastegrid.plans import experimenting
+from tastegrid.plans import experimenting, monitoring  # noqa: F401  their SQL is read below
 from tastegrid.plans.guarding import _INPUT_VIOLATIONS, SCREENED
 from tastegrid.plans.ratings import ORDER
-from tastegrid.plans.registry import ADMISSION, CONTENT, CORPUS, ITEMS, LOG, QA, RATINGS, query
+from tastegrid.plans.registry import ADMISSION, CONTENT, CORPUS, ITEMS, LOG, ORACLE, QA, RATINGS, query
 from tastegrid.sources import readers, stores, tables
 from tastegrid.streaming import jobs
 
@@ -144,23 +144,26 @@ def _(spark, d):
     return stored_model(spark, d)[0].user_factors.select("user_id", F.size("vector").alias("dims"))
 
 
-@query("write_experiment_results", "SELECT * FROM (VALUES ('zero_shot'), ('few_shot_k3'), ('few_shot_k5'), ('chain_of_thought'), ('meta_prompt')) t(strategy)")
+@query("write_experiment_results", ORACLE["summarize_strategies"])
 def _(spark, d):
     path = stores.scratch_folder(spark, "results")
     summary = evaluating.summarize_strategies(experimenting.scored(spark, d)).persist()
     n = summary.agg(F.max("num_samples")).first()[0]
     stores.write_experiment_results(summary, evaluating.compare_strategies(summary), n, path)
     summary.unpersist()
-    return spark.read.json(f"{path}/summaries").select("strategy")
+    means = ["rouge_l_f1", "embedding_similarity", "factuality", "helpfulness", "latency_ms", "error_rate"]
+    stored = spark.read.json(f"{path}/summaries").select("strategy", "num_samples", "tokens", *means)
+    return stored.withColumns({c: F.round(c, 6) for c in means})
 
 
-@query("write_drift_report", "SELECT * FROM (VALUES ('genre'), ('year'), ('rating'), ('director')) t(column_name)")
+@query("write_drift_report", ORACLE["corpus_drift"])
 def _(spark, d):
     path = stores.scratch_folder(spark, "drift")
     c = tables.corpus(spark, d)
-    rows = drift.corpus_drift(c, c)
+    rows = drift.corpus_drift(c.where("genre <> 'de'"), c.where("genre <> 'fr'"))
     stores.write_drift_report(rows, drift.dataset_drift(rows), path)
-    return spark.read.json(f"{path}/columns").select("column_name")
+    stored = spark.read.json(f"{path}/columns")
+    return stored.select("column_name", "method", F.round("score", 6).alias("score"), "drifted")
 
 
 @query(
