@@ -2,18 +2,19 @@
 
 A document's set is its distinct word shingles. Two sets of similarity t or more share a token among the first
 |x| - ceil(t |x|) + 1 of either, under any one order of all tokens. So candidates must share a prefix token
-under several orders at once: rarest first (which makes the join small), and two hash orders. What passes all
-of them is verified on the whole sets.
+under several orders at once: rarest first (which makes the join small), and two hash orders. Under the first order
+the tokens from the shared one on also bound the intersection, which must reach t / (1 + t) of both sizes. What
+passes all of them is verified on the whole sets.
 
 Steps, all spread by Spark:
- 1. equal sets become one class (two 64-bit sums of mixed tokens); copies never meet as pairs;
+ 1. equal sets become one class (96 bits of sums of mixed tokens); copies never meet as pairs;
  2. tokens travel in packed blocks to their bucket, where their number of classes is counted exactly. Tokens of a
     single class can be in no intersection: they come first in every order, cost one number per class and stay.
     Tokens that are frequent already inside one task are marked in a fixed-size bitmap; they come last in every
     order and skip the buckets, so no bucket gathers a token that a third of all documents have;
  3. classes whose prefix holds shared tokens are joined on them. A short posting list gives its pairs; a long one
-    (a large group of near copies) is first compared with its smallest member only, components are merged, and
-    only then are pairs of members that are still apart compared. No link between different components is lost,
+    (a large group of near copies) is first compared with its least changed member only, components are merged,
+    and only then are pairs of members that are still apart compared. No link between different components is lost,
     and no group is expanded into all its pairs;
  4. components by iterated minimum labels with pointer jumping.
 
@@ -39,23 +40,23 @@ from tastegrid.session import settle
 
 WIDTH, PERCENT = 5, 75
 #: Tokens of a chunk inside a task; tokens of a bucket on average; classes of one chunk that make a token frequent.
-CHUNK, BUCKET, FREQUENT = 3_000_000, 2_000_000, 32
+CHUNK, BUCKET, FREQUENT = 2_000_000, 1_500_000, 32
 #: Bits of the frequent map (fixed size) and of a token on its way.
 MAP_BITS, TOKEN_BITS = 22, 48
 #: Members of a posting list whose pairs are formed at once; rounds of comparing long lists with one member.
-SHORT, STAR_ROUNDS = 24, 3
+SHORT, STAR_ROUNDS = 24, 1
 
 
 class Sets:
     """Token sets of different classes: ``tokens`` sorted inside each class, ``after`` their bounds, two keys each."""
 
-    def __init__(self, tokens: np.ndarray, after: np.ndarray):
+    def __init__(self, tokens: np.ndarray, after: np.ndarray, keys: np.ndarray | None = None):
         self.tokens, self.after = tokens, after
         self.sizes = np.diff(after)
-        self.keys = np.stack([_sums(mix(tokens + np.uint64(seed)), after) for seed in (1, 2)], axis=1)
-
-    def owner(self) -> np.ndarray:
-        return np.repeat(np.arange(len(self.sizes)), self.sizes)
+        if keys is None:
+            keys = np.stack([_sums(mix(tokens + np.uint64(seed)), after) for seed in (1, 2)], axis=1)
+            keys[:, 1] >>= np.uint64(32)  # 96 bits tell classes apart and weigh less on the way
+        self.keys = keys
 
 
 def _sums(values: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -78,8 +79,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[lis
 
     def whole() -> Sets:
         tokens = np.concatenate([p.tokens for p in parts])
-        sizes = np.concatenate([p.sizes for p in parts])
-        return Sets(tokens, np.concatenate([[0], np.cumsum(sizes)]))
+        after = np.concatenate([[0], np.cumsum(np.concatenate([p.sizes for p in parts]))])
+        return Sets(tokens, after, np.concatenate([p.keys for p in parts]))
 
     for batch in batches:
         raw, bounds = texts_of(batch.column(0))
@@ -110,7 +111,7 @@ def _take(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(tokens, owner as number in ``rows``) of some classes."""
     sizes = sets.sizes[rows]
     at = np.repeat(sets.after[rows] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
-    return sets.tokens[at], np.repeat(np.arange(len(rows)), sizes)
+    return sets.tokens[at], np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
 
 
 def _cell(tokens: np.ndarray) -> np.ndarray:
@@ -171,11 +172,16 @@ _BLOCK = "part int, frequent boolean, block binary"
 
 def _blocks(part: np.ndarray, parts: int, frequent: bool, keys: np.ndarray, sizes: np.ndarray, tokens, owner, df=None):
     """One row per part: the classes it concerns (keys, sizes) and their tokens, sorted, with owners."""
-    order = np.lexsort((tokens, part))
-    bounds = np.searchsorted(part[order], np.arange(parts + 1))
+    order = np.argsort(tokens)
+    part = part[order]
+    if len(part) and (np.diff(part) < 0).any():  # buckets rise with the token, parts of classes do not
+        again = np.argsort(part, kind="stable")
+        order, part = order[again], part[again]
+    found, firsts = np.unique(part, return_index=True)
+    bounds = np.append(firsts, len(part))
     rows = []
-    for p in np.flatnonzero(np.diff(bounds)):
-        at = order[bounds[p] : bounds[p + 1]]
+    for k, p in enumerate(found):
+        at = order[bounds[k] : bounds[k + 1]]
         own, number = np.unique(owner[at], return_inverse=True)
         steps = np.diff(tokens[at], prepend=np.uint64(0))
         more = [] if df is None else [df[at]]
@@ -195,14 +201,14 @@ def _gather(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         keys.append(np.stack([k1, k2], axis=1))
         sizes.append(size.astype(np.int64))
         tokens.append(np.cumsum(steps, dtype=np.uint64))
-        owner.append(number.astype(np.int64) + n)
+        owner.append(number.astype(np.int32) + np.int32(n))
         df += more
         n += len(k1)
     keys, sizes, owner = np.concatenate(keys), np.concatenate(sizes), np.concatenate(owner)
     order = np.lexsort((keys[:, 1], keys[:, 0]))
     new = np.ones(n, bool)
     new[1:] = (keys[order][1:] != keys[order][:-1]).any(1)
-    number = np.empty(n, np.int64)
+    number = np.empty(n, np.int32)
     number[order] = np.cumsum(new) - 1
     return keys[order][new], sizes[order][new], np.concatenate(tokens), number[owner], np.concatenate(df) if df else None
 
@@ -238,6 +244,12 @@ def _shared_tokens(table: pa.Table, parts: int) -> pa.Table:
     if not table.num_rows:
         return frequent
     keys, sizes, tokens, owner, _ = _gather(table["block"].to_pylist())
+    order = np.argsort(tokens)
+    tokens, owner = tokens[order], owner[order]
+    often = np.zeros(len(tokens), bool)  # most tokens occur once and end here
+    often[1:] = tokens[1:] == tokens[:-1]
+    often[:-1] |= often[1:]
+    tokens, owner = tokens[often], owner[often]
     order = np.lexsort((owner, tokens))
     tokens, owner = tokens[order], owner[order]
     new = np.ones(len(tokens), bool)
@@ -256,7 +268,7 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n + (-percent * n // 100) + 1
 
 
-_RECORD = "k1 bigint, k2 bigint, tokens binary, rare array<bigint>, second array<bigint>, third array<bigint>"
+_RECORD = "k1 bigint, k2 bigint, tokens binary, rare array<bigint>, second array<bigint>, third array<bigint>, shared bigint"
 
 
 def _records(table: pa.Table, percent: int) -> pa.Table:
@@ -294,7 +306,7 @@ def _records(table: pa.Table, percent: int) -> pa.Table:
     ]
     chosen = np.flatnonzero(reach > 0)
     signed = tokens.astype(np.int64)
-    columns: list[list] = [[], [], [], [], [], []]
+    columns: list[list] = [[], [], [], [], [], [], []]
     k = keys.view(np.int64)
     for c in chosen.tolist():
         a, b = int(bounds[c]), int(bounds[c + 1])
@@ -304,8 +316,9 @@ def _records(table: pa.Table, percent: int) -> pa.Table:
         columns[0].append(int(k[c, 0])), columns[1].append(int(k[c, 1])), columns[2].append(signed[a:b].tobytes())
         for out, rank in zip(columns[3:], ranks):
             out.append(signed[rank[a : a + r]])
-    kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.list_(pa.int64())] * 3]
-    names = ["k1", "k2", "tokens", "rare", "second", "third"]
+        columns[6].append(b - a)
+    kinds = [pa.int64(), pa.int64(), pa.binary(), *[pa.list_(pa.int64())] * 3, pa.int64()]
+    names = ["k1", "k2", "tokens", "rare", "second", "third", "shared"]
     return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names)
 
 
@@ -324,7 +337,7 @@ def _verify(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
 
 
 def _links(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
-    """a, b of the pairs that pass the size filter, share a prefix token under every order and are similar enough."""
+    """a, b of the pairs that share a prefix token under the other orders too and are similar enough."""
 
     def side(name: str) -> DataFrame:
         return records.select(
@@ -333,55 +346,82 @@ def _links(pairs: DataFrame, records: DataFrame, percent: int) -> DataFrame:
         )
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-    passed = both.where(fits & F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("h_a", "h_b"))
+    passed = both.where(F.arrays_overlap("s_a", "s_b") & F.arrays_overlap("h_a", "h_b"))
     return passed.select("a", "b", "n_a", "n_b", "t_a", "t_b").mapInArrow(partial(_verify, percent=percent), "a bigint, b bigint")
 
 
 def components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """cls, label after merging along ``links`` (a, b): the smallest label of each component, by pointer jumping."""
-    ends = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    while True:
-        near = (
-            ends.join(labels.select(F.col("cls").alias("b"), "label"), "b")
-            .groupBy(F.col("a").alias("cls"))
-            .agg(F.min("label").alias("_near"))
-        )
-        # a class pulls the root it points to along, so long chains halve in every round
-        moved = labels.join(near, "cls", "left").withColumn("_near", F.least("label", F.coalesce("_near", "label")))
-        root = moved.groupBy(F.col("label").alias("_old")).agg(F.min("_near").alias("_new"))
-        jump = root.select(F.col("_old").alias("_new"), F.col("_new").alias("_next"))
-        root = settle(root.join(jump, "_new", "left").select("_old", F.coalesce("_next", "_new").alias("_new")))
-        pulled = settle(
-            labels.join(root, labels["label"] == root["_old"]).select("cls", F.col("_new").alias("_l"), (F.col("_new") != F.col("label")).alias("_c"))
-        )
-        changed = pulled.where("_c").limit(1).count()
-        labels = pulled.select("cls", F.col("_l").alias("label"))
-        if not changed:
-            return labels
+    """cls, label after merging along ``links`` (a, b): the smallest label of each component.
+
+    Only the links between different labels take part, and they are contracted in every round: each label moves
+    to its smallest neighbour, with one pointer jump, so a star is done in one round and a chain shrinks by half.
+    """
+    named = labels.select(F.col("cls").alias("_c"), F.col("label").alias("_l"))
+    ends = links.join(named, links["a"] == named["_c"]).select("b", F.col("_l").alias("u"))
+    ends = ends.join(named, ends["b"] == named["_c"]).select("u", F.col("_l").alias("v"))
+    edges = settle(ends.where("u <> v").distinct())
+    while not edges.isEmpty():
+        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        near = both.groupBy(F.col("u").alias("_old")).agg(F.min(F.least("u", "v")).alias("_near"))
+        jump = near.select(F.col("_old").alias("_near"), F.col("_near").alias("_next"))
+        root = settle(near.join(jump, "_near", "left").select("_old", F.coalesce("_next", "_near").alias("_new")))
+        labels = labels.join(root, labels["label"] == root["_old"], "left").select("cls", F.coalesce("_new", "label").alias("label"))
+        left = edges.join(root, edges["u"] == root["_old"]).select(F.col("_new").alias("_u"), "v")
+        right = left.join(root, left["v"] == root["_old"]).select(F.col("_u").alias("u"), F.col("_new").alias("v"))
+        edges = settle(right.where("u <> v").distinct())
+    return settle(labels)
+
+
+def _posting_lists(records: DataFrame, percent: int) -> DataFrame:
+    """token, cls, n, rest (the class's shared tokens from this one on), _n members; lists of two members at least.
+
+    Members whose rest cannot reach the smallest member are left out: no pair of theirs passes ``_fits``.
+    """
+    flat = records.select("cls", "n", "shared", F.posexplode("rare").alias("_at", "token"))
+    lists = flat.select("token", "cls", "n", (F.col("shared") - F.col("_at")).alias("rest"))
+    least = lists.groupBy("token").agg(F.min("n").alias("_least"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    able = lists.join(least.drop("_n"), "token").where(F.col("rest") * (100 + percent) >= (F.col("n") + F.col("_least")) * percent)
+    able = able.drop("_least")
+    sizes = able.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return settle(able.join(sizes, "token"))
+
 
+def _fits(percent: int) -> Column:
+    """Whether two members of a list (columns n, rest and n_h, rest_h) can be similar by sizes and positions."""
+    sizes = F.least("n", "n_h") * 100 >= F.greatest("n", "n_h") * percent
+    return sizes & (F.least("rest", "rest_h") * (100 + percent) >= (F.col("n") + F.col("n_h")) * percent)
 
-def _star_pairs(lists: DataFrame) -> DataFrame:
-    """Every member of a list with its smallest member."""
-    hub = lists.groupBy("token").agg(F.min("cls").alias("hub"))
-    return lists.join(hub, "token").where("cls <> hub").select(F.col("hub").alias("a"), F.col("cls").alias("b")).distinct()
 
+def _meet(lists: DataFrame, hubs: DataFrame, percent: int, apart: bool = False) -> DataFrame:
+    """a, b of the members of ``lists`` with those of ``hubs`` on the same token, each pair once."""
+    other = hubs.select("token", *[F.col(c).alias(f"{c}_h") for c in ("cls", "n", "rest", *(["label"] if apart else []))])
+    on = _fits(percent) & (F.col("label") != F.col("label_h") if apart else F.col("cls") != F.col("cls_h"))
+    pairs = lists.join(other, "token").where(on)
+    return pairs.select(F.least("cls", "cls_h").alias("a"), F.greatest("cls", "cls_h").alias("b")).distinct()
 
-def _short_pairs(lists: DataFrame) -> DataFrame:
-    left = lists.select("token", F.col("cls").alias("a"))
-    right = lists.select("token", F.col("cls").alias("b"))
-    return left.join(right, "token").where("a < b").select("a", "b").distinct()
+
+def _least_changed(lists: DataFrame) -> DataFrame:
+    """One member of each list, that with the fewest tokens outside its rest (then the smallest)."""
+    columns = [c for c in lists.columns if c != "token"]
+    best = F.max(F.struct((F.col("rest") - F.col("n")).alias("_d"), (-F.col("cls")).alias("_o"), *columns))
+    return lists.groupBy("token").agg(best.alias("_b")).select("token", *[F.col(f"_b.{c}").alias(c) for c in columns])
+
+
+def _short_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    other = lists.select("token", *[F.col(c).alias(f"{c}_h") for c in ("cls", "n", "rest")])
+    pairs = lists.join(other, "token").where((F.col("cls") < F.col("cls_h")) & _fits(percent))
+    return pairs.select(F.col("cls").alias("a"), F.col("cls_h").alias("b")).distinct()
 
 
 def _apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """token, cls, label, main of the lists whose members are in more than one component; main: its largest."""
+    """The lists whose members are in more than one component, with each member's label and the largest's: main."""
     named = lists.join(labels, "cls")
-    sizes = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = named.groupBy("token", "label").agg(F.count(F.lit(1)).alias("_m"))
     main = (
         sizes.groupBy("token")
-        .agg(F.max(F.struct("_n", "label")).alias("_m"), F.count(F.lit(1)).alias("_parts"))
+        .agg(F.max(F.struct("_m", "label")).alias("_best"), F.count(F.lit(1)).alias("_parts"))
         .where("_parts > 1")
-        .select("token", F.col("_m.label").alias("main"))
+        .select("token", F.col("_best.label").alias("main"))
     )
     return settle(named.join(main, "token"))
 
@@ -412,28 +452,21 @@ def similarity_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     counted = blocks.groupBy("part").applyInArrow(_per_group(_shared_tokens, parts=buckets), _BLOCK)
     found = counted.groupBy("part").applyInArrow(_per_group(_records, percent=percent), _RECORD)
     records = settle(found.join(classes.select("k1", "k2", "cls", "n"), ["k1", "k2"]))
-    lists = records.select(F.explode("rare").alias("token"), "cls")
-    sized = lists.groupBy("token").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    lists = settle(lists.join(sized, "token"))
-    long = lists.where(F.col("_n") > SHORT).select("token", "cls")
-    pairs = _short_pairs(lists.where(F.col("_n") <= SHORT)).union(_star_pairs(long)).distinct()
+    lists = _posting_lists(records, percent)
+    long = lists.where(F.col("_n") > SHORT).drop("_n")
+    short = lists.where(F.col("_n") <= SHORT).drop("_n")
+    pairs = _short_pairs(short, percent).union(_meet(long, _least_changed(long), percent)).distinct()
     links = settle(_links(pairs, records, percent))
     labels = components(records.select("cls", F.col("cls").alias("label")), links)
     for turn in range(STAR_ROUNDS + 1):
         apart = _apart(long, labels)
         if apart.isEmpty():
             break
+        # outside the list's largest component: its least changed member meets all others, and at the end, as the
+        # exact rest, each member does
         others = apart.where("label <> main")
-        if turn < STAR_ROUNDS:
-            # the smallest member outside the list's largest component meets all others outside its own
-            hub = others.groupBy("token").agg(F.min(F.struct("cls", "label")).alias("_h"))
-            pairs = apart.join(hub, "token").where(F.col("label") != F.col("_h.label")).select("cls", F.col("_h.cls").alias("hub"))
-        else:
-            # exact rest: members outside the largest component meet every member of another component
-            one = others.select("token", F.col("cls").alias("hub"), F.col("label").alias("_l"))
-            pairs = apart.join(one, "token").where(F.col("label") != F.col("_l")).select("cls", "hub")
-        pairs = pairs.select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-        new = settle(_links(pairs, records, percent))
+        hubs = _least_changed(others) if turn < STAR_ROUNDS else others
+        new = settle(_links(_meet(apart, hubs, percent, apart=True), records, percent))
         links = links.union(new)
         labels = components(labels, new)
     named = classes.select("k1", "k2", "cls", "rep").withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
@@ -443,13 +476,13 @@ def similarity_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (links of the document's class to other classes)."""
-    rows, labels, links = similarity_links(docs, width, percent)
-    ends = links.select(F.col("a").alias("cls")).unionAll(links.select(F.col("b").alias("cls")))
-    degree = ends.groupBy("cls").agg(F.count(F.lit(1)).alias("n_links"))
-    return _named(rows, labels).join(degree, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
+    """doc_id, n_shingles, component_id, the smallest doc_id reachable by links.
+
+    Links are only looked for as far as components need them: two members that others already connect are not
+    compared, so there is no count of links.
+    """
+    rows, labels, _ = similarity_links(docs, width, percent)
+    return _named(rows, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
