@@ -176,13 +176,13 @@ def with_record_types(pages: DataFrame) -> DataFrame:
     """page_id, url, html, digest, record_type, refers_to. Pages meet their group's largest page_id by narrow rows only."""
     html = F.encode(F.coalesce(F.col("html"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(html).alias("digest"))
+    # a plain key, so that numbering repeated rows and the join share one shuffle of the pages
+    rows = rows.withColumn("_key", F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     top = rows.groupBy("digest").agg(F.max("page_id").alias("_top"))
-    decided = rows.groupBy("page_id", "digest").agg(F.lit(1).alias("_one")).join(top, "digest")
-    decided = decided.select(F.col("page_id").alias("_id"), F.col("digest").alias("_digest"), "_top")
-    both = rows.join(decided, rows["page_id"].eqNullSafe(decided["_id"]) & (rows["digest"] == decided["_digest"]))
-    copy = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
+    decided = rows.groupBy("_key", "digest").agg(F.lit(1).alias("_one")).join(top, "digest").select("_key", "digest", "_top")
+    copy = F.row_number().over(Window.partitionBy("_key", "digest").orderBy("url"))
     first = F.col("page_id").eqNullSafe(F.col("_top")) & (F.col("_copy") == 1)
-    return both.withColumn("_copy", copy).select(
+    return rows.withColumn("_copy", copy).join(decided, ["_key", "digest"]).select(
         "page_id", "url", "html", "digest",
         F.when(first, "response").otherwise("revisit").alias("record_type"),
         F.when(~first, F.col("_top")).alias("refers_to"),
