@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.llm.layout import digest
+from tastegrid.session import settle
 
 #: Sites that make a line boilerplate; 2**LOG_K sketch registers (2.3 % error); the band is 4 errors wide, 2 sites at least.
 MIN_SITES, LOG_K, BAND = 10, 11, 0.1
@@ -34,17 +35,19 @@ def exploded_lines(docs: DataFrame) -> DataFrame:
 
 def boilerplate_lines(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K, band: float = BAND) -> DataFrame:
     """h1, h2 of the lines that stand on at least ``min_sites`` sites."""
-    spread = (
+    width = max(2, round(band * min_sites))
+    # written out: the joins below then read plain tables, whose hot keys Spark splits, and nothing is counted twice
+    spread = settle(
         lines.where(F.col("source").isNotNull())
         .groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("_n"), F.hll_sketch_agg("source", F.lit(log_k)).alias("_s"))
         .where(F.col("_n") >= min_sites)
         .select("h1", "h2", F.hll_sketch_estimate("_s").alias("_sites"))
+        .where(F.col("_sites") >= min_sites - width)
     )
-    width = max(2, round(band * min_sites))
     sure = spread.where(F.col("_sites") > min_sites + width).select("h1", "h2")
-    near = spread.where(F.abs(F.col("_sites") - min_sites) <= width).select("h1", "h2")
-    exact = (
+    near = spread.where(F.col("_sites") <= min_sites + width).select("h1", "h2")
+    exact = settle(
         lines.where(F.col("source").isNotNull())
         .join(near, ["h1", "h2"], "left_semi")
         .groupBy("h1", "h2", "source")
