@@ -218,11 +218,18 @@ def remainder(doc_id: Column, parts: int) -> Column:
 
 
 def train(featured: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> AdditiveModel:
-    """Fits on the ``sample`` labelled rows of ``featured`` (doc_id, FEATURES) with the smallest hashes."""
+    """Fits on at most ``sample`` labelled rows of ``featured`` (doc_id, FEATURES), those with the smallest hashes.
+
+    Of more than four times as many labels only the share with small hashes takes part, so what tasks send for
+    the choice does not grow with the table either.
+    """
     known = labels.where(F.col("quality").isNotNull()).select("doc_id", F.col("quality").cast("double").alias("_y"))
+    known = known.withColumn("_h", F.xxhash64("doc_id"))
+    share = min(1.0, 4 * sample / max(known.count(), 1))
+    if share < 1:
+        known = known.where(F.pmod("_h", F.lit(1 << 20)) < int(share * (1 << 20)))
     rows = (
         featured.join(known, "doc_id")
-        .withColumn("_h", F.xxhash64("doc_id"))
         .orderBy("_h", "doc_id", "_y", *FEATURES)
         .limit(sample)
         .select("_y", *FEATURES)
