@@ -16,7 +16,11 @@ Steps, all spread by Spark:
     (a large group of near copies) is first compared with its least changed member only, components are merged,
     and only then are pairs of members that are still apart compared. No link between different components is lost,
     and no group is expanded into all its pairs;
- 4. components by iterated minimum labels with pointer jumping.
+ 4. components by iterated minimum labels with pointer jumping;
+ 5. where links themselves are asked for (``similarity_links``, ``n_links``), the pairs that step 3 left out are all
+    formed: members of long lists are cut into blocks inside their component, a task takes two packed blocks and
+    counts common tokens of all their members at once. Only counts (or, for the links, links) leave the task. The
+    work grows with the square of a group of near copies, as the number of its links does.
 
 Nulls, ties and odd rows: a null or empty text has an empty set and is its own component; a row without doc_id has
 no component; rows that repeat a doc_id are linked through it only if their sets are; repeated rows give equal
@@ -45,6 +49,8 @@ CHUNK, BUCKET, FREQUENT = 2_000_000, 1_500_000, 32
 MAP_BITS, TOKEN_BITS = 22, 48
 #: Members of a posting list whose pairs are formed at once; rounds of comparing long lists with one member.
 SHORT, STAR_ROUNDS = 24, 1
+#: Members of a block of a component and their tokens, on average; pairs by rare tokens that are spread at once.
+MEMBERS, MEMBER_TOKENS, SPREAD = 1024, 1_000_000, 1_000_000
 
 
 class Sets:
@@ -426,10 +432,108 @@ def _apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
     return settle(named.join(main, "token"))
 
 
+# ---- all links ------------------------------------------------------------------------------------------------------
+
+
+def _member_block(table: pa.Table) -> pa.Table:
+    """The members of one (label, salt) as one row: their classes, sizes and tokens, sorted by token."""
+    sets = [np.frombuffer(t.as_buffer(), np.int64) for t in table["tokens"].combine_chunks()]
+    tokens = np.concatenate(sets).astype(np.uint64)
+    owner = np.repeat(np.arange(len(sets)), [len(t) for t in sets])
+    order = np.lexsort((owner, tokens))
+    steps = np.diff(tokens[order], prepend=np.uint64(0))
+    block = _pack(table["cls"].to_numpy(), table["n"].to_numpy(), steps, owner[order])
+    return table.slice(0, 1).select(["label", "salt", "blocks"]).append_column("block", pa.array([block], pa.binary()))
+
+
+def _spans(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of every run of ``n`` numbers."""
+    return np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each member of one block (rows) shares with each of another (columns)."""
+    (own_x, own_y), shape = (x[3].astype(np.int64), y[3].astype(np.int64)), (len(x[0]), len(y[0]))
+    (tokens_x, at_x, n_x), (tokens_y, at_y, n_y) = (
+        np.unique(np.cumsum(b[2], dtype=np.uint64), return_index=True, return_counts=True) for b in (x, y)
+    )
+    _, i, j = np.intersect1d(tokens_x, tokens_y, assume_unique=True, return_indices=True)
+    at_x, n_x, at_y, n_y = at_x[i], n_x[i], at_y[j], n_y[j]
+    out, work = np.zeros(shape, np.int64), n_x * n_y
+    often = np.flatnonzero(work * 64 > out.size)  # tokens of many members: a product of 0/1 matrices
+    for first in range(0, len(often), 512):
+        some = often[first : first + 512]
+        dense = []
+        for at, n, own, rows in ((at_x[some], n_x[some], own_x, shape[0]), (at_y[some], n_y[some], own_y, shape[1])):
+            dense.append(np.zeros((rows, len(some)), np.float32))
+            dense[-1][own[_spans(at, n)], np.repeat(np.arange(len(some)), n)] = 1
+        out += (dense[0] @ dense[1].T).astype(np.int64)
+    rare = np.flatnonzero(work * 64 <= out.size)  # the others pair by pair
+    piece = np.cumsum(work[rare]) // SPREAD
+    for some in np.split(rare, np.flatnonzero(np.diff(piece)) + 1):
+        within = _spans(np.zeros(len(some), np.int64), work[some])
+        width = np.repeat(n_y[some], work[some])
+        a = own_x[np.repeat(at_x[some], work[some]) + within // width]
+        b = own_y[np.repeat(at_y[some], work[some]) + within % width]
+        out += np.bincount(a * shape[1] + b, minlength=out.size).reshape(shape)
+    return out
+
+
+def _block_pair(table: pa.Table, percent: int, count: bool) -> pa.Table:
+    """Of two blocks (or one with itself): the links a, b, or with ``count`` the number of links per class."""
+    blocks = [_unpack(b) for b in table["block"].to_pylist()]
+    alone = table["low"][0].as_py() == table["high"][0].as_py()
+    near, x, y = np.zeros((0, 0), bool), blocks[0], blocks[-1]
+    if alone or len(blocks) > 1:  # a salt may have no member
+        both = _common(x, y)
+        n_x, n_y = x[1].astype(np.int64)[:, None], y[1].astype(np.int64)[None, :]
+        near = 100 * both >= percent * (n_x + n_y - both)
+        if alone:
+            near = np.triu(near, 1)
+    cls_x, cls_y = x[0].astype(np.int64), y[0].astype(np.int64)
+    if not count:
+        i, j = np.nonzero(near)
+        return pa.table({"a": np.minimum(cls_x[i], cls_y[j]), "b": np.maximum(cls_x[i], cls_y[j])})
+    degrees = np.concatenate([near.sum(1), near.sum(0)]).astype(np.int64)
+    some = np.flatnonzero(degrees)
+    return pa.table({"cls": np.concatenate([cls_x, cls_y])[some] if len(some) else np.zeros(0, np.int64), "n_links": degrees[some]})
+
+
+def _block_links(records: DataFrame, labels: DataFrame, members: DataFrame, percent: int, count: bool) -> DataFrame:
+    """All links between ``members`` (cls), each from one pair of blocks of its component."""
+    named = members.join(labels, "cls").join(records.select("cls", "n", "tokens"), "cls")
+    sizes = named.groupBy("label").agg(F.count(F.lit(1)).alias("_m"), F.sum(F.octet_length("tokens") / 8).alias("_t")).where("_m > 1")
+    blocks = F.ceil(F.greatest(F.col("_m") / MEMBERS, F.col("_t") / MEMBER_TOKENS)).cast("int")
+    salted = named.join(sizes.select("label", blocks.alias("blocks")), "label")
+    salted = salted.withColumn("salt", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
+    packed = salted.groupBy("label", "salt").applyInArrow(_member_block, "label bigint, salt int, blocks int, block binary")
+    other = packed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = other.select("label", F.least("salt", "_other").alias("low"), F.greatest("salt", "_other").alias("high"), "block")
+    schema = "cls bigint, n_links bigint" if count else "a bigint, b bigint"
+    return met.groupBy("label", "low", "high").applyInArrow(_per_group(_block_pair, percent=percent, count=count), schema)
+
+
+def _other_links(links: DataFrame, members: DataFrame) -> DataFrame:
+    """The links with an end outside ``members``: their tokens meet in short lists only, so they are all found."""
+    for end in ("a", "b"):
+        links = links.join(members.select(F.col("cls").alias(end), F.lit(True).alias(f"_{end}")), end, "left")
+    return links.where("_a is null or _b is null").select("a", "b")
+
+
 def similarity_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents: doc_id, x1, x2, n, cls, rep; classes in candidates: cls, label; links: a, b between classes).
+    """(documents: doc_id, x1, x2, n, cls, rep; classes in candidates: cls, label; links: a, b, all between classes).
+
+    x1 and x2 are hashes of the text; with doc_id they name a row up to repetition. A group of near copies has as
+    many links as pairs; they are formed when the links are read.
+    """
+    documents, labels, links, records, members = _spanned(docs, width, percent)
+    return documents, labels, _other_links(links, members).unionAll(_block_links(records, labels, members, percent, False))
+
+
+def _spanned(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(documents, labels, links that span the components, records, cls of the members of long lists).
 
-    x1 and x2 are hashes of the text; with doc_id they name a row up to repetition.
+    A pair is missing from these links only if both ends are members of long lists.
     """
     spark = docs.sparkSession
     texts = docs.select("text", "doc_id", *_text_hashes())
@@ -472,17 +576,23 @@ def similarity_links(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT
     named = classes.select("k1", "k2", "cls", "rep").withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
     own = (rows["k1"] == named["_k1"]) & (rows["k2"] == named["_k2"]) & rows["doc_id"].isNotNull()
     documents = rows.join(named, own, "left").drop("_k1", "_k2")
-    return documents, labels, links.distinct()
+    return documents, labels, links.distinct(), records, long.select("cls").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, the smallest doc_id reachable by links.
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, count: bool = True) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links: the smallest doc_id reachable by links, the links of the text's class.
 
-    Links are only looked for as far as components need them: two members that others already connect are not
-    compared, so there is no count of links.
+    n_links counts all classes (different sets of shingles) that are similar enough to the document's own. Without
+    ``count`` there is no n_links, and links are only looked for as far as components need them.
     """
-    rows, labels, _ = similarity_links(docs, width, percent)
-    return _named(rows, labels).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    rows, labels, links, records, members = _spanned(docs, width, percent)
+    named, columns = _named(rows, labels), ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    if not count:
+        return named.select(*columns)
+    others = _other_links(links, members).select(F.explode(F.array("a", "b")).alias("cls"), F.lit(1).cast("long").alias("n_links"))
+    ends = others.unionAll(_block_links(records, labels, members, percent, True))
+    degree = ends.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
+    return named.join(degree, "cls", "left").select(*columns, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
@@ -502,7 +612,7 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
 
     Rows without a set (no words) and rows without a doc_id are linked with nothing and stay.
     """
-    rows, labels, _ = similarity_links(docs, width, percent)
+    rows, labels, *_ = _spanned(docs, width, percent)
     named = rows.join(labels, "cls", "left").withColumn("_group", F.coalesce("label", "cls"))
     kept = (
         named.where("cls is not null")

@@ -31,6 +31,11 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents whose five-word shingle sets are 75 % alike."""
+    return jaccard.near_duplicates(_documents(spark, folder), count=False)
+
+
+def op2_jaccard_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the number of links of each document's text to other texts, none left out."""
     return jaccard.near_duplicates(_documents(spark, folder))
 
 
@@ -86,6 +91,7 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_jaccard_join": op2_jaccard_join,
+    "op2_jaccard_links": op2_jaccard_links,
     "op3_token_counts": op3_token_counts,
     "op4_fingerprints": op4_fingerprints,
     "op5_mixing": op5_mixing,
@@ -115,6 +121,31 @@ reach AS (
   UNION SELECT root, b FROM reach JOIN ends ON other = a)
 SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
 FROM documents d JOIN reach ON root = d.doc_id LEFT JOIN sizes USING (doc_id) GROUP BY d.doc_id""",
+    "op2_jaccard_links": r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+classes AS (
+  SELECT doc_id, min(doc_id) OVER (PARTITION BY k) AS cls
+  FROM (SELECT doc_id, string_agg(s, chr(10) ORDER BY s) AS k FROM shingles GROUP BY doc_id)),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)),
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+degrees AS (
+  SELECT a, count(DISTINCT y.cls) AS n_links FROM ends JOIN classes x ON x.doc_id = a JOIN classes y ON y.doc_id = b
+  WHERE x.cls <> y.cls GROUP BY a),
+reach AS (
+  SELECT doc_id AS root, doc_id AS other FROM documents
+  UNION SELECT root, b FROM reach JOIN ends ON other = a)
+SELECT d.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id,
+       CAST(coalesce(any_value(n_links), 0) AS BIGINT) AS n_links
+FROM documents d JOIN reach ON root = d.doc_id LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees g ON g.a = d.doc_id GROUP BY d.doc_id""",
     "op8_warc": r"""
 WITH p AS (
   SELECT page_id, coalesce(html, '') AS body, row_number() OVER (PARTITION BY page_id, coalesce(html, '')) AS copy FROM pages),

@@ -95,3 +95,27 @@ def test_keep_one(spark):
     assert len(out) == len(groups) + len(free)
     assert {r["doc_id"] for r in out if r["doc_id"] is not None and shingles(r["text"])} == groups
     assert all(r["label"] == "own label" for r in out)
+
+
+def brute_links(docs):
+    """The links between different sets, by hand."""
+    sets = sorted({frozenset(shingles(d[1])) for d in docs if d[0] is not None} - {frozenset()}, key=sorted)
+    return {(a, b) for i, b in enumerate(sets) for a in sets[:i] if 100 * len(a & b) >= 75 * len(a | b)}
+
+
+@pytest.mark.parametrize("docs,short,members", [(odd_rows(), 24, 1024), (hot_rows(), 24, 13), (chains(7), 1, 5)])
+def test_no_link_is_lost(spark, monkeypatch, docs, short, members):
+    monkeypatch.setattr(jaccard, "SHORT", short)
+    monkeypatch.setattr(jaccard, "MEMBERS", members)
+    monkeypatch.setattr(jaccard, "SPREAD", 50)
+    want = brute_links(docs)
+    degrees = {}
+    for link in want:
+        for s in link:
+            degrees[s] = degrees.get(s, 0) + 1
+    texts = table(spark, docs, clashes=True)
+    out = jaccard.near_duplicates(texts).collect()
+    got = sorted((r["doc_id"], r["n_shingles"], r["n_links"]) for r in out if r["doc_id"] is not None)
+    assert got == sorted((d[0], len(s), degrees.get(s, 0)) for d in docs if d[0] is not None for s in [frozenset(shingles(d[1]))])
+    links = jaccard.similarity_links(texts)[2].collect()
+    assert len(links) == len({(r["a"], r["b"]) for r in links}) == len(want)
