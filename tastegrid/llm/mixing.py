@@ -4,6 +4,8 @@ Every source is laid out as one line of words in a seeded order of its documents
 ``block`` words. With the block as divisor, the highest quotients target / (seat + 1/2) that reach it give
 a source round(target / block) seats, which is the Sainte-Lague allocation of that many seats. The same
 rounding at the divisors block * shards / k nests: its steps are the integer quotas of shard k.
+The block is 64 words, or less where the smallest target is below FINE blocks of that, so that a tiny source
+gets its share too.
 A source takes whole passes over its blocks and then the first blocks of the next pass; the seeded order
 makes these a random choice of documents, and blocks stay arithmetic, never rows.
 
@@ -24,8 +26,8 @@ from tastegrid.session import settle
 
 # fixed values: weights in turn, share of all sizes, most times a source is repeated
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2
-#: Words of a block; buckets of the seeded order (each is one window task per source).
-BLOCK, BUCKET_DIGITS = 64, 2
+#: Words of a block; buckets of the seeded order (each is one window task per source); least blocks of a target.
+BLOCK, BUCKET_DIGITS, FINE = 64, 2, 16
 
 
 def seeded(seed: str, *cols: str) -> Column:
@@ -76,6 +78,12 @@ def shard_quotas(targets: DataFrame, shards: int, block: int = BLOCK) -> DataFra
     )
 
 
+def block_words(targets: DataFrame, block: int = BLOCK) -> int:
+    """``block``, or less: the smallest positive target has FINE blocks at least, or blocks of one word."""
+    least = targets.where("target > 0").agg(F.min("target").alias("n")).first()["n"]
+    return block if least is None else max(1, min(block, int(least // FINE)))
+
+
 def mix_sources(docs: DataFrame, block: int = BLOCK, seed: str = "mix", **law) -> DataFrame:
     """doc_id, source, _digest, _copy, size, start, source_size, target, taken: the words the mix takes of each row.
 
@@ -86,6 +94,7 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, seed: str = "mix", **law) -
     rows = rows.select("doc_id", "source", "_digest", "_copy", word_count(F.col("text")).alias("size"))
     sized = settle(rows.withColumn("_order", seeded(seed, "doc_id")))
     targets = source_targets(sized, **law)
+    block = block_words(targets, block)
     bucket = F.substring("_order", 1, BUCKET_DIGITS)
     line = running_totals(sized, ["source"], bucket, ["_order", "doc_id", "size", "_digest", "_copy"], {"size": "_end"})
     line = line.withColumn("start", F.col("_end") - F.col("size")).drop("_end", "_order")

@@ -61,6 +61,15 @@ def test_cut_text_keeps_white_space(spark):
         assert texts[r["doc_id"]].startswith(r["text"])
 
 
+def test_tiny_sources_keep_their_share(spark):
+    docs = [(i, "w " * n, "en", f"s{n:03}", 1) for i, n in enumerate((1, 3, 15, 40, 63))] + [(100, "v " * 3000, "en", "z", 1)]
+    got = {r["source"]: r for r in mixing.mix_sources(table(spark, docs)).collect()}
+    want, _ = targets(docs)
+    for s, r in got.items():
+        assert abs(r["taken"] - want[s]) <= 1
+    assert got["s015"]["taken"] == 30 and got["s040"]["taken"] == 80
+
+
 def test_quotas_of_shards_add_up(spark):
     table_ = spark.createDataFrame([("a", 10_000.0), ("b", 3_333.0), ("c", 31.0)], "source string, target double")
     rows = mixing.shard_quotas(table_, 7, 64).collect()
