@@ -1,6 +1,7 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts and benchmark items are sequences of words (runs of letters, digits and non-ASCII bytes, A-Z folded).
+Texts and benchmark items are sequences of words (runs of letters, digits and non-ASCII bytes, A-Z folded;
+each character of an unspaced script such as Chinese, Japanese or Thai is a word).
 Karp-Rabin hashes of ``seed`` words running over both sides are joined; a document meets only the items it
 shares a seed with. For each such pair the longest match outside earlier ones is marked as a tile, again and
 again, until no match of ``seed`` words is left. Tiles may come in any order, so reordered passages are
@@ -38,7 +39,7 @@ class Items:
 
     def __init__(self, ids: list, texts: pa.Array, seed: int):
         raw, bounds = texts_of(texts)
-        made = [word_hashes(raw, bounds[i : j + 1], True, letters_and_digits()) for i, j in groups(bounds)]
+        made = [word_hashes(raw, bounds[i : j + 1], True, letters_and_digits(), True) for i, j in groups(bounds)]
         words = [h[b[k] : b[k + 1]] for h, b, _ in made for k in range(len(b) - 1)]
         self.ids, self.words, self.seed = ids, words, seed
         self.sizes = np.array([len(w) for w in words], dtype=np.int64)
@@ -99,7 +100,7 @@ def tiles(at: np.ndarray, place: np.ndarray, seed: int) -> list[tuple[int, int,
 def matches(raw: np.ndarray, bounds: np.ndarray, items: Items, cover: float) -> Iterator[tuple[int, int, int, int, int]]:
     """(text, item, tiles, words in tiles, longest tile) of the contaminated pairs."""
     for i, j in groups(bounds, GROUP_BYTES):
-        hashes, before, _ = word_hashes(raw, bounds[i : j + 1], True, letters_and_digits())
+        hashes, before, _ = word_hashes(raw, bounds[i : j + 1], True, letters_and_digits(), True)
         seeds, after = shingle_hashes(hashes, before, items.seed)
         at, item, place = items.hits(seeds)
         text = np.searchsorted(after, at, side="right") - 1

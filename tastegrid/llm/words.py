@@ -14,6 +14,9 @@ import pyarrow as pa
 #: Bytes of text that one kernel call takes; a longer single text is a call of its own.
 GROUP_BYTES = 1 << 20
 
+#: Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, bopomofo, ideographs, half-width kana.
+UNSPACED = ((0xE00, 0xFFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x312F), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F))
+
 # fixed values: the white space of a word boundary, odd multipliers of the 64-bit mixing steps
 SPACES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 MIX_1, MIX_2, GOLDEN = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
@@ -78,10 +81,27 @@ def not_space() -> np.ndarray:
     return inside
 
 
+def unspaced(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, bytes) of the characters of scripts that put no space between words."""
+    at = np.flatnonzero(text >= 0xE0)
+    at = at[at < len(text) - 2]
+    lead, second = text[at], text[at + 1]
+    code = ((lead.astype(np.int64) & 15) << 12) | ((second.astype(np.int64) & 63) << 6) | (text[at + 2] & 63)
+    found = np.zeros(len(at), bool)
+    for first, last in UNSPACED:
+        found |= (code >= first) & (code <= last)
+    found &= lead < 0xF0
+    wide = (lead == 0xF0) & (second >= 0xA0)  # ideographs from U+20000 on
+    return at[found | wide], np.where(wide, 4, 3)[found | wide]
+
+
 def word_hashes(
-    raw: np.ndarray, bounds: np.ndarray, fold: bool, inside: np.ndarray | None = None
+    raw: np.ndarray, bounds: np.ndarray, fold: bool, inside: np.ndarray | None = None, apart: bool = False
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash per word, words before each text, start byte of each word) of the texts at ``bounds``."""
+    """(hash per word, words before each text, start byte of each word) of the texts at ``bounds``.
+
+    With ``apart`` each character of an unspaced script is a word.
+    """
     inside = not_space() if inside is None else inside
     base, end = int(bounds[0]), int(bounds[-1])
     text = raw[base:end]
@@ -93,6 +113,11 @@ def word_hashes(
     begins[1:] &= ~letter[:-1]
     firsts = ends[:-1][ends[:-1] < len(text)]
     begins[firsts] |= letter[firsts]
+    if apart:
+        at, width = unspaced(text)
+        begins[at] = True
+        following = (at + width)[at + width < len(text)]
+        begins[following] |= letter[following]
     starts = np.flatnonzero(begins)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64), starts

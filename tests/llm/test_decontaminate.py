@@ -87,6 +87,16 @@ def test_benchmark_in_blocks(spark):
     assert dropped == {d for d, *_ in found(spark, docs, items)}
 
 
+def test_unspaced_scripts(spark):
+    chinese, thai, wide = "北京是中华人民共和国的首都", "กรุงเทพมหานครเป็นเมืองหลวง", "𠀀𠀁𠀂𠀃𠀄𠀅"
+    items = [(1, chinese), (2, thai), (3, wide), (4, "ひらがなとabcカタカナ")]
+    docs = [(10 * k, f"我们说过{text}。very good 好的", "zh", "a", 1) for k, text in items] + [(99, "上海是一座城市 and other words", "zh", "a", 1)]
+    docs.append((50, chinese[7:] + "，" + chinese[:7], "zh", "a", 1))
+    got = found(spark, docs, items)
+    whole = [(str(10 * k), str(k), 1, n, n, n) for (k, _), n in zip(items, (len(chinese), len(thai), 6, 10))]
+    assert got == sorted([*whole, ("50", "1", 2, len(chinese), len(chinese), 7)])
+
+
 @pytest.mark.parametrize("items", [[], [(1, None)], [(None, "some words that stand in no document at all")]])
 def test_odd_rows(spark, items):
     assert found(spark, odd_rows(), items) == []
