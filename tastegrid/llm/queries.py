@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm import decontaminate, fingerprints, jaccard, language, lines, mixing, quality, sharding, tokens, warc
+from tastegrid.llm import chat, decontaminate, fim, fingerprints, jaccard, language, lines, mixing, quality, sharding, tokens, trie, warc
 from tastegrid.session import settle
 
 #: Where the public vocabularies are; the files are read on the driver.
@@ -88,6 +88,48 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated_pairs(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
+def _conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+
+
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every different beginning of the rebuilt conversations."""
+    return trie.rebuilt_trie(_conversations(spark, folder))
+
+
+def op12_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations and one that says control strings, formatted and read back."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns = _conversations(spark, folder)
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    read = chat.read_chats(chat.format_chats(turns.unionByName(own)))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.encode(told, "UTF-8"), 256).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        F.sha2(F.encode("loss_text", "UTF-8"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut into prefix, middle and suffix, and put together again."""
+    made = fim.fill_in_middle(_documents(spark, folder).select("doc_id", "text"))
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        F.col("prefix_units").alias("prefix_chars"),
+        F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(back, "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_jaccard_join": op2_jaccard_join,
@@ -100,6 +142,9 @@ QUERIES: dict[str, Query] = {
     "op8_warc": op8_warc,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_chat_format": op12_chat_format,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 ORACLE: dict[str, str] = {
@@ -200,4 +245,90 @@ clean AS (
 SELECT d.doc_id, coalesce(c.n_lines, 0) AS n_lines, coalesce(c.n_removed, 0) AS n_removed,
        CAST(length(c.rest) AS BIGINT) AS clean_chars, md5(c.rest) AS clean_md5
 FROM documents d LEFT JOIN clean c ON d.doc_id = c.doc_id AND d.text = c.text""",
+    "op11_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, n, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: ascii(ch)::UBIGINT)),
+             lambda c, b: list_reduce(list_concat([xor(c, b)], list_transform(range(8), lambda i: 0::UBIGINT)),
+                 lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::UBIGINT) ELSE x // 2 END)), 4294967295::UBIGINT) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id)),
+lens AS (
+  SELECT c.conv_id, c.base, CASE WHEN c.base = c.conv_id THEN 0 ELSE c.h END AS h,
+         CASE WHEN c.base = c.conv_id THEN 0 ELSE least(c.h, coalesce(b.n, 0)) END AS taken
+  FROM convs c LEFT JOIN convs b ON b.conv_id = c.base),
+rebuilt AS (
+  SELECT l.conv_id, pos AS d, role, text FROM lens l JOIN turns t ON t.conv_id = l.base AND pos <= taken
+  UNION ALL
+  SELECT conv_id, pos - h + taken AS d, role, text FROM lens JOIN turns USING (conv_id) WHERE pos > h),
+paths AS (
+  SELECT conv_id, d, length(text) AS chars,
+         string_agg(sha256(length(role) || ':' || role || text), '/') OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt
+  UNION ALL SELECT conv_id, 0, 0, '' FROM lens),
+nodes AS (
+  SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(chars) AS chars FROM paths GROUP BY path, d),
+up AS (
+  SELECT v.path, v.d, u.path AS below, u.d AS deep
+  FROM nodes u JOIN paths v ON v.conv_id = u.conv_id AND v.d <= u.d),
+kids AS (SELECT path, d, count(*) AS n FROM up WHERE deep = d + 1 GROUP BY path, d),
+sums AS (
+  SELECT a.path, a.d, sum((u.n_convs - 1) * u.chars) AS saved, count(*) FILTER (WHERE k.n IS NULL) AS leaves
+  FROM up a JOIN nodes u ON u.path = a.below AND u.d = a.deep LEFT JOIN kids k ON k.path = u.path AND k.d = u.d GROUP BY a.path, a.d),
+ends AS (
+  SELECT path, d, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids
+  FROM (SELECT *, max(d) OVER (PARTITION BY conv_id) AS last FROM paths) WHERE d = last GROUP BY path, d),
+parents AS (
+  SELECT a.below AS path, a.deep AS d, p.conv_id AS parent FROM up a JOIN nodes p ON p.path = a.path AND p.d = a.d WHERE a.deep = a.d + 1)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, CAST(p.parent AS BIGINT) AS parent_conv_id, n.n_convs,
+       CAST(coalesce(k.n, 0) AS BIGINT) AS n_children, CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path AND s.d = n.d LEFT JOIN kids k ON k.path = n.path AND k.d = n.d
+LEFT JOIN ends e ON e.path = n.path AND e.d = n.d LEFT JOIN parents p ON p.path = n.path AND p.d = n.d""",
+    "op12_chat_format": r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'),
+placed AS (
+  SELECT *, lag(role) OVER line AS before, lead(1) OVER line IS NULL AS last FROM turns
+  WINDOW line AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+told AS (
+  SELECT conv_id, count(*) AS n_turns, bool_and(
+           CASE role WHEN 'system' THEN before IS NULL WHEN 'user' THEN before IS NULL OR before IN ('system', 'assistant')
+                     WHEN 'assistant' THEN before IS NOT NULL AND before IN ('user', 'tool')
+                     WHEN 'tool' THEN before IS NOT NULL AND before = 'assistant' ELSE false END
+           AND (NOT last OR role = 'assistant')) AS valid,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS plain,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '') AS loss,
+         string_agg('<|im_start|>' || role || chr(10) || regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') || '<|im_end|>' || chr(10), ''
+                    ORDER BY turn NULLS FIRST, role, text) AS formatted
+  FROM placed GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(plain) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+       CAST(length(formatted) AS BIGINT) AS formatted_chars, valid
+FROM told""",
+    "op13_fill_in_middle": r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS s
+  FROM documents),
+hashed AS (
+  SELECT doc_id, text, n, ('0x' || s[1:8])::BIGINT % (n + 1) AS x, ('0x' || s[9:16])::BIGINT % (n + 1) AS y,
+         ('0x' || s[17:24])::BIGINT % 100 AS h3, ('0x' || s[25:32])::BIGINT % 100 AS h4
+  FROM texts),
+cut AS (
+  SELECT doc_id, text, n, least(x, y) AS a, greatest(x, y) AS b,
+         CASE WHEN n = 0 OR h3 >= 90 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed),
+parts AS (
+  SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts""",
 }
