@@ -10,8 +10,8 @@ caught; a document is contaminated by an item if its tiles cover at least ``cove
 The benchmark travels to the documents, so no text is shuffled and no pairs are formed in a shuffle. Its size
 is checked: it goes in blocks of at most ``block_words`` words, and a larger benchmark takes more passes.
 
-Nulls, ties and odd rows: a null or empty text matches nothing; an item of fewer than ``seed`` words cannot be
-told from chance and matches nothing; of equally long matches the first in the document, then in the item, is
+Nulls, ties and odd rows: a null or empty text matches nothing; an item of fewer than ``seed`` words has no
+tile and matches a text only as a whole; of equally long matches the first in the document, then in the item, is
 marked; repeated rows give repeated rows; an empty table on either side gives an empty table.
 """
 
@@ -32,6 +32,8 @@ from tastegrid.session import settle
 
 #: Words of the shortest tile; least share of an item's words; words of benchmark text that travel at once.
 SEED, COVER, BLOCK_WORDS = 5, 0.5, 2_000_000
+#: Places in an item that a seed may have on average where shared seeds are listed; an odd multiplier of hashes.
+LISTED, BASE = 16, 0x9E3779B97F4A7C15
 
 
 class Items:
@@ -43,25 +45,91 @@ class Items:
         words = [h[b[k] : b[k + 1]] for h, b, _ in made for k in range(len(b) - 1)]
         self.ids, self.words, self.seed = ids, words, seed
         self.sizes = np.array([len(w) for w in words], dtype=np.int64)
-        long = [k for k in range(len(words)) if len(words[k]) >= seed]
-        seeds = [shingle_hashes(words[k], np.array([0, len(words[k])]), seed)[0] for k in long]
-        owner = np.repeat(np.array(long, dtype=np.int64), [len(s) for s in seeds])
+        some = [k for k in range(len(words)) if len(words[k])]
+        seeds = [shingle_hashes(words[k], np.array([0, len(words[k])]), seed)[0] for k in some]
+        owner = np.repeat(np.array(some, dtype=np.int64), [len(s) for s in seeds])
         place = np.concatenate([np.arange(len(s)) for s in seeds]) if seeds else np.zeros(0, np.int64)
         keys = np.concatenate(seeds) if seeds else np.zeros(0, np.uint64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.owner, self.place = keys[order], owner[order], place[order]
+        order = np.argsort(keys, kind="stable")  # inside a key by item, then by place
+        keys, self.place = keys[order], place[order]
+        owner = owner[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+        self.first = np.flatnonzero(new)
+        self.keys, self.owner = keys[self.first], owner[self.first]
+        self.times = np.diff(np.append(self.first, len(keys)))
         self.bits = np.zeros(1 << 20, bool)  # most seeds of a document end here
         self.bits[(self.keys >> np.uint64(44)).astype(np.int64)] = True
 
-    def hits(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in ``seeds``, item, place in the item) of every shared seed."""
+    def hits(self, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``seeds``, entry of the index) of every shared seed, once per item that has it."""
         at = np.flatnonzero(self.bits[(seeds >> np.uint64(44)).astype(np.int64)])
         first = np.searchsorted(self.keys, seeds[at], side="left")
         n = np.searchsorted(self.keys, seeds[at], side="right") - first
         at, first, n = at[n > 0], first[n > 0], n[n > 0]
-        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        found = np.repeat(first, n) + within
-        return np.repeat(at, n), self.owner[found], self.place[found]
+        return np.repeat(at, n), np.repeat(first, n) + _within(n)
+
+    def places(self, at: np.ndarray, entry: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same with every place of the seed in the item."""
+        n = self.times[entry]
+        return np.repeat(at, n), self.place[np.repeat(self.first[entry], n) + _within(n)]
+
+
+def _within(n: np.ndarray) -> np.ndarray:
+    """0 .. n[0] - 1, 0 .. n[1] - 1, ..."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
+def tiles_by_length(document: np.ndarray, item: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """The same tiles as ``tiles`` by running Karp-Rabin over the unmarked words with falling match lengths.
+
+    For words that repeat on both sides, where shared seeds are as many as the product of both lengths: the
+    longest common length is found by halving, all windows of one length at a time. Memory is linear.
+    """
+    sides, free = (document, item), [np.zeros(len(document) + 1, np.int64), np.zeros(len(item) + 1, np.int64)]
+    longest = max(map(len, sides))
+    powers = np.full(longest + 1, np.uint64(BASE))
+    powers[0] = 1
+    powers = np.multiply.accumulate(powers)
+    back = np.full(longest + 1, np.uint64(pow(BASE, -1, 1 << 64)))
+    back[0] = 1
+    back = np.multiply.accumulate(back)
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(s * powers[: len(s)], dtype=np.uint64)]) for s in sides]
+    out: list[tuple[int, int, int]] = []
+
+    def windows(side: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Starts of the unmarked windows of one side, and their hashes."""
+        n = len(sides[side]) - length + 1
+        at = np.flatnonzero(free[side][length:] == free[side][:n]) if n > 0 else np.zeros(0, np.int64)
+        return at, (sums[side][at + length] - sums[side][at]) * back[at]
+
+    def common(length: int) -> tuple[int, int] | None:
+        """The first match of a length: first in the document, then in the item."""
+        (i, x), (j, y) = windows(0, length), windows(1, length)
+        both = np.isin(x, y)
+        if not both.any():
+            return None
+        k = int(np.argmax(both))
+        return int(i[k]), int(j[int(np.argmax(y == x[k]))])
+
+    most = min(map(len, sides))
+    while most >= seed:
+        low, high, found = seed, most, None
+        while low <= high:
+            mid = (low + high) // 2
+            if (match := common(mid)) is None:
+                high = mid - 1
+            else:
+                low, found = mid + 1, match
+        most = high
+        while found is not None and most >= seed:
+            out.append((*found, most))
+            for side, start in zip(free, found):
+                side[start + 1 : start + most + 1] += np.arange(1, most + 1)
+                side[start + most + 1 :] += most
+            found = common(most)
+        most -= 1
+    return out
 
 
 def tiles(at: np.ndarray, place: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
@@ -102,20 +170,28 @@ def matches(raw: np.ndarray, bounds: np.ndarray, items: Items, cover: float) ->
     for i, j in groups(bounds, GROUP_BYTES):
         hashes, before, _ = word_hashes(raw, bounds[i : j + 1], True, letters_and_digits(), True)
         seeds, after = shingle_hashes(hashes, before, items.seed)
-        at, item, place = items.hits(seeds)
-        text = np.searchsorted(after, at, side="right") - 1
-        pair = text * (len(items.ids) + 1) + item
+        at, entry = items.hits(seeds)
+        pair = (np.searchsorted(after, at, side="right") - 1) * (len(items.ids) + 1) + items.owner[entry]
         order = np.argsort(pair, kind="stable")
-        cuts = np.flatnonzero(np.diff(pair[order], prepend=-1))
-        for k, first in enumerate(cuts):
-            own = order[first : cuts[k + 1] if k + 1 < len(cuts) else len(order)]
-            t, m = int(text[own[0]]), int(item[own[0]])
-            # no tile reaches a word of the item outside its shared seeds
-            if len(np.unique(place[own])) * items.seed < cover * items.sizes[m]:
+        at, entry, pair = at[order], entry[order], pair[order]
+        cuts = np.flatnonzero(np.diff(pair, prepend=-1))
+        for first, last in zip(cuts, [*cuts[1:], len(pair)]):
+            t, m = divmod(int(pair[first]), len(items.ids) + 1)
+            own, at_item = at[first:last] - int(after[t]), entry[first:last]
+            size = int(items.sizes[m])
+            if size < items.seed:  # the whole item is the whole text
+                yield i + t, m, 1, size, size
                 continue
-            found = tiles(at[own] - int(after[t]), place[own], items.seed)
+            if items.times[at_item].sum() > LISTED * len(own):
+                found = tiles_by_length(hashes[before[t] : before[t + 1]], items.words[m], items.seed)
+            else:
+                own, place = items.places(own, at_item)
+                # no tile reaches a word of the item outside its shared seeds
+                if len(np.unique(place)) * items.seed < cover * size:
+                    continue
+                found = tiles(own, place, items.seed)
             words = sum(n for _, _, n in found)
-            if words >= cover * items.sizes[m]:
+            if found and words >= cover * size:
                 yield i + t, m, len(found), words, max(n for _, _, n in found)
 
 

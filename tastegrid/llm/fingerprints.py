@@ -30,6 +30,11 @@ from tastegrid.session import settle
 PIECE = r"(?:\S++(?<![.!?])[^\S\n]++(?=\S)){0,7}+\S++\s*+|\s++"
 STRONG, SIGNED, FIELD = 4, 2, 21
 _MASK = 1 | (1 << FIELD) | (1 << (2 * FIELD))
+#: The top bit of each packed lane, and all bits below these.
+_TOPS = _MASK << (FIELD - 1)
+_REST = (1 << (3 * FIELD)) - 1 - _TOPS
+#: Pieces whose packed lanes cannot run over, so plain addition gives the same sums.
+SHORT = (1 << FIELD) - 1
 LANES = 1 + STRONG + SIGNED * FIELD
 
 
@@ -45,7 +50,9 @@ def with_lanes(df: DataFrame, text: str, out: str) -> DataFrame:
         lanes.append(_wrapped_sum(f"_h{k}"))
     for k in range(STRONG, STRONG + SIGNED):
         for j in range(FIELD):
-            lanes.append(F.aggregate(f"_h{k}", F.lit(0).cast("long"), _add_bits(j)))
+            zero = F.lit(0).cast("long")
+            few, many = F.aggregate(f"_h{k}", zero, _add_bits(j)), F.aggregate(f"_h{k}", zero, _add_wrapped_bits(j))
+            lanes.append(F.when(F.size("_pieces") <= SHORT, few).otherwise(many))
     return df.withColumn(out, F.array(*lanes)).drop("_pieces", *[f"_h{k}" for k in range(STRONG + SIGNED)])
 
 
@@ -57,6 +64,16 @@ def _add_bits(shift: int) -> Callable[[Column, Column], Column]:
     return lambda total, h: total + F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_MASK))
 
 
+def _add_wrapped_bits(shift: int) -> Callable[[Column, Column], Column]:
+    return lambda total, h: _packed_add(total, F.shiftrightunsigned(h, shift).bitwiseAND(F.lit(_MASK)))
+
+
+def _packed_add(a: Column, b: Column) -> Column:
+    """Each of three packed lanes added modulo 2**21: the top bits are added without a carry."""
+    rest, tops = F.lit(_REST), F.lit(_TOPS)
+    return (a.bitwiseAND(rest) + b.bitwiseAND(rest)).bitwiseXOR(a.bitwiseXOR(b).bitwiseAND(tops))
+
+
 def _wrapped_sum(hashes: str) -> Column:
     """The sum of 64-bit numbers modulo 2**64 without overflow errors: low and high halves apart."""
     zero = F.lit(0).cast("long")
@@ -74,8 +91,13 @@ def _wrapped_add(a: Column, b: Column) -> Column:
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
     """Lanes of the pieces of ``a`` with those of ``b`` put in (sign 1) or taken out (sign -1)."""
-    other = b if sign > 0 else F.transform(b, lambda v: _wrapped_add(F.bitwise_not(v), F.lit(1).cast("long")))
-    return F.zip_with(a, other, _wrapped_add)
+    wide, packed = 1 + STRONG, SIGNED * FIELD
+    one = F.lit(1).cast("long")
+    put = [F.slice(b, 1, wide), F.slice(b, wide + 1, packed)]
+    if sign < 0:
+        put[0] = F.transform(put[0], lambda v: _wrapped_add(F.bitwise_not(v), one))
+        put[1] = F.transform(put[1], lambda v: _packed_add(F.lit(_REST | _TOPS).bitwiseXOR(v), F.lit(_MASK)))
+    return F.concat(F.zip_with(F.slice(a, 1, wide), put[0], _wrapped_add), F.zip_with(F.slice(a, wide + 1, packed), put[1], _packed_add))
 
 
 def printed(lanes: Column) -> Column:

@@ -3,7 +3,9 @@
 Which strings of the vocabulary encode alone as one token is proved once, by encoding each of them with the
 library. Texts are split into pre-tokens as the tokenizer splits them; a proved pre-token counts one without
 any merge, and only the rest goes through the merges, each different pre-token once per task while the
-bounded memory of counts holds it.
+bounded memory of counts holds it. Splitting follows the library's tables character by character: a text with a
+character that is not proved alike goes to the library whole, and so does every text if the file has another
+normalizer or pre-tokenizer than the one that is followed here.
 
 Nulls, ties and odd rows: a null text counts as the empty one, 0 bytes and 0 tokens; the strings of special
 tokens inside a text count one token each, as the library takes them by default; repeated rows give equal
@@ -60,6 +62,62 @@ def _plain_strings(vocabulary: dict[str, int]) -> list[str]:
     return out
 
 
+#: The normalizer and pre-tokenizer that ``PreTokens`` stands for.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Categories of symbols: they take no part in compositions, whatever the version of the Unicode tables.
+SYMBOLS = {"So", "Sk", "Sm", "Sc", "Cf"}
+
+
+def is_known(vocabulary: str) -> bool:
+    """True if the file's normalizer and pre-tokenizer are those of ``PreTokens``; else the library counts alone."""
+    made = json.loads(vocabulary)
+    steps = (made.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    pattern = (steps[0].get("pattern") or {}).get("Regex")
+    levels = [(p.get("type"), p.get("add_prefix_space"), p.get("use_regex")) for p in steps[1:]]
+    cut = (steps[0].get("behavior"), steps[0].get("invert"))
+    return made.get("normalizer") == NORMALIZER and pattern == SPLIT and cut == ("Removed", True) and levels == [("ByteLevel", False, False)]
+
+
+class Proof:
+    """Which characters this module and the library treat alike, proved one by one as they turn up.
+
+    A character is proved if its composition is settled (it is as old as Unicode 3.2, or a symbol) and both
+    split it, alone and between letters, digits and signs, into the same pieces.
+    """
+
+    def __init__(self, tokenizer, split: PreTokens):
+        self.tokenizer, self.split, self.known = tokenizer, split, {}
+        self.letters = _byte_letters()
+
+    def pieces(self, text: str) -> list[str]:
+        """The library's own pre-tokens."""
+        made = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
+        return [bytes(self.letters[c] for c in p).decode() for p, _ in made]
+
+    def holds(self, text: str) -> bool:
+        if text.isascii():
+            return True
+        for c in set(text) - self.known.keys():
+            settled = unicodedata.ucd_3_2_0.category(c) != "Cn" or unicodedata.category(c) in SYMBOLS
+            probes = (c, f"a{c}a", f"1{c}1", f"!{c}!")
+            self.known[c] = c.isascii() or (settled and all(self.pieces(p) == self.split.listed(p) for p in probes))
+        return all(map(self.known.__getitem__, set(text)))
+
+
+def slices(text: str, size: int) -> Iterator[str]:
+    """Parts of about ``size`` characters, cut at a space before an ASCII letter or digit: nothing joins across it."""
+    first = 0
+    for m in re.finditer(r" (?=[A-Za-z0-9])", text):
+        if m.start() - first >= size:
+            yield text[first : m.start()]
+            first = m.start()
+    yield text[first:]
+
+
 class PreTokens:
     """Splits texts as the tokenizer does: specials, NFC, lower case, then its pattern without white space."""
 
@@ -101,6 +159,7 @@ def _count(batches: Iterator[pa.RecordBatch], vocabulary: str, whole: frozenset[
     tokenizer = Tokenizer.from_str(vocabulary)
     split = PreTokens([t["content"] for t in json.loads(vocabulary)["added_tokens"]])
     counts = dict.fromkeys(whole, 1)
+    known, proof = is_known(vocabulary), Proof(tokenizer, split)
 
     def learn(pre_tokens: set[str]) -> None:
         if len(counts) > len(whole) + KEPT:
@@ -123,6 +182,11 @@ def _count(batches: Iterator[pa.RecordBatch], vocabulary: str, whole: frozenset[
 
         for scalar in batch.column(1):
             text = scalar.as_py() or ""
+            if not (known and proof.holds(text)):  # the library takes the text itself
+                settle_waiting()
+                held, cut = 0, slices(text, STEP_CHARS) if known else [text]
+                sizes.append(sum(len(tokenizer.encode(s, add_special_tokens=False).ids) for s in cut))
+                continue
             parts, extra = split.parts(text)
             if len(text) > STEP_CHARS:  # a very long text goes through in steps, by itself
                 settle_waiting()

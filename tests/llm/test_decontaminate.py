@@ -102,3 +102,33 @@ def test_odd_rows(spark, items):
     assert found(spark, odd_rows(), items) == []
     assert decontaminate.drop_contaminated(table(spark, odd_rows(), True), spark.createDataFrame(items, ITEMS)).count() == len(odd_rows())
     assert found(spark, [], [(1, "one two three four five six")]) == []
+
+
+def test_repeated_words_are_not_listed():
+    import resource
+    import time
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tastegrid.llm.words import texts_of
+
+    held, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.time()
+    items = decontaminate.Items([1], pa.array(["spam " * 1000]), 5)
+    got = list(decontaminate.matches(*texts_of(pa.array(["spam " * 20_000])), items, 0.5))
+    assert got == [(0, 0, 1, 1000, 1000)] and time.time() - began < 2
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - held < 200_000
+    rng = np.random.default_rng(1)
+    for _ in range(60):  # few different words: both ways give the tiles of the definition
+        a, b = (rng.integers(0, 2, rng.integers(5, 40)).astype(np.uint64) for _ in range(2))
+        seeds = [(i, j) for i in range(len(a) - 2) for j in range(len(b) - 2) if (a[i : i + 3] == b[j : j + 3]).all()]
+        want, _ = greedy(" ".join(map(str, a)), " ".join(map(str, b)), 3)
+        by_length = decontaminate.tiles_by_length(a, b, 3)
+        assert [n for *_, n in by_length] == want
+        assert sorted(by_length) == sorted(decontaminate.tiles(*(np.array(c, np.int64) for c in zip(*seeds)), 3) if seeds else [])
+
+
+def test_short_items_match_whole_texts(spark):
+    items = [(1, "too short"), (2, "one"), (3, "!!!")]
+    docs = [(1, "Too, SHORT!", "en", "a", 1), (2, "too short for this", "en", "a", 1), (3, "one", "en", "a", 1), (4, "...", "en", "a", 1)]
+    assert found(spark, docs, items) == [("1", "1", 1, 2, 2, 2), ("3", "2", 1, 1, 1, 1)]

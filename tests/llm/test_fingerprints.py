@@ -19,7 +19,8 @@ def lanes(text):
     out += [sum(h) % 2**64 for h in hashes[: fp.STRONG]]
     for h in hashes[fp.STRONG :]:
         for j in range(fp.FIELD):
-            out.append(sum((v >> j) & (1 | 1 << fp.FIELD | 1 << 2 * fp.FIELD) for v in h) % 2**64)
+            ones = [sum(v >> j + place * fp.FIELD & 1 for v in h) % 2**fp.FIELD for place in range(3)]
+            out.append(sum(n << place * fp.FIELD for place, n in enumerate(ones)))
     return out
 
 
@@ -79,3 +80,23 @@ def test_few_rows(spark, docs):
     assert len(got) == len(docs)
     for r in got:  # a row alone is its own next document
         assert r["near_next"] == 1.0
+
+
+@pytest.mark.parametrize("lines, word", [(2**21 + 1, "a")])
+def test_more_pieces_than_a_lane_counts(spark, lines, word):
+    """Equal lines: every lane is the number of pieces times the lane of one, modulo its width."""
+    df = spark.range(1).select(F.repeat(F.lit(word + "\n"), lines).alias("t"), F.lit(word + "\n").alias("one"))
+    r = fp.with_lanes(fp.with_lanes(df, "t", "many"), "one", "single").select("many", "single").first()
+    one = lanes(word + "\n")
+    assert [v % 2**64 for v in r["single"]] == one
+    want = [lines] + [v * lines % 2**64 for v in one[1 : 1 + fp.STRONG]]
+    for v in one[1 + fp.STRONG :]:
+        want.append(sum((v >> p * fp.FIELD) % 2**fp.FIELD * lines % 2**fp.FIELD << p * fp.FIELD for p in range(3)))
+    assert [v % 2**64 for v in r["many"]] == want
+
+
+def test_long_sums_equal_short_ones(spark, monkeypatch):
+    docs = table(spark, odd_rows())
+    plain = fp.with_lanes(docs, "text", "lanes").select("lanes").collect()
+    monkeypatch.setattr(fp, "SHORT", -1)
+    assert fp.with_lanes(docs, "text", "lanes").select("lanes").collect() == plain

@@ -49,3 +49,38 @@ def test_proof(tokenizer):
 
 def test_empty(spark):
     assert tokens.count_tokens(table(spark, []), PATH).count() == 0
+
+
+def test_every_code_point(tokenizer):
+    """Each proved character, alone and beside others, is counted as the library counts it."""
+    vocabulary = open(PATH, encoding="utf-8").read()
+    split = tokens.PreTokens([])
+    proof = tokens.Proof(tokenizer, split)
+    assert tokens.is_known(vocabulary)
+    rng = random.Random(3)
+    every = [chr(c) for c in [*range(0x3100), *range(0xA000, 0xAC00), *range(0xD700, 0xD800), *range(0xF900, 0x1FC00)]]
+    proved = [c for c in every if proof.holds(c)]
+    assert len(proved) > 15_000 and not proof.holds("\U00018f02") and not proof.holds("\u0558")
+    texts = ["".join(rng.choices(proved, k=40)) for _ in range(4000)]
+    for t in texts:
+        assert proof.pieces(t) == split.listed(t), repr(t)
+
+
+def test_texts_with_unproved_characters(spark, tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "STEP_CHARS", 30)
+    rng = random.Random(4)
+    texts = ["\u0130\U00018f02", "a\u0558b \ua7cb"] + ["".join(chr(rng.choice((rng.randrange(0x20, 0x30000), 0x20, 0x61))) for _ in range(60)) for _ in range(400)]
+    texts = [t for t in texts if not any(0xD800 <= ord(c) < 0xE000 for c in t)]
+    docs = [(i, t, "en", "a", 1) for i, t in enumerate(texts)]
+    got = {r["doc_id"]: r["n_tokens"] for r in tokens.count_tokens(table(spark, docs), PATH).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == len(tokenizer.encode(t, add_special_tokens=False).ids), repr(t)
+
+
+def test_another_vocabulary(spark):
+    path = f"{TOKENIZERS}/byte_bpe_50k.json"
+    other = Tokenizer.from_file(path)
+    assert not tokens.is_known(open(path, encoding="utf-8").read())
+    docs = odd_rows()
+    got = tokens.count_tokens(table(spark, docs), path).collect()
+    assert sorted(r["n_tokens"] for r in got) == sorted(len(other.encode(d[1] or "", add_special_tokens=False).ids) for d in docs)
