@@ -1,23 +1,34 @@
 """Exact inner-product top-k between two vector tables.
 
-One kernel serves document search, similar items and collaborative scoring. Spark lays out the work and
-each task multiplies one bounded block of rows against another with numpy; only the best k rows of a
-block leave it, and a group-limited window merges the blocks. Pairs are never written out.
+One kernel serves document search, similar items, keyword points and collaborative scoring. Spark lays out the
+work; only the best k rows of a block leave a task, and pairs are never written out. Three routes give the same rows:
+
+- a query batch of checked size travels to the scan of the documents;
+- documents of checked size travel in waves (``WAVE_BYTES`` each) to the scan of the queries, so no query is copied.
+  A task holds an index of one wave (``_Wave``): dense vectors in chunks of falling norm, of which the rest is left
+  out once no query can gain from it, and for sparse vectors one posting list per slot, read from the heaviest
+  slot on until the slots that are left cannot lift a new document among the best k;
+- beyond that, queries and documents meet block by block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tastegrid.session import spread
+
 LEFT_BLOCK = 2048
 RIGHT_BLOCK = 8192
 QUERY_BATCH_ROWS = 4096  # a query batch up to this size may travel to the scan
 QUERY_BATCH_BYTES = 32 << 20
+WAVE_BYTES, MOST_WAVES = 64 << 20, 32  # documents that travel at once, and how often
+CHUNK = 2048  # documents of one norm chunk
 _DIGITS = 9  # scores are rounded here before ranking, so ties are ties in every layout
 
 
@@ -129,16 +140,147 @@ def block_pairs(
     )
 
 
+class _Wave:
+    """An index of one wave of documents, sorted by id so that ties are decided by position."""
+
+    def __init__(self, ids: np.ndarray, vectors: _Vectors, ranked: np.ndarray | None = None):
+        order = np.argsort(ids, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.ids, self.dense = ids[order], vectors.dense[order]
+        self.ranked = None if ranked is None or ranked.all() else ranked[order]
+        rows = place[vectors.rows]
+        by_row = np.lexsort((vectors.slots, rows))
+        row_slots, self.row_weights = vectors.slots[by_row], vectors.weights[by_row]
+        self.row_starts = np.searchsorted(rows[by_row], np.arange(len(ids) + 1))
+        by_slot = np.lexsort((rows, vectors.slots))
+        self.slots, starts = np.unique(vectors.slots[by_slot], return_index=True)
+        self.starts = np.append(starts, len(by_slot))
+        self.docs, self.weights = rows[by_slot], vectors.weights[by_slot]
+        self.row_entries, self.asked = np.searchsorted(self.slots, row_slots), np.zeros(len(self.slots))
+        self.seen = np.zeros(len(ids), bool)
+        # what a slot can add at most and at least: its heaviest and lightest weight, 0 for documents without it
+        bounds = self.starts[:-1]
+        self.most = np.maximum(np.maximum.reduceat(self.weights, bounds), 0.0) if len(self.slots) else np.zeros(0)
+        self.least = np.minimum(np.minimum.reduceat(self.weights, bounds), 0.0) if len(self.slots) else np.zeros(0)
+        norms = np.sqrt((self.dense**2).sum(axis=1))
+        falling = np.argsort(-norms, kind="stable")
+        self.chunks = [np.sort(falling[at : at + CHUNK]) for at in range(0, len(falling), CHUNK)]
+        self.norms = [float(norms[c].max()) for c in self.chunks]
+        self.scored = 0  # products and candidates that were worked out
+
+    def tails(self, queries: _Vectors) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the index entries of its slots that some document has, and its weights."""
+        out = []
+        cuts = np.searchsorted(queries.rows, np.arange(queries.n + 1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            slots, weights = queries.slots[a:b], queries.weights[a:b]
+            at = np.minimum(np.searchsorted(self.slots, slots), max(len(self.slots) - 1, 0))
+            kept = self.slots[at] == slots if len(self.slots) else np.zeros(len(slots), bool)
+            out.append((at[kept], weights[kept]))
+        return out
+
+    def list_of(self, entry: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.starts[entry], self.starts[entry + 1]
+        return self.docs[a:b], self.weights[a:b]
+
+    def dense_best(self, queries: np.ndarray, search: _Search, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, scores) of the k best by chunks of falling norm; ``own`` is each query's own position or -1."""
+        k, n = search.k, len(queries)
+        scores, places = np.full((n, k), -np.inf), np.full((n, k), len(self.ids), np.int64)
+        norms = np.sqrt((queries**2).sum(axis=1))
+        for chunk, longest in zip(self.chunks, self.norms):
+            # a tie at the k-th place may still be decided by the id, so only smaller bounds are left out
+            open_ = np.flatnonzero(norms * longest + 10.0**-search.digits >= scores[:, k - 1])
+            if not len(open_):
+                break
+            found = search.allowed(queries[open_] @ self.dense[chunk].T, chunk, own[open_])
+            self.scored += found.size
+            at, best = _best(found, chunk, k)
+            both = np.hstack([scores[open_], best]), np.hstack([places[open_], chunk[at]])
+            order = np.lexsort((both[1], -both[0]), axis=1)[:, :k]
+            scores[open_], places[open_] = (np.take_along_axis(b, order, axis=1) for b in both)
+        return places, scores
+
+    def sparse_best(self, entries: np.ndarray, weights: np.ndarray, search: _Search, own: int, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions, scores) of the k best of one sparse query; ``sums`` is a zeroed array, zeroed again at the end.
+
+        Slots are taken from the one that can add most. Once those left cannot lift a document that was not met
+        among the best k, their lists are not read; what can still be among the best is worked out from its row.
+        """
+        k = search.k
+        reach = np.maximum(weights * self.most[entries], weights * self.least[entries])
+        sink = np.minimum(weights * self.most[entries], weights * self.least[entries])
+        order = np.argsort(-reach, kind="stable")
+        # what the slots from each place on can add to a document or take from it
+        left = np.append(np.cumsum(reach[order][::-1])[::-1], 0.0)
+        lost = np.append(np.cumsum(sink[order][::-1])[::-1], 0.0)
+        met: list[np.ndarray] = []
+        many, turn, kth, slack = 0, -1, -np.inf, 2 * 10.0**-search.digits
+        for turn, e in enumerate(order):
+            docs, w = self.list_of(entries[e])
+            sums[docs] += weights[e] * w
+            new = docs[~self.seen[docs]]
+            self.seen[new] = True
+            met.append(new)
+            many += len(new)
+            if turn + 1 < len(order) and many > k:
+                held = np.concatenate(met)
+                if self.ranked is not None:
+                    held = held[self.ranked[held]]
+                if len(held) > k:  # one of them may be the query itself
+                    kth = np.partition(sums[held], len(held) - k - 1)[len(held) - k - 1] + lost[turn + 1]
+                    if left[turn + 1] + slack < kth:
+                        break
+        cand = np.concatenate(met) if met else np.zeros(0, np.int64)
+        reading = np.sort(cand[sums[cand] + left[turn + 1] + slack >= kth])
+        sums[cand] = 0.0
+        self.seen[cand] = False
+        self.scored += len(cand)
+        exact = self._rows(reading, entries, weights)
+        values = search.allowed(exact[None, :], reading, np.array([own]))[0] if len(reading) else exact
+        if (values > 0).sum() < k:  # documents that share no slot have the product 0 and compete too
+            every = np.arange(len(self.ids)) if self.ranked is None else np.flatnonzero(self.ranked)
+            others = np.setdiff1d(every[: len(cand) + k + 1], cand)
+            reading = np.concatenate([reading, others])
+            by_place = np.argsort(reading)
+            reading, values = reading[by_place], np.concatenate([exact, np.zeros(len(others))])[by_place]
+            values = search.allowed(values[None, :], reading, np.array([own]))[0] if len(reading) else values
+        best = np.lexsort((reading, -values))[:k]
+        return reading[best], values[best]
+
+    def _rows(self, places: np.ndarray, entries: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Products of a sparse query with the rows of some documents."""
+        self.asked[entries] = weights
+        n = self.row_starts[places + 1] - self.row_starts[places]
+        flat = np.arange(n.sum()) + np.repeat(self.row_starts[places] - np.cumsum(n) + n, n)
+        out = np.bincount(np.repeat(np.arange(len(places)), n), self.asked[self.row_entries[flat]] * self.row_weights[flat], len(places))
+        self.asked[entries] = 0.0
+        return out
+
+    def products(self, dense: np.ndarray, tails: list[tuple[np.ndarray, np.ndarray]], scale: Callable | None = None) -> np.ndarray:
+        """All products of some queries: dense heads by a matrix, tails by their lists."""
+        out = dense @ self.dense.T
+        self.scored += out.size
+        if scale is not None:
+            out = scale(out)
+        for row, (entries, weights) in zip(out, tails):
+            for e, w in zip(entries.tolist(), weights.tolist()):
+                docs, own = self.list_of(e)
+                row[docs] += w * own
+        return out
+
+
 class _Search:
     """Block search shared by the plans below; pickled into the tasks."""
 
-    def __init__(self, queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, k: int, exclude_same, min_score, digits, extent=False):
+    def __init__(self, queries: DataFrame, docs: DataFrame, query_id: str, doc_id: str, k: int, exclude_same, min_score, digits, extent=False, scale=None):
         q_type = queries.schema[query_id].dataType.simpleString()
         d_type = docs.schema[doc_id].dataType.simpleString()
         self.schema = f"`{query_id}` {q_type}, `{doc_id}` {d_type}, score double"
         self.types = [arrow_type(t) for t in (q_type, d_type)] + [pa.float64()]
         self.names = [query_id, doc_id, "score"]
-        self.extent = extent
+        self.extent, self.scale = extent, scale
         if extent:
             self.schema += ", _lo double, _hi double"
             self.types += [pa.float64()] * 2
@@ -171,6 +313,52 @@ class _Search:
             values.append(best)
         return np.concatenate(ids), np.concatenate(values), np.concatenate(extents)
 
+    def allowed(self, scores: np.ndarray, places: np.ndarray, own: np.ndarray, ranked: np.ndarray | None = None) -> np.ndarray:
+        """Scores as they are ranked: rounded, -inf for left-out documents. ``places`` are the sorted columns' positions."""
+        scores = np.round(scores, self.digits)
+        if self.exclude_same:
+            at = np.minimum(np.searchsorted(places, own), len(places) - 1)
+            same = np.flatnonzero(places[at] == own)
+            scores[same, at[same]] = -np.inf
+        if self.min_score is not None:
+            scores[scores < self.min_score] = -np.inf
+        if ranked is not None:
+            scores[:, ~ranked] = -np.inf
+        return scores
+
+    def stream(self, wave: _Wave, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k best documents of the wave for every query of a partition."""
+        n, sums = len(wave.ids), np.zeros(len(wave.ids))
+        every = np.arange(n)
+        for b in batches:
+            if b.num_rows == 0 or n == 0:
+                continue
+            qid, queries = _ids(b.column(0)), _Vectors(b.column(1))
+            if queries.dense.shape[1] != wave.dense.shape[1]:
+                raise ValueError(f"vectors of different lengths: {queries.dense.shape[1]} and {wave.dense.shape[1]}")
+            own = np.full(len(qid), -1, np.int64)
+            if self.exclude_same:
+                at = np.minimum(np.searchsorted(wave.ids, qid), n - 1)
+                own = np.where(wave.ids[at] == qid, at, -1)
+            tails = wave.tails(queries)
+            step = max(1, (8 << 20) // n)
+            for first in range(0, len(qid), step):
+                part = slice(first, first + step)
+                lo = hi = None
+                if not queries.dense.shape[1] and not self.extent:
+                    found = [wave.sparse_best(*t, self, int(o), sums) for t, o in zip(tails[part], own[part])]
+                    places, scores = (_padded([f[i] for f in found], self.k, fill) for i, fill in ((0, 0), (1, -np.inf)))
+                elif not len(wave.slots) and not self.extent and wave.ranked is None:
+                    places, scores = wave.dense_best(queries.dense[part], self, own[part])
+                    places = np.minimum(places, n - 1)
+                else:
+                    made = wave.products(queries.dense[part], tails[part], self.scale)
+                    if self.extent:
+                        lo, hi = made.min(axis=1), made.max(axis=1)
+                    places, scores = _best(self.allowed(made, every, own[part], wave.ranked), every, self.k)
+                reach = np.stack([lo, hi], axis=1) if lo is not None else np.zeros((len(scores), 2))
+                yield self.rows(qid[part], wave.ids[places], scores, reach)
+
     def rows(self, qid: np.ndarray, ids: np.ndarray, scores: np.ndarray, extents: np.ndarray) -> pa.RecordBatch:
         r, c = np.nonzero(np.isfinite(scores))
         arrays = [qid[r].tolist(), ids[r, c].tolist(), scores[r, c]]
@@ -185,7 +373,11 @@ class _Search:
         if left.num_rows == 0 or right.num_rows == 0:
             return self.empty()
         qid = _ids(left[self.names[0]])
-        found = self.top(qid, _Vectors(left["_qv"]), _ids(right[self.names[1]]), _Vectors(right["_dv"]))
+        docs = _Vectors(right["_dv"])
+        if not docs.dense.shape[1] and not self.extent:
+            sent = left.select([self.names[0], "_qv"]).to_batches()
+            return pa.Table.from_batches(self.stream(_Wave(_ids(right[self.names[1]]), docs), sent), self.empty().schema)
+        found = self.top(qid, _Vectors(left["_qv"]), _ids(right[self.names[1]]), docs)
         return pa.Table.from_batches([self.rows(qid, *found)])
 
     def scan(self, qid: np.ndarray, qv: _Vectors, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,6 +399,35 @@ class _Search:
             yield self.rows(qid, *held)
 
 
+def _padded(rows: list[np.ndarray], k: int, fill: float) -> np.ndarray:
+    out = np.full((len(rows), k), fill, dtype=rows[0].dtype if rows else None)
+    for row, values in zip(out, rows):
+        row[: len(values)] = values
+    return out
+
+
+def _bytes(df: DataFrame, vector: str) -> int:
+    """Bytes of the numbers of a vector column."""
+    kind = df.schema[vector].dataType
+    if kind.typeName() == "struct":
+        head, tail, _ = (F.size(f"{vector}.`{f.name}`") for f in kind.fields)
+        numbers = head + 2 * tail
+    else:
+        numbers = F.size(vector)
+    return 8 * (df.agg(F.sum(numbers + 2).alias("n")).first()["n"] or 0)
+
+
+def waves(docs: DataFrame, doc_id: str, vector: str) -> Iterator[pa.Table] | None:
+    """The documents in tables of about WAVE_BYTES, or None where they are too many to travel."""
+    n = -(-_bytes(docs, vector) // WAVE_BYTES) or 1
+    if n > MOST_WAVES:
+        return None
+    if n == 1:
+        return iter([docs.toArrow()])
+    part = F.pmod(F.xxhash64(doc_id), F.lit(n))
+    return (docs.where(part == i).toArrow() for i in range(n))
+
+
 def topk_inner_product(
     queries: DataFrame,
     docs: DataFrame,
@@ -223,11 +444,12 @@ def topk_inner_product(
     """query_id, doc_id, score, rank: the k documents of largest inner product for every query.
 
     Rows with a null vector match nothing; vectors of unequal lengths are an error. ``route``: "checked" sends a
-    query table of at most QUERY_BATCH_ROWS rows and QUERY_BATCH_BYTES to the document scan, without a shuffle of
-    the documents, and otherwise does as "pair", which meets queries and documents block by block. Both give the
-    same rows. ``extent`` adds min_score and max_score of each query over all documents, from the same products.
+    query table of at most QUERY_BATCH_ROWS rows and QUERY_BATCH_BYTES to the document scan, else documents of at
+    most MOST_WAVES waves to the scan of the queries, and otherwise does as "pair", which meets queries and
+    documents block by block; "documents" leaves the first of these out, for sparse vectors with many slots. All give
+    the same rows. ``extent`` adds min_score and max_score of each query over all documents, from the same products.
     """
-    if route not in ("checked", "pair"):
+    if route not in ("checked", "documents", "pair"):
         raise ValueError(f"unknown route: {route}")
     q = queries.select(F.col(query_id), F.col(vector).alias("_qv")).where("_qv is not null")
     d = docs.select(F.col(doc_id), F.col(vector).alias("_dv")).where("_dv is not null")
@@ -241,12 +463,47 @@ def topk_inner_product(
             return search.scan(_ids(asked[query_id]), _Vectors(asked["_qv"]), batches)
 
         partial = d.mapInArrow(scan, search.schema)
+    elif route != "pair" and (parts := waves(d, doc_id, "_dv")) is not None:
+        asked = spread(q, query_id)
+        partial = reduce(DataFrame.unionAll, [_streamed(asked, part, search) for part in parts])
     else:
         lefts, rights, _, _ = block_pairs(q, d, query_id, doc_id, LEFT_BLOCK, RIGHT_BLOCK)
         partial = lefts.groupBy("_lb", "_rb").cogroup(rights.groupBy("_lb", "_rb")).applyInArrow(lambda a, b: search.pair(a, b), search.schema)
     return _merge(partial, query_id, doc_id, k)
 
 
+def _streamed(queries: DataFrame, part: pa.Table, search: _Search, ranked: str | None = None) -> DataFrame:
+    """Queries past one wave of documents (id, vector and perhaps a flag of those that are ranked)."""
+    shipped = queries.sparkSession.sparkContext.broadcast(part)
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs = shipped.value
+        flags = None if ranked is None else docs[ranked].to_numpy(zero_copy_only=False).astype(bool)
+        yield from search.stream(_Wave(_ids(docs[0]), _Vectors(docs[1]), flags), batches)
+
+    return queries.mapInArrow(stream, search.schema)
+
+
+def topk_minmax_sum(
+    queries: DataFrame, docs: DataFrame, k: int, weight: float, guard: float, query_id: str, doc_id: str, ranked: str, digits: int = _DIGITS
+) -> DataFrame | None:
+    """query_id, doc_id, score, rank by ``weight * minmax(head product) + tail product``, or None for more than one wave.
+
+    The range of the head's products is over all documents, ranked or not, so one product serves both.
+    """
+    d = docs.select(doc_id, F.col("vector").alias("_dv"), ranked)
+    if _bytes(d, "_dv") > WAVE_BYTES:
+        return None
+
+    def scale(products: np.ndarray) -> np.ndarray:
+        low, high = products.min(axis=1, keepdims=True), products.max(axis=1, keepdims=True)
+        return weight / (high - low + guard) * (products - low)
+
+    q = queries.select(query_id, F.col("vector").alias("_qv"))
+    search = _Search(q, d, query_id, doc_id, k, False, None, digits, scale=scale)
+    return _merge(_streamed(spread(q, query_id), d.toArrow(), search, ranked), query_id, doc_id, k)
+
+
 def topk_in_cells(
     probes: DataFrame,
     docs: DataFrame,
@@ -296,6 +553,14 @@ def score_range(
     """left_id, min_score, max_score, n: the extent of the inner products of each left row with all right rows."""
     lhs = left.select(left_id, F.col(vector).alias("_lv")).where("_lv is not null")
     rhs = right.select(right_id, F.col(vector).alias("_rv")).where("_rv is not null")
+    parts = waves(rhs, right_id, "_rv")
+    if parts is not None:
+        search = _Search(lhs, rhs, left_id, right_id, 1, False, None, _DIGITS, extent=True)
+        made = [(_streamed(spread(lhs, left_id), part, search), part.num_rows) for part in parts]
+        ranges = reduce(DataFrame.unionAll, [m.select(left_id, "_lo", "_hi", F.lit(n).cast("long").alias("_n")) for m, n in made])
+        return ranges.groupBy(left_id).agg(
+            F.min("_lo").alias("min_score"), F.max("_hi").alias("max_score"), F.sum("_n").alias("n_items")
+        )
     lefts, rights, _, _ = block_pairs(lhs, rhs, left_id, right_id, LEFT_BLOCK, RIGHT_BLOCK)
     l_type = lhs.schema[left_id].dataType.simpleString()
     l_arrow = arrow_type(l_type)

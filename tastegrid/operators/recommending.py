@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.functions.text import split_genres
 from tastegrid.operators import tfidf
-from tastegrid.operators.nearest import score_range, topk_inner_product
+from tastegrid.operators.nearest import score_range, topk_inner_product, topk_minmax_sum
 from tastegrid.session import settle
 
 # fixed values: score weights and the range guard
@@ -141,36 +141,34 @@ def hybrid_recommend(
 ) -> DataFrame:
     """user_id, item_id, score, rank of ``w1 * minmax(collab) + w2 * content``.
 
-    Both parts are inner products, so the weighted sum is one inner product of joined-up vectors (factors
-    as the dense head, TF-IDF as the sparse tail); the user's minimum is the same for all items and is
-    taken off at the end. The min-max range is over all items, whatever the candidates.
+    Factors are the dense head and TF-IDF weights the sparse tail of one vector. Where the items travel at once, one
+    product gives the range and the ranking; else the range comes first, the head is scaled by one number per user,
+    and the weighted sum is one inner product whose offset is taken off at the end. The min-max range is over
+    all items, whatever the candidates.
     """
-    extent = minmax_per_user(user_factors, item_factors)
-    spread = F.col("max_score") - F.col("min_score") + RANGE_GUARD
     pairs = F.collect_list(F.struct(F.col("slot").alias("s"), F.col("weight").alias("w"))).alias("_p")
     profiles = content_profiles(history, weights).groupBy("user_id").agg(pairs)
-    scaled = F.transform("_p", lambda p: F.struct(p["s"].alias("s"), (p["w"] * content_weight).alias("w")))
-    # the factors come in as they are and are scaled by one number per user
-    users = (
-        user_factors.select("user_id", F.col("vector").alias("_c"))
-        .join(extent, "user_id")
-        .join(profiles, "user_id", "left")
-        .withColumn("_f", F.lit(collab_weight) / spread)
-        .select(
-            "user_id",
-            tfidf.sparse_vector(scaled, F.transform("_c", lambda x: x.cast("double") * F.col("_f"))).alias("vector"),
-            (F.col("min_score") * F.col("_f")).alias("offset"),
-        )
-    )
-    users = settle(users)
-    ranked_items = item_factors if candidates is None else candidate_restrict(item_factors, candidates)
-    items = (
-        ranked_items.select("item_id", F.transform("vector", lambda x: x.cast("double")).alias("_c"))
-        .join(weights.groupBy("item_id").agg(pairs), "item_id", "left")
-        .select("item_id", tfidf.sparse_vector(F.col("_p"), F.col("_c")).alias("vector"))
-    )
-    top = topk_inner_product(users, settle(items), k, "user_id", "item_id", digits=digits)
-    return top.join(users.select("user_id", "offset"), "user_id").select(
+    tail = F.transform("_p", lambda p: F.struct(p["s"].alias("s"), (p["w"] * content_weight).alias("w")))
+    head = F.transform("_c", lambda x: x.cast("double"))
+    users = user_factors.select("user_id", F.col("vector").alias("_c")).join(profiles, "user_id", "left")
+    users = settle(users.select("user_id", tfidf.sparse_vector(tail, head).alias("vector")))
+    items = item_factors.select("item_id", F.col("vector").alias("_c")).join(weights.groupBy("item_id").agg(pairs), "item_id", "left")
+    items = items.select("item_id", tfidf.sparse_vector(F.col("_p"), head).alias("vector"), F.lit(True).alias("_ranked"))
+    if candidates is not None:
+        wanted = candidates.select("item_id").distinct().withColumn("_wanted", F.lit(True))
+        items = items.join(wanted, "item_id", "left").select("item_id", "vector", F.coalesce("_wanted", F.lit(False)).alias("_ranked"))
+    items = settle(items)
+    top = topk_minmax_sum(users, items, k, collab_weight, RANGE_GUARD, "user_id", "item_id", "_ranked", digits)
+    if top is not None:
+        return top
+    spread = F.col("max_score") - F.col("min_score") + RANGE_GUARD
+    scaled = users.join(minmax_per_user(user_factors, item_factors), "user_id").withColumn("_f", F.lit(collab_weight) / spread)
+    names = users.schema["vector"].dataType.names
+    grown = F.transform(F.col("vector")[names[0]], lambda x: x * F.col("_f")).alias(names[0])
+    vector = F.struct(grown, *[F.col("vector")[n].alias(n) for n in names[1:]]).alias("vector")
+    asked = settle(scaled.select("user_id", vector, (F.col("min_score") * F.col("_f")).alias("offset")))
+    best = topk_inner_product(asked, items.where("_ranked"), k, "user_id", "item_id", digits=digits)
+    return best.join(asked.select("user_id", "offset"), "user_id").select(
         "user_id", "item_id", (F.col("score") - F.col("offset")).alias("score"), "rank"
     )
 

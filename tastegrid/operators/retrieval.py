@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from itertools import zip_longest
 
 import ahocorasick
 import numpy as np
@@ -17,8 +19,8 @@ from tastegrid.functions.hashing import digest_vector
 from tastegrid.functions.text import keyword_score
 from tastegrid.functions.vectors import l2_normalize
 from tastegrid.operators.cleaning import match_filters
-from tastegrid.operators.nearest import arrow_type, block_pairs, topk_in_cells, topk_inner_product
-from tastegrid.session import settle
+from tastegrid.operators.nearest import topk_in_cells, topk_inner_product
+from tastegrid.session import settle, spread
 
 # fixed values
 OVERFETCH = 3
@@ -222,78 +224,107 @@ def recall_at_k(approximate: DataFrame, exact: DataFrame, query_id: str = "query
 # fixed values: keyword context weights
 TITLE_POINTS, GENRE_POINTS, DIRECTOR_POINTS, WORD_POINTS = 3.0, 2.0, 2.0, 0.5
 MIN_WORD = 4
+# what str.split takes as white space, as a pattern
+PYTHON_SPACE = r"[\s\x0B\x1C-\x1F\x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]+"
+
+
+#: Bytes of strings that one task looks for in a scan.
+DICTIONARY_BYTES = 8 << 20
+
+
+def _dictionaries(strings: DataFrame, first: int) -> tuple[list, int]:
+    """Broadcasts of (string -> slot) that hold the distinct ``s`` in parts of about DICTIONARY_BYTES; the next free slot."""
+    distinct = strings.where("s is not null").distinct()
+    size = distinct.agg(F.sum(F.octet_length("s") + 16).alias("n")).first()["n"] or 0
+    n = max(1, -(-size // DICTIONARY_BYTES))
+    distinct = settle(distinct) if n > 1 else distinct
+    out = []
+    for part in range(n):
+        chosen = distinct.where(F.pmod(F.xxhash64("s"), F.lit(n)) == part) if n > 1 else distinct
+        found = sorted(chosen.toArrow()["s"].to_pylist())
+        out.append(strings.sparkSession.sparkContext.broadcast({s: first + i for i, s in enumerate(found)}))
+        first += len(found)
+    return out, first
+
+
+class _Finder:
+    """Finds which strings of a dictionary a text holds, in one pass; the empty string is in every text."""
+
+    def __init__(self, slots: dict[str, int]):
+        self.slots, self.always = slots, [slots[""]] if "" in slots else []
+        self.machine = ahocorasick.Automaton()
+        for s, slot in slots.items():
+            if s:
+                self.machine.add_word(s, slot)
+        if len(self.machine):
+            self.machine.make_automaton()
+
+    def held(self, text: str) -> set[int]:
+        found = set(self.always)
+        if len(self.machine):
+            found.update(slot for _, slot in self.machine.iter(text))
+        return found
+
+
+def _scan_vectors(
+    rows: DataFrame, vector: Callable[[dict, _Finder, _Finder], dict[int, float]], words: list, names: list
+) -> DataFrame:
+    """id, vector of every row: ``vector`` tells slot -> weight from the row and the two dictionaries of a pass.
 
-
-def _occurrences(needles: list[str], texts: list[str]) -> np.ndarray:
-    """needles x texts 0/1 matrix of substring hits, one automaton pass per text; '' is in every text."""
-    hits = np.zeros((len(needles), len(texts)), dtype=np.float32)
-    machine = ahocorasick.Automaton()
-    for i, needle in enumerate(needles):
-        if needle:
-            machine.add_word(needle, i)
-        else:
-            hits[i, :] = 1.0
-    if len(machine):
-        machine.make_automaton()
-        for j, text in enumerate(texts):
-            for _, i in machine.iter(text):
-                hits[i, j] = 1.0
-    return hits
-
-
-def _keyword_block(k: int, left: pa.Table, right: pa.Table, names: list[str], types: list[pa.DataType]) -> pa.Table:
-    """Scores of one block of queries against one block of items: three small 0/1 matrix products."""
-    if left.num_rows == 0 or right.num_rows == 0:
-        return pa.schema(list(zip(names, types))).empty_table()
-    queries = left["query"].to_pylist()
-    ids = np.asarray(right[names[1]].to_pylist(), dtype=object)
-    order = np.argsort(ids, kind="stable")
-    column = {c: [right[c][int(i)].as_py() for i in order] for c in ("title", "genres", "director", "plot")}
-    scores = np.zeros((len(queries), len(order)), dtype=np.float32)
-    # plot words: how often a query names a word x whether the plot holds it
-    counts: dict[str, dict[int, int]] = {}
-    for q, text in enumerate(queries):
-        for w in text.split():
-            if len(w) >= MIN_WORD:
-                counts.setdefault(w, {}).setdefault(q, 0)
-                counts[w][q] += 1
-    vocabulary = list(counts)
-    if vocabulary:
-        named = np.zeros((len(queries), len(vocabulary)), dtype=np.float32)
-        for i, w in enumerate(vocabulary):
-            for q, n in counts[w].items():
-                named[q, i] = n
-        scores += WORD_POINTS * (named @ _occurrences(vocabulary, column["plot"]))
-    # title, director and each genre: whether the query holds it
-    for points, values in (
-        (TITLE_POINTS, [[t] for t in column["title"]]),
-        (DIRECTOR_POINTS, [[d] for d in column["director"]]),
-        (GENRE_POINTS, column["genres"]),
-    ):
-        needles = sorted({v for group in values for v in group})
-        slot = {v: i for i, v in enumerate(needles)}
-        member = np.zeros((len(needles), len(order)), dtype=np.float32)
-        for j, group in enumerate(values):
-            for v in group:
-                member[slot[v], j] += 1.0
-        scores += points * (_occurrences(needles, queries).T @ member)
-    take = min(k, scores.shape[1])
-    best = np.argsort(-scores, axis=1, kind="stable")[:, :take]
-    value = np.take_along_axis(scores, best, axis=1).astype(np.float64)
-    r, c = np.nonzero(value > 0)
-    qid = left[names[0]].to_pylist()
-    rows = [[qid[i] for i in r], ids[order][best[r, c]].tolist(), value[r, c]]
-    return pa.table({n: pa.array(x, type=t) for n, x, t in zip(names, rows, types)})
-
-
-def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5, query_block: int = 1024, item_block: int = 1024) -> DataFrame:
+    A text is scanned once per pass and stays in its task; one pass does unless a dictionary has several parts.
+    """
+    id_col, kind = rows.columns[0], rows.schema[0].dataType.simpleString()
+    tail = "dense:array<double>,slots:array<bigint>,weights:array<double>"
+
+    def scan(word_part, name_part) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            finders = [_Finder(part.value if part is not None else {}) for part in (word_part, name_part)]
+            for b in batches:
+                made = [sorted(vector(row, *finders).items()) for row in b.to_pylist()]
+                arrays = [
+                    pa.array([[] for _ in made], pa.list_(pa.float64())),
+                    pa.array([[s for s, _ in m] for m in made], pa.list_(pa.int64())),
+                    pa.array([[w for _, w in m] for m in made], pa.list_(pa.float64())),
+                ]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.StructArray.from_arrays(arrays, ["dense", "slots", "weights"])], [id_col, "vector"])
+
+        return run
+
+    parts = [rows.mapInArrow(scan(w, n), f"`{id_col}` {kind}, vector struct<{tail}>") for w, n in zip_longest(words, names)]
+    if len(parts) == 1:
+        return parts[0]
+    both = reduce(DataFrame.unionAll, parts).groupBy(id_col)
+    fields = [F.flatten(F.collect_list(f"vector.{f}")).alias(f) for f in ("dense", "slots", "weights")]
+    return both.agg(*fields).select(id_col, F.struct("dense", "slots", "weights").alias("vector"))
+
+
+def _query_vector(row: dict, words: _Finder, names: _Finder) -> dict[int, float]:
+    out: dict[int, float] = dict.fromkeys(names.held(row["query"]), 1.0)
+    for w in row["query"].split():
+        if len(w) >= MIN_WORD and w in words.slots:
+            out[words.slots[w]] = out.get(words.slots[w], 0.0) + WORD_POINTS
+    return out
+
+
+def _item_vector(row: dict, words: _Finder, names: _Finder) -> dict[int, float]:
+    out: dict[int, float] = dict.fromkeys(words.held(row["plot"]), 1.0)
+    own = [(row["title"], TITLE_POINTS), (row["director"], DIRECTOR_POINTS), *((g, GENRE_POINTS) for g in row["genres"])]
+    for name, points in own:
+        if name in names.slots:
+            out[names.slots[name]] = out.get(names.slots[name], 0.0) + points
+    return out
+
+
+def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5) -> DataFrame:
     """query_id, id, score, rank: substring points of every query with every item, the k best above zero.
 
     Title in query 3, each genre in query 2, director in query 2, each query word of four or more letters
-    that occurs in the plot 0.5. Blocks of queries meet blocks of items; each text is scanned once per
-    block by an automaton and only k rows per query leave a block.
+    that occurs in the plot 0.5. An inverted substring index: the distinct query words are looked for in
+    the plots, the distinct titles, directors and genres in the queries, each text in one pass of an
+    automaton. What leaves a task is the numbers of the strings found, so the points are a sparse inner
+    product, whose posting lists are read as far as the k best need them.
     """
-    q = queries.select("query_id", F.lower("query").alias("query"))
+    q = queries.select("query_id", F.lower(F.coalesce("query", F.lit(""))).alias("query"))
     d = items.select(
         "id",
         F.lower(F.coalesce("title", F.lit(""))).alias("title"),
@@ -301,15 +332,10 @@ def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5, query
         F.lower(F.coalesce("director", F.lit(""))).alias("director"),
         F.lower(F.coalesce("plot", F.lit(""))).alias("plot"),
     )
-    id_type = d.schema["id"].dataType.simpleString()
-    names = ["query_id", "id", "score"]
-    types = [pa.string(), arrow_type(id_type), pa.float64()]
-    lefts, rights, _, _ = block_pairs(q, d, "query_id", "id", query_block, item_block)
-    partial = (
-        lefts.groupBy("_lb", "_rb")
-        .cogroup(rights.groupBy("_lb", "_rb"))
-        .applyInArrow(lambda a, b: _keyword_block(k, a, b, names, types), f"query_id string, id {id_type}, score double")
-    )
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
+    spoken = q.select(F.explode(F.split("query", PYTHON_SPACE)).alias("s")).where(F.length("s") >= MIN_WORD)
+    named = d.select(F.explode(F.concat(F.array("title", "director"), "genres")).alias("s"))
+    words, free = _dictionaries(spoken, 0)
+    names, _ = _dictionaries(named, free)
+    asked = settle(_scan_vectors(q, _query_vector, words, names))
+    found = settle(_scan_vectors(spread(d, "id"), _item_vector, words, names))
+    return topk_inner_product(asked, found, k, "query_id", "id", min_score=WORD_POINTS, route="documents")

@@ -74,6 +74,75 @@ def test_both_search_plans_agree_with_brute_force(spark, monkeypatch, shipped, s
     assert found(nearest.topk_inner_product(q, d, 7, exclude_same=same)) == brute(q, d, 7, same)
 
 
+@pytest.mark.parametrize("waves", [1, 3])
+@pytest.mark.parametrize("same", [False, True])
+def test_documents_in_waves_agree_with_brute_force(spark, monkeypatch, waves, same):
+    q, d = vectors(spark, 30, "query_id", 1), vectors(spark, 200, "id", 2)
+    monkeypatch.setattr(nearest, "QUERY_BATCH_ROWS", 5)
+    monkeypatch.setattr(nearest, "CHUNK", 16)
+    monkeypatch.setattr(nearest, "WAVE_BYTES", 200 * 8 * 8 // waves)
+    monkeypatch.setattr(nearest, "block_pairs", None)
+    assert found(nearest.topk_inner_product(q, d, 7, exclude_same=same)) == brute(q, d, 7, same)
+
+
+def sparse_vectors(n, seed, negative):
+    """Few heavy slots, many light ones; some rows are empty, equal, or share nothing."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        slots = sorted(set(np.minimum(rng.zipf(1.4, rng.integers(0, 9)), 300).tolist()))
+        weights = [float(round(rng.normal() if negative else rng.random() / (1 + 3 * (s < 4)), 2)) for s in slots]
+        rows.append((i, ([], slots, weights)))
+    rows[5::11] = [(i, rows[4][1]) for i, _ in rows[5::11]]
+    return rows
+
+
+SPARSE = "long, vector struct<dense:array<double>,slots:array<int>,weights:array<double>>"
+
+
+@pytest.mark.parametrize("negative", [False, True])
+@pytest.mark.parametrize("same", [False, True])
+@pytest.mark.parametrize("least, waves", [(None, 32), (0.5, 32), (None, 0)])
+def test_sparse_search_agrees_with_brute_force(spark, monkeypatch, negative, same, least, waves):
+    monkeypatch.setattr(nearest, "QUERY_BATCH_ROWS", 5)
+    monkeypatch.setattr(nearest, "MOST_WAVES", waves)  # none: block by block
+    monkeypatch.setattr(nearest, "RIGHT_BLOCK", 64)
+    queries, docs = sparse_vectors(60, 1, negative), sparse_vectors(250, 2, negative)
+    got = found(
+        nearest.topk_inner_product(
+            spark.createDataFrame(queries, f"query_id {SPARSE}"), spark.createDataFrame(docs, f"id {SPARSE}"), 6, exclude_same=same, min_score=least
+        )
+    )
+    for q, (_, qs, qw) in queries:
+        asked = dict(zip(qs, qw))
+        scored = [(-round(sum(asked.get(s, 0.0) * w for s, w in zip(ds, dw)), 9), i) for i, (_, ds, dw) in docs if not (same and i == q)]
+        assert got.get(q, []) == [i for v, i in sorted(scored)[:6] if least is None or -v >= least], q
+
+
+def test_sparse_search_leaves_most_pairs_out():
+    """Candidates are far fewer than pairs: lists of common slots are not read to the end of the query."""
+    rng = np.random.default_rng(3)
+    n, rows = 4000, []
+    for _ in range(n):
+        rare = rng.choice(np.arange(10, 2000), 4, replace=False).tolist()
+        slots = [int(rng.integers(0, 5)), *map(int, rare)]
+        w = np.array([0.1, 1, 1, 1, 1])
+        rows.append(([], slots, (w / np.linalg.norm(w)).tolist()))
+    column = nearest.pa.array([dict(zip(("dense", "slots", "weights"), r)) for r in rows], nearest.pa.struct(
+        [("dense", nearest.pa.list_(nearest.pa.float64())), ("slots", nearest.pa.list_(nearest.pa.int32())), ("weights", nearest.pa.list_(nearest.pa.float64()))]
+    ))
+    vectors_ = nearest._Vectors(column)
+    wave, sums = nearest._Wave(np.arange(n), vectors_), np.zeros(n)
+
+    class Asked:
+        k, digits, exclude_same, min_score, allowed = 5, 9, True, None, nearest._Search.allowed
+
+    for i, (entries, weights) in enumerate(wave.tails(vectors_)):
+        wave.sparse_best(entries, weights, Asked(), i, sums)
+    assert wave.scored < n * n / 50
+    assert not sums.any() and not wave.seen.any()
+
+
 def test_hot_cell_is_split_and_stays_exact(spark, monkeypatch):
     monkeypatch.setattr(nearest, "LEFT_BLOCK", 4)
     monkeypatch.setattr(nearest, "RIGHT_BLOCK", 16)
@@ -119,17 +188,67 @@ def test_hybrid_scores_stay_in_range(spark, ratings):
     assert {r["score"] for r in both.where("user_id = 'nobody'").collect()} == {0.5}
 
 
+def test_hybrid_in_one_wave_and_in_many(spark, monkeypatch, ratings):
+    f = factors.fit_svd(ratings, n_components=4, iterations=4)
+    titles = F.concat(F.lit("film "), F.when(F.hash("id") % 2 == 0, "night").otherwise("day"), F.lit(" "), F.col("id"))
+    items = ratings.select(F.col("item_id").alias("id")).distinct().select("id", titles.alias("title"), F.lit("Action|Drama").alias("genre"), F.lit("way").alias("plot"))
+    weights, history = recommending.item_weights(items), recommending.topn_history(ratings)
+    some = items.where("hash(id) % 3 != 0").select(F.col("id").alias("item_id"))
+
+    def rows():
+        top = recommending.hybrid_recommend(f.user_factors, f.item_factors, history, weights, 3, candidates=some)
+        return {(r["user_id"], r["rank"], r["item_id"]): r["score"] for r in top.collect()}
+
+    whole = rows()
+    monkeypatch.setattr(nearest, "WAVE_BYTES", 1000)
+    parts = rows()
+    assert parts.keys() == whole.keys() and len(whole) == 120
+    assert all(abs(parts[key] - whole[key]) < 1e-8 for key in whole)
+
+
 def test_keyword_points(spark):
     items = spark.createDataFrame(
         [(1, "Avatar", "Action|Sci-Fi", "James Cameron", "marine on alien planet"), (2, "Titanic", "Drama", "", "a ship"), (3, "Up", "", "X Y", "house")],
         "id long, title string, genre string, director string, plot string",
     )
     q = spark.createDataFrame([("a", "is avatar an action film by james cameron on an alien planet")], "query_id string, query string")
-    rows = {r["id"]: r["score"] for r in retrieval.keyword_context_join(q, items, query_block=1, item_block=1).collect()}
+    rows = {r["id"]: r["score"] for r in retrieval.keyword_context_join(q, items).collect()}
     # empty director and empty genre are substrings of every query
     assert rows == {1: 3 + 2 + 2 + 0.5 + 0.5, 2: 2.0, 3: 2.0}
 
 
+@pytest.mark.parametrize("small", [False, True])
+def test_keyword_points_agree_with_brute_force(spark, monkeypatch, small):
+    """Nulls, equal rows, empty names and texts; also with a dictionary in many parts and items in many waves."""
+    rng = np.random.default_rng(4)
+    words = ["night", "alien", "of", "planet", "sea", "marine", "Über", "ship", "lie", "ali"]
+
+    def text(n):
+        return " ".join(rng.choice(words, n)) if n else (None if rng.random() < 0.5 else "")
+
+    items = [
+        (i, text(rng.integers(0, 3)), "|".join(rng.choice(words, rng.integers(0, 3))), text(rng.integers(0, 2)), text(rng.integers(0, 12)))
+        for i in range(120)
+    ]
+    queries = [(f"q{i}", text(rng.integers(0, 9))) for i in range(40)]
+    if small:
+        monkeypatch.setattr(retrieval, "DICTIONARY_BYTES", 60)
+        monkeypatch.setattr(nearest, "WAVE_BYTES", 3000)
+    got = retrieval.keyword_context_join(
+        spark.createDataFrame(queries, "query_id string, query string"),
+        spark.createDataFrame(items, "id long, title string, genre string, director string, plot string"), 4,
+    ).collect()
+    want = []
+    for qid, query in queries:
+        query, scored = (query or "").lower(), []
+        for i, title, genre, director, plot in items:
+            title, director, plot = ((v or "").lower() for v in (title, director, plot))
+            points = 3.0 * (title in query) + 2.0 * (director in query) + sum(2.0 for g in genre.lower().split("|") if g in query)
+            scored.append((-points - sum(0.5 for w in query.split() if len(w) >= 4 and w in plot), i))
+        want += [(qid, i, -v, r) for r, (v, i) in enumerate(sorted(scored)[:4], 1) if v < 0]
+    assert sorted((r["query_id"], r["id"], r["score"], r["rank"]) for r in got) == sorted(want)
+
+
 def test_unknown_embedding_model(spark):
     with pytest.raises(ValueError):
         retrieval.embed_text(spark.range(1), "id", "no_such_model")
