@@ -150,15 +150,17 @@ class _Wave:
         self.ids, self.dense = ids[order], vectors.dense[order]
         self.ranked = None if ranked is None or ranked.all() else ranked[order]
         rows = place[vectors.rows]
-        by_row = np.lexsort((vectors.slots, rows))
-        row_slots, self.row_weights = vectors.slots[by_row], vectors.weights[by_row]
-        self.row_starts = np.searchsorted(rows[by_row], np.arange(len(ids) + 1))
-        by_slot = np.lexsort((rows, vectors.slots))
-        self.slots, starts = np.unique(vectors.slots[by_slot], return_index=True)
+        by_row = np.argsort(rows, kind="stable")
+        rows, row_slots, self.row_weights = rows[by_row], vectors.slots[by_row], vectors.weights[by_row]
+        self.row_starts = np.searchsorted(rows, np.arange(len(ids) + 1))
+        by_slot = np.argsort(row_slots, kind="stable")
+        self.slots, starts = np.unique(row_slots[by_slot], return_index=True)
         self.starts = np.append(starts, len(by_slot))
-        self.docs, self.weights = rows[by_slot], vectors.weights[by_slot]
-        self.row_entries, self.asked = np.searchsorted(self.slots, row_slots), np.zeros(len(self.slots))
-        self.seen = np.zeros(len(ids), bool)
+        self.lengths = np.diff(self.starts)
+        self.docs, self.weights = rows[by_slot], self.row_weights[by_slot]
+        self.row_entries = np.empty(len(by_slot), np.int64)
+        self.row_entries[by_slot] = np.repeat(np.arange(len(self.slots)), self.lengths)
+        self.asked, self.seen = np.zeros(len(self.slots)), np.zeros(len(ids), bool)
         # what a slot can add at most and at least: its heaviest and lightest weight, 0 for documents without it
         bounds = self.starts[:-1]
         self.most = np.maximum(np.maximum.reduceat(self.weights, bounds), 0.0) if len(self.slots) else np.zeros(0)
@@ -216,7 +218,8 @@ class _Wave:
         left = np.append(np.cumsum(reach[order][::-1])[::-1], 0.0)
         lost = np.append(np.cumsum(sink[order][::-1])[::-1], 0.0)
         met: list[np.ndarray] = []
-        many, turn, kth, slack = 0, -1, -np.inf, 2 * 10.0**-search.digits
+        many, turn, seen_kth, kth, slack = 0, -1, 0.0, -np.inf, 2 * 10.0**-search.digits
+        gain = 0.0
         for turn, e in enumerate(order):
             docs, w = self.list_of(entries[e])
             sums[docs] += weights[e] * w
@@ -224,20 +227,31 @@ class _Wave:
             self.seen[new] = True
             met.append(new)
             many += len(new)
-            if turn + 1 < len(order) and many > k:
+            gain += reach[e]  # the k-th best cannot have grown by more since it was looked at
+            if many > k and turn + 1 < len(order) and left[turn + 1] + slack < seen_kth + gain:
                 held = np.concatenate(met)
                 if self.ranked is not None:
                     held = held[self.ranked[held]]
                 if len(held) > k:  # one of them may be the query itself
-                    kth = np.partition(sums[held], len(held) - k - 1)[len(held) - k - 1] + lost[turn + 1]
+                    seen_kth, gain = np.partition(sums[held], len(held) - k - 1)[len(held) - k - 1], 0.0
+                    kth = seen_kth + lost[turn + 1]
                     if left[turn + 1] + slack < kth:
                         break
         cand = np.concatenate(met) if met else np.zeros(0, np.int64)
+        self.scored += len(cand)
         reading = np.sort(cand[sums[cand] + left[turn + 1] + slack >= kth])
-        sums[cand] = 0.0
+        rest = order[turn + 1 :]
+        if self.lengths[entries[rest]].sum() <= (self.row_starts[reading + 1] - self.row_starts[reading]).sum():
+            for e in rest:  # cheaper than the candidates' rows; whoever is met only now is not among the best
+                docs, w = self.list_of(entries[e])
+                sums[docs] += weights[e] * w
+                met.append(docs)
+            exact = sums[reading]
+            sums[np.concatenate(met) if met else cand] = 0.0
+        else:
+            exact = self._rows(reading, entries, weights)
+            sums[cand] = 0.0
         self.seen[cand] = False
-        self.scored += len(cand)
-        exact = self._rows(reading, entries, weights)
         values = search.allowed(exact[None, :], reading, np.array([own]))[0] if len(reading) else exact
         if (values > 0).sum() < k:  # documents that share no slot have the product 0 and compete too
             every = np.arange(len(self.ids)) if self.ranked is None else np.flatnonzero(self.ranked)

@@ -234,10 +234,9 @@ DICTIONARY_BYTES = 8 << 20
 
 def _dictionaries(strings: DataFrame, first: int) -> tuple[list, int]:
     """Broadcasts of (string -> slot) that hold the distinct ``s`` in parts of about DICTIONARY_BYTES; the next free slot."""
-    distinct = strings.where("s is not null").distinct()
+    distinct = settle(strings.where("s is not null").distinct())
     size = distinct.agg(F.sum(F.octet_length("s") + 16).alias("n")).first()["n"] or 0
     n = max(1, -(-size // DICTIONARY_BYTES))
-    distinct = settle(distinct) if n > 1 else distinct
     out = []
     for part in range(n):
         chosen = distinct.where(F.pmod(F.xxhash64("s"), F.lit(n)) == part) if n > 1 else distinct
