@@ -9,7 +9,7 @@ from tastegrid.functions import hashing, scoring, text
 from tastegrid.operators import abtest, caching, cleaning, evaluating, prompting
 from tastegrid.operators.prompting import NUMBER, TEMPLATES, Part
 from tastegrid.plans.guarding import ANSWERED, lit
-from tastegrid.plans.registry import CORPUS, ITEMS, query
+from tastegrid.plans.registry import CORPUS, ITEMS, QA, query
 from tastegrid.schemas import EXTRACTED_ITEM
 from tastegrid.sources import tables
 from tastegrid.sources.tables import instant, table
@@ -123,8 +123,11 @@ def responses(spark: SparkSession, d: str) -> DataFrame:
 
 
 def attach(prompts: DataFrame) -> DataFrame:
-    failed = (F.col("_c") + F.col("ordinal")) % 9 == 0
-    joined = prompts.withColumn("response", F.concat_ws(" ", F.col("strategy"), "answer", "reference"))
+    """A recorded answer per prompt; a third of them quote the first half of the reference, none holds all of it."""
+    place = F.col("_c") + F.col("ordinal")
+    failed = place % 9 == 0
+    quoted = F.when(place % 3 == 0, F.expr("substring(reference, 1, cast(length(reference) div 2 as int))"))
+    joined = prompts.withColumn("response", F.concat_ws(" ", F.col("strategy"), "answer", quoted))
     return joined.select(
         "query_id", "query", "context", "strategy", "ordinal", "response", "reference",
         (F.lit(50.0) * F.col("ordinal") + F.col("_t")).alias("latency_ms"),
@@ -135,9 +138,20 @@ def attach(prompts: DataFrame) -> DataFrame:
 
 
 _NAMES = ", ".join(f"({lit(t.name)}, {i})" for i, t in enumerate(TEMPLATES, 1))
-RESPONSES = f"""{ANSWERED}, base AS (
+# longest common subsequence of the token lists a and b: a row of the table per token of a, as a running maximum
+_LCS = """CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE list_max(list_reduce(
+    list_concat([list_transform(b, lambda u: 0)], list_transform(a, lambda t: list_transform(b, lambda u: CASE WHEN u = t THEN 1 ELSE 0 END))),
+    lambda r, e: list_transform(range(1, len(r) + 1), lambda j: list_max(list_transform(range(1, j + 1),
+      lambda i: greatest(r[i], coalesce(r[i - 1], 0) + e[i])))))) END"""
+TOKENS = "list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda t: t <> '')"
+
+
+def recorded(answered: str) -> str:
+    """The recorded answers and their scores over CTEs ``ctx`` (documents of a query) and ``answered``."""
+    return f"""{answered}, base AS (
   SELECT a.*, CAST(split_part(query_id, ':', 1) AS BIGINT) AS c, CAST(split_part(query_id, ':', 2) AS BIGINT) AS t FROM answered a),
-resp AS (SELECT b.query_id, b.query, strategy, ordinal, strategy || ' ' || answer || ' ' || r.text AS response, r.text AS reference,
+resp AS (SELECT b.query_id, b.query, strategy, ordinal, strategy || ' ' || answer
+      || CASE WHEN (c + ordinal) % 3 = 0 THEN ' ' || substr(r.text, 1, length(r.text) // 2) ELSE '' END AS response, r.text AS reference,
     50.0::DOUBLE * ordinal + t AS latency_ms, c % 4 = 0 AS cached,
     CASE WHEN (c + ordinal) % 9 = 0 THEN '429 rate limit' END AS error
   FROM base b JOIN benchmark r ON r.item_id = c % (SELECT count(*) FROM benchmark), (VALUES {_NAMES}) s(strategy, ordinal)),
@@ -158,7 +172,16 @@ ev AS (SELECT query_id, query, strategy, ordinal, response, latency_ms, cached,
       + CASE WHEN contains(response, '[Source') OR contains(response, 'based on') OR contains(response, 'according to') THEN 0.5 ELSE 0 END
       + len(list_filter(terms, lambda t: contains(lower(response), t)))::DOUBLE / greatest(len(terms), 1)))::DOUBLE AS helpfulness_score,
     CASE WHEN len(rw) = 0 OR len(fw) = 0 THEN 0.0 ELSE len(list_intersect(rw, fw))::DOUBLE / len(list_distinct(list_concat(rw, fw))) END AS similarity,
-    CAST(len({words_sql('query')}) + n_words AS BIGINT) AS tokens_used FROM cov)"""
+    CAST(len({words_sql('query')}) + n_words AS BIGINT) AS tokens_used FROM cov),
+lcs AS (SELECT query_id, strategy, len(a) AS n_pred, len(b) AS n_ref, {_LCS} AS n
+  FROM (SELECT query_id, strategy, {TOKENS.format(c='response')} AS a, {TOKENS.format(c='reference')} AS b FROM resp)),
+rouge AS (SELECT *, CASE WHEN rouge_l_precision > 0
+    THEN 2::DOUBLE * rouge_l_precision * rouge_l_recall / (rouge_l_precision + rouge_l_recall) ELSE 0.0 END::DOUBLE AS rouge_l_f1
+  FROM (SELECT query_id, strategy, n::DOUBLE / greatest(n_pred, 1) AS rouge_l_precision, n::DOUBLE / greatest(n_ref, 1) AS rouge_l_recall FROM lcs))"""
+
+
+RESPONSES = recorded(ANSWERED)
+ROUGE = ["rouge_l_precision", "rouge_l_recall", "rouge_l_f1"]
 
 
 @query("factuality_score", f"WITH {RESPONSES} SELECT query_id, strategy, factuality_score AS score FROM ev")
@@ -207,11 +230,12 @@ def _(spark, d):
     return responses(spark, d).select("query_id", "strategy", F.size(shared).alias("n_shared"))
 
 
-@query("rouge_l")
+@query("rouge_l", f"WITH {RESPONSES} SELECT query_id, strategy, {', '.join(f'round({c}, 6) AS {c}' for c in ROUGE)} FROM rouge")
 def _(spark, d):
     """ROUGE-L of every recorded answer against its reference."""
     r = scoring.rouge_l(F.col("response"), F.col("reference"))
-    return responses(spark, d).select("query_id", "strategy", r.alias("r")).select("query_id", "strategy", "r.*")
+    scored_ = responses(spark, d).select("query_id", "strategy", r.alias("r"))
+    return scored_.select("query_id", "strategy", *[F.round(F.col("r")[c], 6).alias(c) for c in ROUGE])
 
 
 @query(
@@ -223,11 +247,22 @@ def _(spark, d):
     return table(spark, d, "conversations").select("conv_id", "turn", F.size(scoring.rouge_tokens(F.col("text"))).alias("n_tokens"))
 
 
-@query("evaluate_responses")
+_SEVEN = {
+    **{c: c for c in ROUGE}, "embedding_similarity": "similarity", "factuality_score": "factuality_score",
+    "helpfulness_score": "helpfulness_score", "relevance_score": "(factuality_score + helpfulness_score) / 2",
+}
+
+
+@query(
+    "evaluate_responses",
+    f"""WITH {RESPONSES} SELECT query_id, strategy,
+  {', '.join(f'CASE WHEN error IS NULL THEN round({v}, 6) ELSE 0.0 END AS {c}' for c, v in _SEVEN.items())}
+FROM ev JOIN rouge USING (query_id, strategy)""",
+)
 def _(spark, d):
     """The seven scores of every recorded answer."""
     evaluated = evaluating.evaluate_responses(responses(spark, d))
-    return evaluated.select("query_id", "strategy", *evaluating.SCORES)
+    return evaluated.select("query_id", "strategy", *[F.round(c, 6).alias(c) for c in evaluating.SCORES])
 
 
 @query(
@@ -319,7 +354,33 @@ def _(spark, d):
     return row.withColumns({c: F.round(c, 6) for c in ("k3_rouge_l", "k5_rouge_l", "k3_factuality", "k5_factuality")})
 
 
-@query("run_experiment")
+_ASKED = f"""{QA}, {CORPUS},
+d AS (SELECT id, lower(title) AS title, string_split(lower(genre), '|') AS genres, lower(director) AS director, lower(plot) AS plot FROM corpus),
+q AS (SELECT query_id, lower(query) AS query FROM qa),
+qw AS (SELECT query_id, word, count(*) AS n FROM (SELECT query_id, unnest(string_split_regex(query, '\\s+')) AS word FROM q)
+  WHERE length(word) > 3 GROUP BY ALL),
+wd AS (SELECT word, id FROM (SELECT DISTINCT word FROM qw) w JOIN d ON contains(d.plot, w.word)),
+pts AS (SELECT query_id, id, 0.5 * sum(n) AS p FROM qw JOIN wd USING (word) GROUP BY ALL),
+hits AS (SELECT q.query_id, d.id, CAST(coalesce(p, 0) + CASE WHEN contains(query, title) THEN 3 ELSE 0 END
+    + CASE WHEN contains(query, director) THEN 2 ELSE 0 END + 2 * len(list_filter(genres, lambda g: contains(query, g))) AS DOUBLE) AS score
+  FROM q CROSS JOIN d LEFT JOIN pts ON q.query_id = pts.query_id AND d.id = pts.id),
+ctx AS (SELECT query_id, pos, c.* FROM (
+    SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS pos FROM hits WHERE score > 0 QUALIFY pos <= 5)
+  JOIN corpus c USING (id)),
+answered AS (SELECT query_id, query, response AS answer FROM qa)"""
+_MEANS = {
+    "rouge_l_f1": "rouge_l_f1", "embedding_similarity": "similarity", "factuality": "factuality_score", "helpfulness": "helpfulness_score",
+    "latency_ms": "latency_ms",
+}
+
+
+@query(
+    "run_experiment",
+    f"""WITH {recorded(_ASKED)} SELECT strategy, ordinal, CAST(count(*) AS BIGINT) AS num_samples,
+  {', '.join(f'round(coalesce(avg({v}) FILTER (error IS NULL), 0.0), 6) AS {c}' for c, v in _MEANS.items())},
+  CAST(sum(tokens_used) AS BIGINT) AS tokens, round(avg(CASE WHEN error IS NULL THEN 0.0 ELSE 1.0 END), 6) AS error_rate
+FROM ev JOIN rouge USING (query_id, strategy) GROUP BY strategy, ordinal""",
+)
 def _(spark, d):
     """Strategies x every question, keyword context from the corpus, recorded answers, summary per strategy."""
     from tastegrid.operators.retrieval import keyword_context_join
@@ -338,7 +399,7 @@ def _(spark, d):
         return hits.join(corpus, "id").groupBy("query_id").agg(F.array_sort(F.collect_list(fields)).alias("context"))
 
     _, summary, _ = evaluating.run_experiment(asked, attach, context_provider=context)
-    return summary
+    return summary.withColumns({c: F.round(c, 6) for c in [*_MEANS, "error_rate"]})
 
 
 @query(

@@ -13,6 +13,7 @@ from tastegrid.functions.vectors import l2_normalize
 from tastegrid.operators import drift, evaluating, factors, retrieval, telemetry
 from tastegrid.operators.prompting import build_prompts, register_strategy
 from tastegrid.operators.cleaning import clean_ratings
+from tastegrid.operators.recommending import matrix_shape
 from tastegrid.plans import experimenting, monitoring  # noqa: F401  their SQL is read below
 from tastegrid.plans.guarding import _INPUT_VIOLATIONS, SCREENED
 from tastegrid.plans.ratings import ORDER
@@ -104,9 +105,21 @@ def stored_index(spark: SparkSession, d: str) -> DataFrame:
     return stores.load_index(spark, path)[0]
 
 
-@query("save_index", f"WITH {CORPUS} SELECT genre, CAST(count(*) AS BIGINT) AS n FROM corpus GROUP BY genre")
+@query(
+    "save_index",
+    f"""WITH {CORPUS} SELECT genre, CAST(count(*) AS BIGINT) AS n, CAST(sum(id) AS BIGINT) AS ids, min(md5(content)) AS least, max(md5(content)) AS most
+FROM (SELECT id, genre, {CONTENT} AS content FROM corpus) GROUP BY genre""",
+)
 def _(spark, d):
-    return stored_index(spark, d).groupBy("genre").agg(F.count(F.lit(1)).alias("n"))
+    """Two versions are stored in turn; the second one is in force."""
+    path = stores.scratch_folder(spark, "index")
+    docs = retrieval.embed_text(tables.with_content(tables.corpus(spark, d)), "content")
+    stores.save_index(*retrieval.ivf_build(docs.where("genre = 'en'"), cells=4), path)
+    stores.save_index(*retrieval.ivf_build(docs, cells=16), path)
+    stored = stores.load_index(spark, path)[0]
+    return stored.groupBy("genre").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.min(F.md5("content")).alias("least"), F.max(F.md5("content")).alias("most")
+    )
 
 
 @query("load_index", f"WITH {CORPUS} SELECT id, title, CAST(384 AS INTEGER) AS dims, md5({CONTENT}) AS content_md5 FROM corpus")
@@ -124,16 +137,22 @@ def stored_model(spark: SparkSession, d: str) -> tuple[factors.Factors, dict]:
     path = stores.scratch_folder(spark, "model")
     rated = clean_ratings(tables.raw_ratings(spark, d), ORDER)
     model = factors.fit_svd(rated)
-    stores.save_model(model, path, "v1", n_components=len(model.singular_values))
+    shape = matrix_shape(rated).first()
+    stores.save_model(model, path, "v1", n_components=len(model.singular_values), n_users=shape["n_users"], n_items=shape["n_items"])
     # the first place is empty, the second holds the model
     return stores.load_model(spark, [f"{path}-absent", path], required=True)
 
 
-@query("save_model", "SELECT 'v1' AS version, '50' AS n_components, CAST(50 AS INTEGER) AS n_values")
+@query(
+    "save_model",
+    f"""WITH {RATINGS} SELECT 'v1' AS version, CAST(least(50, least(count(DISTINCT user_id), count(DISTINCT item_id)) - 1) AS INTEGER) AS n_values,
+  CAST(count(DISTINCT user_id) AS VARCHAR) AS n_users, CAST(count(DISTINCT item_id) AS VARCHAR) AS n_items,
+  CAST(count(DISTINCT user_id) AS BIGINT) AS user_rows, CAST(count(DISTINCT item_id) AS BIGINT) AS item_rows FROM ratings""",
+)
 def _(spark, d):
     model, meta = stored_model(spark, d)
-    row = [(meta["version"], meta["n_components"], len(model.singular_values))]
-    return spark.createDataFrame(row, "version string, n_components string, n_values int")
+    row = [(meta["version"], len(model.singular_values), meta["n_users"], meta["n_items"], model.user_factors.count(), model.item_factors.count())]
+    return spark.createDataFrame(row, "version string, n_values int, n_users string, n_items string, user_rows long, item_rows long")
 
 
 @query(

@@ -22,19 +22,64 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+# ---- versions: a store is a folder of versions and a manifest that names the one in force ----
+def _commit(spark: SparkSession, path: str, version: str, parts: Sequence[str]) -> None:
+    """Puts a whole version in force. The manifest is written last, as one row in a new folder.
+
+    The newest complete manifest counts, so a writer that dies before this point leaves the version before it in force.
+    Versions older than the one that was in force until now are removed: a reader of that one can finish.
+    """
+    before = _versions(spark, path)
+    order = (before[0]["number"] if before else 0) + 1
+    row = spark.range(1).select(F.lit(version).alias("version"), F.lit(order).cast("long").alias("number"), F.array(*map(F.lit, parts)).alias("parts"))
+    row.coalesce(1).write.parquet(f"{path}/manifests/{order:012d}-{version}")
+    for old in before[1:]:
+        _remove(spark, f"{path}/{old['version']}")
+        _remove(spark, f"{path}/manifests/{old['number']:012d}-{old['version']}")
+
+
+def _versions(spark: SparkSession, path: str) -> list:
+    """Manifest rows, newest first; there are two or three."""
+    try:
+        found = spark.read.schema("version string, number long, parts array<string>").parquet(f"{path}/manifests/*")
+        return found.orderBy(F.desc("number"), F.desc("version")).collect()
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return []
+        raise
+
+
+def _in_force(spark: SparkSession, path: str) -> str | None:
+    """Folder of the version in force, None where there is none."""
+    found = _versions(spark, path)
+    return f"{path}/{found[0]['version']}" if found else None
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder in whatever file system it is."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # ---- vector index ----
 def save_index(indexed: DataFrame, centroids: DataFrame, path: str) -> None:
-    """Documents with vectors, one folder per cell, and the cell centres."""
-    indexed.write.mode("overwrite").partitionBy("centroid").parquet(f"{path}/documents")
-    centroids.write.mode("overwrite").parquet(f"{path}/centroids")
+    """Documents with vectors, one folder per cell, and the cell centres, as a new version that counts once it is whole."""
+    spark, version = indexed.sparkSession, f"v-{uuid.uuid4().hex}"
+    indexed.write.partitionBy("centroid").parquet(f"{path}/{version}/documents")
+    centroids.write.parquet(f"{path}/{version}/centroids")
+    _commit(spark, path, version, ["documents", "centroids"])
 
 
 def load_index(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame] | None:
-    """(documents, centroids), or None where there is no index. A filter on ``centroid`` prunes folders."""
+    """(documents, centroids) of the version in force, None where there is no index. A filter on ``centroid`` prunes folders."""
+    folder = _in_force(spark, path)
+    if folder is None:
+        return None
     try:
-        return spark.read.parquet(f"{path}/documents"), spark.read.parquet(f"{path}/centroids")
+        return spark.read.parquet(f"{folder}/documents"), spark.read.parquet(f"{folder}/centroids")
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if "UNABLE_TO_INFER_SCHEMA" in str(e):  # an index of no documents
             return None
         raise
 
@@ -51,7 +96,7 @@ def ingest(spark: SparkSession, source: str | DataFrame, source_type: str, index
         raise ValueError(f"unknown source type: {source_type}")
     embedded = retrieval.embed_text(docs, "content", model)
     save_index(*retrieval.ivf_build(embedded, cells), index_path)
-    return spark.read.parquet(f"{index_path}/documents").count()
+    return load_index(spark, index_path)[0].count()
 
 
 def is_ready(spark: SparkSession, path: str) -> bool:
@@ -73,24 +118,24 @@ def ensure_index(spark: SparkSession, path: str, items_csv: str, cells: int = 1)
 
 # ---- recommender model ----
 def save_model(model: Factors, path: str, version: str, **metadata) -> None:
-    model.user_factors.write.mode("overwrite").parquet(f"{path}/user_factors")
-    model.item_factors.write.mode("overwrite").parquet(f"{path}/item_factors")
-    spark = model.user_factors.sparkSession
+    """Factors and metadata as a new version of the store that counts once it is whole."""
+    spark, folder = model.user_factors.sparkSession, f"v-{uuid.uuid4().hex}"
+    model.user_factors.write.parquet(f"{path}/{folder}/user_factors")
+    model.item_factors.write.parquet(f"{path}/{folder}/item_factors")
     row = [(version, [float(s) for s in model.singular_values], {k: str(v) for k, v in metadata.items()})]
     schema = "version string, singular_values array<double>, metadata map<string,string>"
-    spark.createDataFrame(row, schema).write.mode("overwrite").parquet(f"{path}/metadata")
+    spark.createDataFrame(row, schema).write.parquet(f"{path}/{folder}/metadata")
+    _commit(spark, path, folder, ["user_factors", "item_factors", "metadata"])
 
 
 def load_model(spark: SparkSession, paths: Sequence[str], required: bool = False) -> tuple[Factors, dict] | None:
-    """The first place that holds a model; None (or an error where required) without one."""
+    """The first place that holds a whole model; None (or an error where required) without one."""
     for path in paths:
-        try:
-            meta = spark.read.parquet(f"{path}/metadata").first()
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
+        folder = _in_force(spark, path)
+        if folder is None:
             continue
-        users, items = (spark.read.parquet(f"{path}/{n}") for n in ("user_factors", "item_factors"))
+        meta = spark.read.parquet(f"{folder}/metadata").first()
+        users, items = (spark.read.parquet(f"{folder}/{n}") for n in ("user_factors", "item_factors"))
         return Factors(users, items, meta["singular_values"]), {"version": meta["version"], **meta["metadata"]}
     if required:
         raise FileNotFoundError(f"no model in {list(paths)}")

@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tastegrid.operators import quota, telemetry
+from tastegrid.operators import factors, quota, telemetry
 from tastegrid.sources import readers, stores
 from tastegrid.streaming import jobs
 
@@ -63,6 +63,49 @@ def test_index_life(spark, tmp_path):
         stores.ingest(spark, str(csv), "xml", path)
 
 
+def test_half_written_versions_do_not_count(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+
+    def index(n):
+        rows = [(i, f"T{i}", [1.0, float(i)], 0) for i in range(n)]
+        return spark.createDataFrame(rows, "id long, title string, vector array<double>, centroid int"), spark.createDataFrame([(0, [1.0, 0.0])], "centroid int, center array<double>")
+
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:  # both folders are there, the manifest is not
+        m.setattr(stores, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            stores.save_index(*index(3), path)
+    assert stores.load_index(spark, path) is None and not stores.is_ready(spark, path)
+    stores.save_index(*index(4), path)
+    reader = stores.load_index(spark, path)[0]
+    with monkeypatch.context() as m:  # lost between the two writes
+        m.setattr(type(spark.range(1).write), "partitionBy", lambda self, *_: lost())
+        with pytest.raises(RuntimeError):
+            stores.save_index(*index(5), path)
+    assert stores.load_index(spark, path)[0].count() == 4
+    stores.save_index(*index(6), path)
+    assert reader.count() == 4 and stores.load_index(spark, path)[0].count() == 6
+    stores.save_index(*index(7), path)
+    assert stores.load_index(spark, path)[0].count() == 7 and stores.load_index(spark, path)[1].count() == 1
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FileNotFound|does not exist"):
+        reader.count()  # two versions behind: removed
+
+
+def test_model_versions(spark, tmp_path):
+    def model(n):
+        users = spark.createDataFrame([(str(i), [float(n)]) for i in range(n)], "user_id string, vector array<double>")
+        return factors.Factors(users, users.withColumnRenamed("user_id", "item_id"), [float(n)])
+
+    path = str(tmp_path / "m")
+    for n in (2, 3):
+        stores.save_model(model(n), path, f"v{n}", note=n)
+    found, meta = stores.load_model(spark, [str(tmp_path / "none"), path])
+    assert meta == {"version": "v3", "note": "3"} and found.singular_values == [3.0]
+    assert found.user_factors.count() == found.item_factors.count() == 3
+
+
 def test_missing_model(spark, tmp_path):
     assert stores.load_model(spark, [str(tmp_path / "m")]) is None
     with pytest.raises(FileNotFoundError):
