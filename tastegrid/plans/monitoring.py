@@ -366,6 +366,17 @@ def _(spark, d):
     return telemetry.exact_latency_percentiles(tables.request_log(spark, d)).withColumn("value", F.round("value", 6))
 
 
+@query(
+    "approx_latency_percentiles",
+    f"""WITH {LOG} SELECT endpoint, 0.95::DOUBLE AS q, quantile_disc(duration, 0.95) AS value, CAST(count(*) AS BIGINT) AS n FROM log GROUP BY endpoint
+UNION ALL SELECT endpoint, 0.99::DOUBLE, quantile_disc(duration, 0.99), CAST(count(*) AS BIGINT) FROM log GROUP BY endpoint""",
+)
+def _(spark, d):
+    """Sketches of one minute, merged by endpoint; exact as long as an endpoint has no more rows than a sketch keeps."""
+    sketches = telemetry.quantile_sketches(tables.request_log(spark, d), "duration", ["endpoint"])
+    return telemetry.sketched_quantiles(sketches, labels=["endpoint"])
+
+
 @query(
     "slo_check",
     f"""WITH {LOG}, s AS (SELECT quantile_cont(duration, 0.95) AS p, avg(CASE WHEN status >= 500 THEN 1.0 ELSE 0.0 END) AS e,

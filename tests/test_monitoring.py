@@ -155,3 +155,29 @@ def test_the_measure_is_the_callers_choice(spark):
     small = spark.createDataFrame([(float(i), "reference" if i < 6 else "current") for i in range(10)], "x double, part string")
     assert drift.drift_table(small, ["x"]).first()["method"] == "wasserstein"
     assert drift.drift_table(small, ["x"], "test").first()["method"] == "ks"
+
+
+def test_sketched_quantiles_stay_within_their_bound(spark):
+    """Merged sketches of steps, for the whole log and for windows, against exact ranks."""
+    n, k = 60_000, 400
+    log = spark.range(n, numPartitions=8).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 1800).alias("ts"),
+        F.when(F.col("id") % 997 != 0, F.pmod(F.hash("id"), F.lit(100_000)).cast("double")).alias("v"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 5)).alias("key"),
+    )
+    sketches = telemetry.quantile_sketches(log, "v", ["key"], k=k)
+    values = {}
+    for r in log.where("v is not null").collect():
+        values.setdefault(r["key"], []).append((r["ts"].timestamp(), r["v"]))
+    whole = telemetry.sketched_quantiles(sketches, (0.5, 0.95, 0.99), ["key"], k=k).collect()
+    assert len(whole) == 3 * len(values)
+    for r in whole:
+        own = [v for _, v in values[r["key"]]]
+        assert r["n"] == len(own)
+        assert abs(sum(v <= r["value"] for v in own) / len(own) - r["q"]) < 3 / k
+    ends = telemetry.sketched_quantiles(sketches, (0.9,), ["key"], width="5 minutes", k=k).collect()
+    for r in ends[::40]:
+        end = r["window_end"].timestamp()
+        own = [v for t, v in values[r["key"]] if end - 300 <= t < end]
+        assert r["n"] == len(own) and abs(sum(v <= r["value"] for v in own) / len(own) - 0.9) < 3 / k + 1 / len(own)
+    assert telemetry.sketched_quantiles(telemetry.quantile_sketches(log.where("v < 0"), "v")).collect() == []
