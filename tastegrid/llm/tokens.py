@@ -90,12 +90,12 @@ class Proof:
     """
 
     def __init__(self, tokenizer, split: PreTokens):
-        self.tokenizer, self.split, self.known = tokenizer, split, {}
+        self.normalizer, self.cutter, self.split, self.known = tokenizer.normalizer, tokenizer.pre_tokenizer, split, {}
         self.letters = _byte_letters()
 
     def pieces(self, text: str) -> list[str]:
         """The library's own pre-tokens."""
-        made = self.tokenizer.pre_tokenizer.pre_tokenize_str(self.tokenizer.normalizer.normalize_str(text))
+        made = self.cutter.pre_tokenize_str(self.normalizer.normalize_str(text))
         return [bytes(self.letters[c] for c in p).decode() for p, _ in made]
 
     def holds(self, text: str) -> bool:

@@ -18,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tastegrid.session import spread
@@ -59,7 +59,7 @@ class _Vectors:
             dense, slots, weights = (column.field(i) for i in range(3))
             self.rows = np.repeat(np.arange(self.n), slots.value_lengths().to_numpy(zero_copy_only=False))
             self.slots = slots.flatten().to_numpy(zero_copy_only=False)
-            self.weights = weights.flatten().to_numpy(zero_copy_only=False)
+            self.weights = weights.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
         lengths = dense.value_lengths().to_numpy(zero_copy_only=False)
         if self.n and (lengths != lengths[0]).any():
             raise ValueError(f"vectors of different lengths: {sorted(set(lengths.tolist()))}")
@@ -423,12 +423,9 @@ def _padded(rows: list[np.ndarray], k: int, fill: float) -> np.ndarray:
 def _bytes(df: DataFrame, vector: str) -> int:
     """Bytes of the numbers of a vector column."""
     kind = df.schema[vector].dataType
-    if kind.typeName() == "struct":
-        head, tail, _ = (F.size(f"{vector}.`{f.name}`") for f in kind.fields)
-        numbers = head + 2 * tail
-    else:
-        numbers = F.size(vector)
-    return 8 * (df.agg(F.sum(numbers + 2).alias("n")).first()["n"] or 0)
+    arrays = [(vector, kind)] if kind.typeName() == "array" else [(f"{vector}.`{f.name}`", f.dataType) for f in kind.fields]
+    wide = [F.size(name) * (4 if a.elementType.typeName() in ("integer", "float") else 8) for name, a in arrays]
+    return df.agg(F.sum(reduce(Column.__add__, wide) + 16).alias("n")).first()["n"] or 0
 
 
 def waves(docs: DataFrame, doc_id: str, vector: str) -> Iterator[pa.Table] | None:

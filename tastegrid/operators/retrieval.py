@@ -20,7 +20,7 @@ from tastegrid.functions.text import keyword_score
 from tastegrid.functions.vectors import l2_normalize
 from tastegrid.operators.cleaning import match_filters
 from tastegrid.operators.nearest import topk_in_cells, topk_inner_product
-from tastegrid.session import settle, spread
+from tastegrid.session import settle, spread, written
 
 # fixed values
 OVERFETCH = 3
@@ -273,7 +273,8 @@ def _scan_vectors(
     A text is scanned once per pass and stays in its task; one pass does unless a dictionary has several parts.
     """
     id_col, kind = rows.columns[0], rows.schema[0].dataType.simpleString()
-    tail = "dense:array<double>,slots:array<bigint>,weights:array<double>"
+    # points are halves and a dictionary has fewer than 2^31 strings: narrow numbers are exact
+    tail = "dense:array<double>,slots:array<int>,weights:array<float>"
 
     def scan(word_part, name_part) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,8 +283,8 @@ def _scan_vectors(
                 made = [sorted(vector(row, *finders).items()) for row in b.to_pylist()]
                 arrays = [
                     pa.array([[] for _ in made], pa.list_(pa.float64())),
-                    pa.array([[s for s, _ in m] for m in made], pa.list_(pa.int64())),
-                    pa.array([[w for _, w in m] for m in made], pa.list_(pa.float64())),
+                    pa.array([[s for s, _ in m] for m in made], pa.list_(pa.int32())),
+                    pa.array([[w for _, w in m] for m in made], pa.list_(pa.float32())),
                 ]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.StructArray.from_arrays(arrays, ["dense", "slots", "weights"])], [id_col, "vector"])
 
@@ -335,6 +336,6 @@ def keyword_context_join(queries: DataFrame, items: DataFrame, k: int = 5) -> Da
     named = d.select(F.explode(F.concat(F.array("title", "director"), "genres")).alias("s"))
     words, free = _dictionaries(spoken, 0)
     names, _ = _dictionaries(named, free)
-    asked = settle(_scan_vectors(q, _query_vector, words, names))
-    found = settle(_scan_vectors(spread(d, "id"), _item_vector, words, names))
+    asked = written(_scan_vectors(q, _query_vector, words, names), "questions")
+    found = written(_scan_vectors(spread(d, "id"), _item_vector, words, names), "postings")
     return topk_inner_product(asked, found, k, "query_id", "id", min_score=WORD_POINTS, route="documents")
