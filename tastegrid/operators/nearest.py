@@ -421,11 +421,11 @@ def _padded(rows: list[np.ndarray], k: int, fill: float) -> np.ndarray:
 
 
 def _bytes(df: DataFrame, vector: str) -> int:
-    """Bytes of the numbers of a vector column."""
+    """Bytes that the numbers of a vector column take in a task."""
     kind = df.schema[vector].dataType
     arrays = [(vector, kind)] if kind.typeName() == "array" else [(f"{vector}.`{f.name}`", f.dataType) for f in kind.fields]
-    wide = [F.size(name) * (4 if a.elementType.typeName() in ("integer", "float") else 8) for name, a in arrays]
-    return df.agg(F.sum(reduce(Column.__add__, wide) + 16).alias("n")).first()["n"] or 0
+    numbers = reduce(Column.__add__, [F.size(name) for name, _ in arrays])
+    return 8 * (df.agg(F.sum(numbers + 2).alias("n")).first()["n"] or 0)
 
 
 def waves(docs: DataFrame, doc_id: str, vector: str) -> Iterator[pa.Table] | None:
@@ -485,10 +485,14 @@ def topk_inner_product(
 
 def _streamed(queries: DataFrame, part: pa.Table, search: _Search, ranked: str | None = None) -> DataFrame:
     """Queries past one wave of documents (id, vector and perhaps a flag of those that are ranked)."""
-    shipped = queries.sparkSession.sparkContext.broadcast(part)
+    # every executor keeps a broadcast in a file of its own, so it is compressed
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(part)
+    shipped = queries.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs = shipped.value
+        docs = pa.ipc.open_stream(shipped.value).read_all()
         flags = None if ranked is None else docs[ranked].to_numpy(zero_copy_only=False).astype(bool)
         yield from search.stream(_Wave(_ids(docs[0]), _Vectors(docs[1]), flags), batches)
 
