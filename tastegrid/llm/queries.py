@@ -52,7 +52,9 @@ def op4_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents mixed to 150 % of their words."""
-    return mixing.mix_sources(_documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix_sources(_documents(spark, folder))
+    shards = F.array_join(F.col("shard_words").cast("array<string>"), ",")  # words in each shard of the mix
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", shards.alias("shard_words"))
 
 
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -221,18 +223,32 @@ ranked AS (
          sum(w) OVER (ORDER BY cap / w, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open
   FROM weighed),
 lvl AS (SELECT arg_min((goal - held) / open, cap / w) AS level FROM ranked WHERE (goal - held) / open * w <= cap),
-targets AS (SELECT source, source_size, least(w * (SELECT level FROM lvl), cap) AS target FROM weighed),
+targets AS (SELECT source, place, source_size, least(w * (SELECT level FROM lvl), cap) AS target FROM weighed),
 line AS (
-  SELECT s.*, t.source_size, t.target,
+  SELECT s.*,
          sum(s.size) OVER (PARTITION BY s.source ORDER BY o, s.doc_id, s.size, body ROWS UNBOUNDED PRECEDING) - s.size AS start
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-seats AS (
-  SELECT *, ceil(source_size / 64.0::DOUBLE) AS blocks, floor(target / 64 + 0.5::DOUBLE) AS seats FROM line),
 cut AS (
-  SELECT *, CASE WHEN blocks > 0 THEN floor(seats / blocks) ELSE 0 END AS passes FROM seats)
-SELECT doc_id, size, source_size, target,
-       CAST(passes * size + greatest(0, least(start + size, (seats - passes * blocks) * 64) - start) AS BIGINT) AS taken
-FROM cut""",
+  SELECT *, ceil(source_size / len::DOUBLE)::BIGINT AS blocks
+  FROM (SELECT *, greatest(1, least(64, ceil(source_size / 2048.0::DOUBLE)))::BIGINT AS len FROM targets)),
+demands AS (SELECT *, CASE WHEN source_size > 0 THEN target * blocks / source_size ELSE 0 END AS demand FROM cut),
+house AS (SELECT CAST(floor(sum(demand) + 0.5::DOUBLE) AS BIGINT) AS h FROM demands),
+seats AS (
+  SELECT place, row_number() OVER (ORDER BY demand / (2 * j + 1) DESC, place, j) AS n
+  FROM (SELECT *, unnest(range(2 * blocks)) AS j FROM demands)),
+edges AS (
+  SELECT d.source, d.source_size, d.target, d.len, d.blocks, k.k, count(n) FILTER (WHERE n <= (h * k.k) // 16) AS edge
+  FROM demands d CROSS JOIN range(17) k(k) CROSS JOIN house LEFT JOIN seats ON seats.place = d.place
+  GROUP BY ALL),
+reach AS (
+  SELECT l.*, source_size, target, k, CASE WHEN blocks > 0 THEN edge // blocks * size + greatest(0, least(start + size, edge % blocks * len) - start) ELSE 0 END AS words
+  FROM line l JOIN edges e ON l.source IS NOT DISTINCT FROM e.source),
+steps AS (
+  SELECT doc_id, size, source_size, target, o, body, start, rn, k, words, lag(words) OVER (PARTITION BY rn ORDER BY k) AS before
+  FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY source, o, doc_id, size, body) AS rn FROM reach) AS r)
+SELECT doc_id, size, source_size, target, CAST(max(words) AS BIGINT) AS taken,
+       string_agg(CAST(CAST(words - before AS BIGINT) AS VARCHAR), ',' ORDER BY k) FILTER (WHERE k > 0) AS shard_words
+FROM steps GROUP BY doc_id, size, source_size, target, o, body, start, rn""",
     "op9_line_dedup": r"""
 WITH parts AS (
   SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS part,
