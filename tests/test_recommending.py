@@ -31,6 +31,27 @@ def test_svd_agrees_with_numpy(spark, ratings):
     assert np.isclose(mse, ((m.values - approx) ** 2).mean())
 
 
+def test_shipped_and_joined_factors_agree(spark, monkeypatch, ratings):
+    """Item factors that travel and item factors in tables: the same factors, users across many small batches."""
+    odd = ratings.select("user_id", "item_id", "rating")
+    odd = odd.unionAll(odd.limit(40)).unionAll(spark.createDataFrame([(None, 1, 5.0), (1, None, 5.0)], odd.schema))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        shipped = factors.fit_svd(odd, n_components=5, iterations=8)
+        rows = [{r[0]: np.array(r[1]) for r in df.collect()} for df in (shipped.user_factors, shipped.item_factors)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    monkeypatch.setattr(factors, "FACTOR_BYTES", 0)
+    joined = factors.fit_svd(odd, n_components=5, iterations=8)
+    other = [{r[0]: np.array(r[1]) for r in df.collect()} for df in (joined.user_factors, joined.item_factors)]
+    assert np.allclose(shipped.singular_values, joined.singular_values, rtol=1e-9)
+    assert set(rows[0]) == set(other[0]) and set(rows[1]) == set(other[1])
+    for u in rows[0]:
+        for i in list(rows[1])[:10]:
+            assert abs(rows[0][u] @ rows[1][i] - other[0][u] @ other[1][i]) < 1e-6
+
+
 def test_error_falls_with_more_components(spark, ratings):
     errors = []
     for k in (2, 8):
