@@ -24,7 +24,11 @@ def keyed(docs: DataFrame, *more: str) -> DataFrame:
 
     Rows that agree in all of them are interchangeable, so numbering them in any order gives the same table.
     """
-    marked = docs.withColumn("_digest", digest(F.col("text")))
+    return numbered(docs.withColumn("_digest", digest(F.col("text"))), *more)
+
+
+def numbered(marked: DataFrame, *more: str) -> DataFrame:
+    """``_copy`` for rows that have a ``_digest`` already: their texts need not travel."""
     same = Window.partitionBy("doc_id", "_digest", *more).orderBy(F.lit(0))
     return marked.withColumn("_copy", F.row_number().over(same))
 

@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tastegrid.llm.layout import attach, keyed, word_count
+from tastegrid.llm.layout import attach, digest, keyed, numbered, word_count
 from tastegrid.operators.ordering import global_position, running_totals
 from tastegrid.session import settle
 
@@ -121,9 +121,9 @@ def mix_sources(docs: DataFrame, block: int = BLOCK, seed: str = "mix", shards:
     the row's first word on its source's line. The source with a third of all rows is spread over the buckets
     of the seeded order; offsets come from one row per (source, bucket).
     """
-    rows = keyed(docs.select("doc_id", "text", "source"), "source")
-    rows = rows.select("doc_id", "source", "_digest", "_copy", word_count(F.col("text")).alias("size"))
-    sized = settle(rows.withColumn("_order", seeded(seed, "doc_id")))
+    text = F.col("text")
+    rows = docs.select("doc_id", "source", digest(text).alias("_digest"), word_count(text).alias("size"))
+    sized = settle(numbered(rows, "source").withColumn("_order", seeded(seed, "doc_id")))
     cut = settle(cut_blocks(source_targets(sized, most=most, **law), block))
     quotas = cut.alias("c").join(shard_quotas(cut, shards, most).alias("q"), F.expr("c.source <=> q.source")).select("c.*", "q.edges")
     bucket = F.substring("_order", 1, BUCKET_DIGITS)
