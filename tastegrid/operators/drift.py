@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, NumericType
 
-from tastegrid.operators.quantiles import cumulative, exact_percentiles
+from tastegrid.operators.quantiles import exact_percentiles
 from tastegrid.session import settle
 
 # fixed values: report thresholds
@@ -31,39 +31,117 @@ def stack_parts(reference: DataFrame, current: DataFrame, columns: Sequence[str]
     return ref.unionByName(current.select(*columns).withColumn("part", F.lit("current")))
 
 
-def _counts(stacked: DataFrame, column: str, as_number: bool) -> tuple[DataFrame, int, int]:
-    """(value, n_ref, n_cur) with one row per distinct value, and both totals.
+def _share(count: str, total: str) -> Column:
+    """A count over its total; null where a side has no values."""
+    return F.try_divide(F.col(count).cast("double"), F.col(total).cast("double"))
+
+
+def counted_values(stacked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, num, text, n_ref, n_cur, _bucket: every distinct value of every column once, nulls left out.
 
-    The counts are written out: the figures below read them several times, the table only once.
+    One scan and one shuffle for all columns (numbers in ``num``, the rest in ``text``). The counts are written out
+    in the order of (column, value), cut into ranges; ``_bucket`` is the range. Equal values are one row by then,
+    so a hot value or column is spread like any other.
     """
-    value = F.col(column).cast("double") if as_number else F.col(column).cast("string")
-    counts = settle(
-        stacked.where(F.col(column).isNotNull())
-        .groupBy(value.alias("value"))
-        .agg(F.count_if(F.col("part") == "reference").alias("n_ref"), F.count_if(F.col("part") == "current").alias("n_cur"))
+    def entry(c: str) -> Column:
+        number = isinstance(stacked.schema[c].dataType, NumericType)
+        none = F.lit(None)
+        return F.struct(
+            F.lit(c).alias("column_name"),
+            (F.col(c) if number else none).cast("double").alias("num"),
+            (none if number else F.col(c)).cast("string").alias("text"),
+        )
+
+    long = stacked.select("part", F.explode(F.array(*[entry(c) for c in columns])).alias("x")).select("part", "x.*")
+    counts = long.where("num IS NOT NULL OR text IS NOT NULL").groupBy("column_name", "num", "text").agg(
+        F.count_if(F.col("part") == "reference").alias("n_ref"), F.count_if(F.col("part") == "current").alias("n_cur")
     )
-    row = counts.agg(F.sum("n_ref").alias("r"), F.sum("n_cur").alias("c")).first()
-    return counts, row["r"] or 0, row["c"] or 0
+    return settle(counts.repartitionByRange("column_name", "num", "text").withColumn("_bucket", F.spark_partition_id()))
 
 
-def _share(count: str, total: int) -> Column:
-    """A count over its total; null where a side has no values."""
-    return F.try_divide(F.col(count).cast("double"), F.lit(float(total)))
+def column_totals(counts: DataFrame) -> DataFrame:
+    """column_name, n_values, n_ref, n_cur, spread: one row per column; spread is the reference's standard deviation."""
+    size = F.col("n_ref").cast("double")
+    sums = counts.groupBy("column_name").agg(
+        F.count(F.lit(1)).alias("n_values"), F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"),
+        F.try_divide(F.sum(F.when(size > 0, F.col("num") * size)), F.sum(size)).alias("_mean"),
+    )
+    apart = F.col("num") - F.col("_mean")  # from the mean, not from sums of squares
+    spread = counts.join(F.broadcast(sums), "column_name").groupBy("column_name").agg(
+        F.sqrt(F.try_divide(F.sum(F.when(size > 0, apart * apart * size)), F.sum(size))).alias("spread")
+    )
+    return sums.drop("_mean").join(F.broadcast(spread), "column_name")
+
+
+def merged_cdf(counts: DataFrame) -> DataFrame:
+    """column_name, value, next_value, f, g: both empirical distribution functions at every distinct number of a column.
 
+    Running sums inside a bucket, offsets from one row per (column, bucket): no window holds a whole column.
+    """
+    totals = counts.groupBy("column_name").agg(F.sum("n_ref").alias("t_ref"), F.sum("n_cur").alias("t_cur"))
+    numbers = counts.where(F.col("num").isNotNull())
+    per_bucket = numbers.groupBy("column_name", "_bucket").agg(
+        F.min("num").alias("_first"), F.sum("n_ref").alias("_r"), F.sum("n_cur").alias("_c")
+    )
+    ordered = Window.partitionBy("column_name").orderBy("_bucket")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_bucket.select(
+        "column_name", "_bucket", F.lead("_first").over(ordered).alias("_next_first"),
+        F.coalesce(F.sum("_r").over(before), F.lit(0)).alias("_o_ref"), F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_o_cur"),
+    )
+    inside = Window.partitionBy("column_name", "_bucket").orderBy("num")
+    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = numbers.select(
+        "column_name", "_bucket", F.col("num").alias("value"), F.lead("num").over(inside).alias("_next"),
+        F.sum("n_ref").over(running).alias("_l_ref"), F.sum("n_cur").over(running).alias("_l_cur"),
+    )
+    # one row per range and column, one per column: safe to broadcast
+    joined = local.join(F.broadcast(offsets), ["column_name", "_bucket"]).join(F.broadcast(totals), "column_name")
+    joined = joined.withColumns({"c_ref": F.col("_l_ref") + F.col("_o_ref"), "c_cur": F.col("_l_cur") + F.col("_o_cur")})
+    return joined.select(
+        "column_name", "value", F.coalesce("_next", "_next_first").alias("next_value"), _share("c_ref", "t_ref").alias("f"), _share("c_cur", "t_cur").alias("g")
+    )
 
-def merged_cdf(stacked: DataFrame, column: str) -> tuple[DataFrame, int, int]:
-    """(value, next_value, f, g): both empirical distribution functions at every distinct value; both totals."""
-    counts, n_ref, n_cur = _counts(stacked, column, True)
-    cdf = cumulative(counts, "value", {"n_ref": "c_ref", "n_cur": "c_cur"})
-    shares = cdf.select("value", "next_value", _share("c_ref", n_ref).alias("f"), _share("c_cur", n_cur).alias("g"))
-    return shares, n_ref, n_cur
 
+def drift_statistics(stacked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column_name, numeric, n_values, t_ref, t_cur and the statistics of each column: ks, ks_p and wasserstein of numbers,
+    js and chi2 of the rest. One row per column, all from one set of counts; null statistics where a side is empty.
+    """
+    counts = counted_values(stacked, columns)
+    totals = column_totals(counts)
+    gap = F.abs(F.col("f") - F.col("g"))
+    numbers = merged_cdf(counts).groupBy("column_name").agg(
+        F.max(gap).alias("ks"), F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("_area")
+    )
+    texts = counts.where(F.col("text").isNotNull()).join(F.broadcast(totals), "column_name")
+    texts = texts.withColumns({"p": _share("n_ref", "t_ref"), "q": _share("n_cur", "t_cur")})
+    mid = (F.col("p") + F.col("q")) / 2
 
-def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Column:
-    """Two-sided p-value from the Kolmogorov series with a fixed number of terms; null for an empty side."""
-    if not n_ref or not n_cur:
-        return F.lit(None).cast("double")
-    lam = d * math.sqrt(n_ref * n_cur / (n_ref + n_cur))
+    def kl(x: str) -> Column:
+        return F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / mid)).otherwise(F.lit(0.0))
+
+    expected = F.col("n_ref") * F.try_divide(F.col("t_cur").cast("double"), F.col("t_ref").cast("double"))
+    excess = F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).when(F.col("n_cur") > 0, float("inf")).otherwise(0.0)
+    texts = texts.groupBy("column_name").agg((F.sum(kl("p") + kl("q")) / 2).alias("_divergence"), F.sum(excess).alias("_chi2"))
+    listed = stacked.sparkSession.createDataFrame(
+        [(c, isinstance(stacked.schema[c].dataType, NumericType)) for c in columns], "column_name string, numeric boolean"
+    )
+    full = (F.col("t_ref") > 0) & (F.col("t_cur") > 0)
+    rows = listed.join(totals, "column_name", "left").join(numbers, "column_name", "left").join(texts, "column_name", "left")
+    return rows.select(
+        "column_name", "numeric", F.coalesce("n_values", F.lit(0)).alias("n_values"), "t_ref", "t_cur",
+        F.when(full, F.col("ks")).alias("ks"),
+        F.when(full, kolmogorov_p(F.col("ks"), F.col("t_ref"), F.col("t_cur"))).alias("ks_p"),
+        F.when(full, F.col("_area") / F.greatest("spread", F.lit(STD_FLOOR))).alias("wasserstein"),
+        F.when(full, F.sqrt(F.greatest("_divergence", F.lit(0.0)))).alias("js"),
+        F.when(full, F.col("_chi2")).alias("chi2"),
+    )
+
+
+def kolmogorov_p(d: Column, n_ref: Column, n_cur: Column, terms: int = KS_TERMS) -> Column:
+    """Two-sided p-value from the Kolmogorov series with a fixed number of terms."""
+    n_ref, n_cur = n_ref.cast("double"), n_cur.cast("double")
+    lam = d * F.sqrt(n_ref * n_cur / (n_ref + n_cur))
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
         F.lit(0.0),
@@ -74,33 +152,17 @@ def kolmogorov_p(d: Column, n_ref: int, n_cur: int, terms: int = KS_TERMS) -> Co
 
 def drift_numeric_ks(stacked: DataFrame, column: str) -> DataFrame:
     """One row: statistic D and p_value of the two-sample Kolmogorov-Smirnov test; nulls where a side is empty."""
-    cdf, n_ref, n_cur = merged_cdf(stacked, column)
-    row = cdf.agg(F.max(F.abs(F.col("f") - F.col("g"))).alias("statistic"))
-    return row.withColumn("p_value", kolmogorov_p(F.col("statistic"), n_ref, n_cur))
+    return drift_statistics(stacked, [column]).select(F.col("ks").alias("statistic"), F.col("ks_p").alias("p_value"))
 
 
 def drift_numeric_wasserstein(stacked: DataFrame, column: str) -> DataFrame:
     """One row: Wasserstein distance divided by the reference standard deviation; null where a side is empty."""
-    ref = F.when(F.col("part") == "reference", F.col(column).cast("double"))
-    spread = stacked.agg(F.stddev_pop(ref).alias("s")).first()["s"] or 0.0
-    gap = F.abs(F.col("f") - F.col("g")) * (F.col("next_value") - F.col("value"))
-    cdf, n_ref, n_cur = merged_cdf(stacked, column)
-    total = F.coalesce(F.sum(gap), F.lit(0.0)) if n_ref and n_cur else F.lit(None).cast("double")
-    return cdf.agg((total / max(spread, STD_FLOOR)).alias("statistic"))
+    return drift_statistics(stacked, [column]).select(F.col("wasserstein").alias("statistic"))
 
 
 def drift_categorical_js(stacked: DataFrame, column: str) -> DataFrame:
     """One row: Jensen-Shannon distance (natural log) of the category shares; null where a side is empty."""
-    counts, n_ref, n_cur = _counts(stacked, column, False)
-    shares = counts.select(_share("n_ref", n_ref).alias("p"), _share("n_cur", n_cur).alias("q"))
-    mid = (F.col("p") + F.col("q")) / 2
-
-    def kl(x: str) -> Column:
-        return F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) / mid)).otherwise(F.lit(0.0))
-
-    divergence = F.sum(kl("p") + kl("q")) / 2
-    distance = F.sqrt(F.greatest(divergence, F.lit(0.0))) if n_ref and n_cur else F.lit(None).cast("double")
-    return shares.agg(F.sum("p").alias("_p"), distance.alias("statistic")).select("statistic")
+    return drift_statistics(stacked, [column]).select(F.col("js").alias("statistic"))
 
 
 def _chi2_tail(x: float, df: int) -> float:
@@ -147,14 +209,12 @@ def drift_categorical_chi2(stacked: DataFrame, column: str) -> DataFrame:
 
     Nulls where a side is empty.
     """
-    counts, n_ref, n_cur = _counts(stacked, column, False)
-    if not n_ref or not n_cur:
-        none = F.lit(None).cast("double")
-        return counts.agg((F.count(F.lit(1)) - 1).alias("df")).select(none.alias("statistic"), "df", none.alias("p_value"))
-    expected = F.col("n_ref") * (n_cur / n_ref)
-    part = F.when(expected > 0, (F.col("n_cur") - expected) ** 2 / expected).when(F.col("n_cur") > 0, float("inf")).otherwise(0.0)
-    row = counts.agg(F.sum(part).alias("statistic"), (F.count(F.lit(1)) - 1).alias("df"))
-    return row.withColumn("p_value", chi2_p("statistic", F.col("df").cast("double")))
+    row = drift_statistics(stacked, [column]).select(F.col("chi2").alias("statistic"), (F.col("n_values") - 1).alias("df"))
+    return row.withColumn("p_value", F.when(F.col("statistic").isNotNull(), _tail("statistic", "df")))
+
+
+def _tail(statistic: str, df: str) -> Column:
+    return chi2_p(F.coalesce(statistic, F.lit(0.0)), F.coalesce(F.col(df).cast("double"), F.lit(1.0)))
 
 
 def drift_level(score: Column) -> Column:
@@ -162,36 +222,24 @@ def drift_level(score: Column) -> Column:
     return F.when(score > HIGH_LEVEL, "HIGH").when(score > MODERATE_LEVEL, "MODERATE").otherwise("LOW")
 
 
-def column_drift(stacked: DataFrame, column: str, measure: str = "distance") -> DataFrame:
-    """column_name, method, score, drifted by the ``measure`` that the caller names.
+def drift_table(stacked: DataFrame, columns: Sequence[str], measure: str = "distance") -> DataFrame:
+    """column_name, method, score, drifted, one row per column, by the ``measure`` that the caller names.
 
     "distance": Wasserstein or Jensen-Shannon, drifted at DISTANCE_THRESHOLD; "test": Kolmogorov-Smirnov or
     chi-square, drifted below P_THRESHOLD (the published rule takes it for references of SMALL_REFERENCE rows at
-    most). An empty side has a null score and has not drifted.
+    most). An empty side has a null score and has not drifted. All columns share one scan and one set of counts.
     """
-    numeric = isinstance(stacked.schema[column].dataType, NumericType)
     if measure not in ("distance", "test"):
         raise ValueError(f"unknown measure: {measure}")
+    rows = drift_statistics(stacked, columns).withColumn("df", F.col("n_values") - 1)
     if measure == "test":
-        row = (drift_numeric_ks if numeric else drift_categorical_chi2)(stacked, column)
-        score, drifted = F.col("p_value"), F.col("p_value") < P_THRESHOLD
-        method = "ks" if numeric else "chi2"
+        p = F.when(F.col("chi2").isNotNull(), _tail("chi2", "df"))
+        score, drifted = F.when(F.col("numeric"), F.col("ks_p")).otherwise(p), F.col("score") < P_THRESHOLD
+        method = F.when(F.col("numeric"), "ks").otherwise("chi2")
     else:
-        row = (drift_numeric_wasserstein if numeric else drift_categorical_js)(stacked, column)
-        score, drifted = F.col("statistic"), F.col("statistic") >= DISTANCE_THRESHOLD
-        method = "wasserstein" if numeric else "jensen_shannon"
-    return row.select(
-        F.lit(column).alias("column_name"), F.lit(method).alias("method"), score.alias("score"), F.coalesce(drifted, F.lit(False)).alias("drifted")
-    )
-
-
-def drift_table(stacked: DataFrame, columns: Sequence[str], measure: str = "distance") -> DataFrame:
-    """One row per column."""
-    stacked = settle(stacked.select(*columns, "part"))
-    out = column_drift(stacked, columns[0], measure)
-    for column in columns[1:]:
-        out = out.unionByName(column_drift(stacked, column, measure))
-    return out
+        score, drifted = F.when(F.col("numeric"), F.col("wasserstein")).otherwise(F.col("js")), F.col("score") >= DISTANCE_THRESHOLD
+        method = F.when(F.col("numeric"), "wasserstein").otherwise("jensen_shannon")
+    return rows.select("column_name", method.alias("method"), score.alias("score")).withColumn("drifted", F.coalesce(drifted, F.lit(False)))
 
 
 def target_drift(stacked: DataFrame, column: str = "rating", measure: str = "distance") -> DataFrame:
@@ -277,9 +325,15 @@ def missing_alert(quality: DataFrame, limit: float = MISSING_ALERT) -> DataFrame
     return quality.where(F.col("null_pct") > limit)
 
 
-def correlations(stacked: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """column_a, column_b, reference, current, change: Pearson correlations in one pass."""
-    pairs = list(combinations(columns, 2))
+def numeric_columns(df: DataFrame) -> list[str]:
+    """The columns of numbers, in the table's order."""
+    return [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
+
+
+def correlations(stacked: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """column_a, column_b, reference, current, change: Pearson correlations of all pairs of ``columns`` (all columns of
+    numbers, unless named) in one pass."""
+    pairs = list(combinations(numeric_columns(stacked) if columns is None else columns, 2))
 
     def on(part: str, c: str) -> Column:
         return F.when(F.col("part") == part, F.col(c).cast("double"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,12 +118,6 @@ def _(spark, d):
 
 _W_RATING = f"""{cdf_sql('st', 'rating')}, w AS (
   SELECT sum(coalesce(abs(f - g) * (nv - v), 0)) / greatest((SELECT stddev_pop(rating) FROM st WHERE part = 'reference'), 0.001) AS s FROM cdf)"""
-_JS_BRAND = """cc AS (SELECT brand AS v, count(*) FILTER (part = 'reference') AS r, count(*) FILTER (part = 'current') AS c FROM st GROUP BY 1),
-sh AS (SELECT r / (SELECT CAST(sum(r) AS DOUBLE) FROM cc) AS p, c / (SELECT CAST(sum(c) AS DOUBLE) FROM cc) AS q FROM cc),
-js AS (SELECT sqrt(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END
-  + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2) AS s FROM sh)"""
-
-
 @query(
     "target_drift",
     f"WITH {_SPLIT}, {_W_RATING} SELECT 'rating' AS column_name, 'wasserstein' AS method, round(s, 6) AS score, s >= 0.1 AS drifted FROM w",
@@ -130,7 +126,24 @@ def _(spark, d):
     return drift.target_drift(stacked(spark, d), "rating").withColumn("score", F.round("score", 6))
 
 
-_PER_COLUMN = f"""{_SPLIT}, {_W_RATING}, {_JS_BRAND}, per AS (SELECT s >= 0.1 AS drifted FROM w UNION ALL SELECT s >= 0.1 FROM js)"""
+def _wasserstein_sql(column: str) -> str:
+    return f"""(SELECT sum(coalesce(abs(f - g) * (nv - v), 0)) FROM (
+    SELECT v, lead(v) OVER (ORDER BY v) AS nv, sum(r) OVER (ORDER BY v) / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'reference') AS f,
+      sum(c) OVER (ORDER BY v) / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'current') AS g
+    FROM (SELECT CAST({column} AS DOUBLE) AS v, count(*) FILTER (part = 'reference') AS r, count(*) FILTER (part = 'current') AS c FROM st GROUP BY 1)))
+  / greatest((SELECT stddev_pop({column}) FROM st WHERE part = 'reference'), 0.001)"""
+
+
+def _js_sql(column: str) -> str:
+    return f"""(SELECT sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0))
+  FROM (SELECT count(*) FILTER (part = 'reference') / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'reference') AS p,
+    count(*) FILTER (part = 'current') / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'current') AS q FROM st GROUP BY {column}))"""
+
+
+# every column of the joined ratings but ts, by which they are split
+_TEXTS, _NUMBERS = ("user_id", "item_id", "brand"), ("rating", "o_key", "line")
+_PER_COLUMN = f"""{_SPLIT}, per AS (SELECT s >= 0.1 AS drifted FROM (
+  {" UNION ALL ".join([f"SELECT {_js_sql(c)} AS s" for c in _TEXTS] + [f"SELECT {_wasserstein_sql(c)}" for c in _NUMBERS])}))"""
 
 
 @query(
@@ -140,7 +153,7 @@ _PER_COLUMN = f"""{_SPLIT}, {_W_RATING}, {_JS_BRAND}, per AS (SELECT s >= 0.1 AS
   CASE WHEN avg(CAST(drifted AS INTEGER)) > 0.15 THEN 'HIGH' WHEN avg(CAST(drifted AS INTEGER)) > 0.05 THEN 'MODERATE' ELSE 'LOW' END AS level FROM per""",
 )
 def _(spark, d):
-    return drift.dataset_drift(drift.drift_table(stacked(spark, d), ["rating", "brand"]))
+    return drift.dataset_drift(drift.drift_table(stacked(spark, d), [*_TEXTS, *_NUMBERS]))
 
 
 @query(
@@ -166,20 +179,6 @@ def _(spark, d):
     return table(spark, d, "events").select("event_id", drift.drift_level(F.col("value") / 1000).alias("level"))
 
 
-def _wasserstein_sql(column: str) -> str:
-    return f"""(SELECT sum(coalesce(abs(f - g) * (nv - v), 0)) FROM (
-    SELECT v, lead(v) OVER (ORDER BY v) AS nv, sum(r) OVER (ORDER BY v) / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'reference') AS f,
-      sum(c) OVER (ORDER BY v) / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'current') AS g
-    FROM (SELECT CAST({column} AS DOUBLE) AS v, count(*) FILTER (part = 'reference') AS r, count(*) FILTER (part = 'current') AS c FROM st GROUP BY 1)))
-  / greatest((SELECT stddev_pop({column}) FROM st WHERE part = 'reference'), 0.001)"""
-
-
-def _js_sql(column: str) -> str:
-    return f"""(SELECT sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0 END + CASE WHEN q > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0 END) / 2, 0))
-  FROM (SELECT count(*) FILTER (part = 'reference') / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'reference') AS p,
-    count(*) FILTER (part = 'current') / (SELECT CAST(count(*) AS DOUBLE) FROM st WHERE part = 'current') AS q FROM st GROUP BY {column}))"""
-
-
 @query(
     "corpus_drift",
     f"""WITH {CORPUS}, st AS (SELECT *, 'reference' AS part FROM corpus WHERE genre <> 'de' UNION ALL SELECT *, 'current' FROM corpus WHERE genre <> 'fr'),
@@ -193,16 +192,17 @@ def _(spark, d):
     return rows.withColumn("score", F.round("score", 6))
 
 
-_NULLED = "SELECT event_type, user_id, CASE WHEN value > 30 THEN NULL ELSE value END AS value FROM events"
+_NULLED = "SELECT event_id, ts, user_id, event_type, CASE WHEN value > 30 THEN NULL ELSE value END AS value, props FROM events"
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 def nulled(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events")
-    return e.select("event_type", "user_id", F.when(F.col("value") <= 30, F.col("value")).alias("value"))
+    return e.withColumn("value", F.when(F.col("value") <= 30, F.col("value"))).select(*EVENT_COLUMNS)
 
 
-_QUALITY = f"""ev AS ({_NULLED}), long AS (SELECT 'event_type' AS column_name, event_type AS value FROM ev
-  UNION ALL SELECT 'user_id', CAST(user_id AS VARCHAR) FROM ev),
+_QUALITY = f"""ev AS ({_NULLED}), long AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value FROM ev" for c in EVENT_COLUMNS)}),
 cnt AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL)"""
 
 
@@ -214,7 +214,7 @@ cnt AS (SELECT column_name, value, count(*) AS n FROM long GROUP BY ALL)"""
   round(coalesce(sum(n) FILTER (value IS NULL), 0) * 100.0 / sum(n), 6) AS null_pct, count(value) <= 1 AS constant FROM cnt GROUP BY column_name""",
 )
 def _(spark, d):
-    q = drift.column_quality(nulled(spark, d), ["event_type", "user_id"])
+    q = drift.column_quality(nulled(spark, d), EVENT_COLUMNS)
     return q.withColumn("null_pct", F.round("null_pct", 6))
 
 
@@ -240,27 +240,30 @@ def _(spark, d):
 
 @query(
     "missing_alert",
-    f"""WITH ev AS ({_NULLED}) SELECT 'value' AS column_name, round(count(*) FILTER (value IS NULL) * 100.0 / count(*), 6) AS null_pct
-FROM ev HAVING count(*) FILTER (value IS NULL) * 100.0 / count(*) > 5""",
+    f"""WITH {_QUALITY}, q AS (SELECT column_name, coalesce(sum(n) FILTER (value IS NULL), 0) * 100.0 / sum(n) AS null_pct FROM cnt GROUP BY column_name)
+SELECT column_name, round(null_pct, 6) AS null_pct FROM q WHERE null_pct > 5""",
 )
 def _(spark, d):
-    q = drift.column_quality(nulled(spark, d), ["event_type", "user_id", "value"])
+    q = drift.column_quality(nulled(spark, d), EVENT_COLUMNS)
     return drift.missing_alert(q).select("column_name", F.round("null_pct", 6).alias("null_pct"))
 
 
+_LINE_NUMBERS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_CORRELATIONS = " UNION ALL ".join(
+    f"SELECT '{x}' AS column_a, '{y}' AS column_b, corr({x}, {y}) FILTER (part = 'reference') AS r, corr({x}, {y}) FILTER (part = 'current') AS c FROM st"
+    for x, y in combinations(_LINE_NUMBERS, 2)
+)
+
+
 @query(
     "correlations",
-    """WITH st AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'current' ELSE 'reference' END AS part FROM lineitem), c AS (
-  SELECT 'l_quantity' AS column_a, 'l_extendedprice' AS column_b, corr(l_quantity, l_extendedprice) FILTER (part = 'reference') AS r,
-    corr(l_quantity, l_extendedprice) FILTER (part = 'current') AS c FROM st
-  UNION ALL SELECT 'l_quantity', 'l_discount', corr(l_quantity, l_discount) FILTER (part = 'reference'), corr(l_quantity, l_discount) FILTER (part = 'current') FROM st
-  UNION ALL SELECT 'l_extendedprice', 'l_discount', corr(l_extendedprice, l_discount) FILTER (part = 'reference'), corr(l_extendedprice, l_discount) FILTER (part = 'current') FROM st)
+    f"""WITH st AS (SELECT *, CASE WHEN l_returnflag = 'R' THEN 'current' ELSE 'reference' END AS part FROM lineitem), c AS ({_CORRELATIONS})
 SELECT column_a, column_b, round(r, 6) AS reference, round(c, 6) AS current, round(c - r, 6) AS change FROM c""",
 )
 def _(spark, d):
+    """All columns of numbers, as the table's schema names them."""
     part = F.when(F.col("l_returnflag") == "R", "current").otherwise("reference")
-    s = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", part.alias("part"))
-    c = drift.correlations(s, ["l_quantity", "l_extendedprice", "l_discount"])
+    c = drift.correlations(table(spark, d, "lineitem").withColumn("part", part))
     return c.withColumns({k: F.round(k, 6) for k in ("reference", "current", "change")})
 
 

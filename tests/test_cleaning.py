@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +76,30 @@ def test_running_totals_cross_buckets(spark):
     df = spark.range(50).select((F.col("id") % 2).alias("k"), "id", F.lit(1).alias("one"))
     out = ordering.running_totals(df, ["k"], F.floor(F.col("id") / 7), ["id"], {"one": "run"}).collect()
     assert all(r["run"] == r["id"] // 2 + 1 for r in out)
+
+
+@pytest.mark.parametrize("sample", [7, 40, 10_000])
+def test_selection_with_nulls_hot_keys_and_ties(spark, sample):
+    """The row at any rank, and the split, against a sorted list; a third of the rows has one key."""
+    rng = random.Random(3)
+    rows = [(None if i % 11 == 0 else 5 if i % 3 == 0 else rng.randrange(40), rng.choice("abé"), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "v int, s string, id long")
+    listed = sorted(((-1 if v is None else v, s) for v, s, _ in rows))
+    for rank in (0, 29, 80, 150, 299):
+        key, before = ordering.select_rank(df, ["v", "s"], rank, 300, sample)
+        want = listed[rank]
+        assert (-1 if key[0] is None else int(key[0]), key[1]) == want and before == listed.index(want)
+    for fraction in (0.0, 0.1, 0.3, 0.7, 1.0):
+        got = ordering.split_at_fraction(df, ["v", "s"], fraction).collect()
+        assert sorted(r["id"] for r in got) == list(range(300))
+        first = sorted((-1 if r["v"] is None else r["v"], r["s"]) for r in got if r["part"] == "reference")
+        assert first == listed[: int(300 * fraction)]
+    assert ordering.split_at_fraction(df.where("id < 0"), ["v"]).count() == 0
+
+
+def test_a_split_neither_sorts_nor_shuffles(spark):
+    df = spark.range(5000).select(F.timestamp_seconds("id").alias("ts"), "id")
+    split = ordering.split_at_fraction(df, ["ts", "id"])
+    assert {r["part"]: r["n"] for r in split.groupBy("part").agg(F.count("*").alias("n")).collect()} == {"reference": 3500, "current": 1500}
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
