@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections import deque
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.ordering import running_totals
+from tastegrid.session import settle
 
 MINUTE, DAY = 60, 86_400
 _MICROS = 1_000_000
@@ -86,46 +88,86 @@ class Ledger:
         return "ok"
 
 
-def quiet_stretches(log: DataFrame, gap_seconds: int = DAY) -> DataFrame:
-    """Adds ``stretch``: a key's timeline cut wherever it was silent for longer than ``gap_seconds``.
+def _piece(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Join on (key, piece), rows without a key included; the columns of ``df``, then the rest of ``other``."""
+    right = other.withColumnsRenamed({"key": "_k", "piece": "_p"})
+    joined = df.join(right, F.col("key").eqNullSafe(F.col("_k")) & (F.col("piece") == F.col("_p")), how)
+    return joined if how == "left_semi" else joined.drop("_k", "_p")
 
-    No admitted request survives such a silence, so stretches are independent. Found from one row per
-    (key, day) with its first and last instant, not from a window over the events.
-    """
-    at = F.unix_micros("ts")
-    day = F.floor(at / (gap_seconds * _MICROS))
-    days = log.groupBy("key", day.alias("_day")).agg(F.min(at).alias("_a"), F.max(at).alias("_b"))
-    w = Window.partitionBy("key").orderBy("_day")
-    silent = F.col("_a") - F.lag("_b").over(w) > gap_seconds * _MICROS
-    cut = days.withColumn("_new", F.coalesce(silent, F.lit(False)).cast("int"))
-    cut = cut.withColumn("stretch", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    marks = cut.select(F.col("key").alias("_k"), F.col("_day").alias("_d"), "stretch")
-    same = F.col("key").eqNullSafe(F.col("_k")) & F.col("_day").eqNullSafe(F.col("_d"))  # rows without a key stay
-    return log.withColumn("_day", day).join(marks, same).drop("_day", "_k", "_d")
-
-
-def admission_control(log: DataFrame, rpm: int = RPM, tpm: int = TPM, daily: int = DAILY) -> DataFrame:
-    """key, event_id, admitted, reason: greedy admission in event order; only admitted requests use quota.
 
-    Whether a request passes depends on the decisions before it, so a busy stretch of a key is one ordered
-    pass. The pass streams sorted Arrow batches and holds at most ``daily`` entries; the rows of a key are
-    never gathered in memory.
+def _decided(rows: DataFrame, rpm: int, tpm: int, daily: int) -> DataFrame:
+    """key, piece, event_id, at, tokens, reason of the events of each (key, piece), one ordered pass per piece.
+
+    Rows with ``given`` are requests admitted at the end of the piece before: they fill the ledger and are not decided. Sorted
+    batches stream through; a pass holds at most ``daily`` entries.
     """
-    key_type = log.schema["key"].dataType.simpleString()
-    slim = quiet_stretches(log).select("key", "event_id", "stretch", F.unix_micros("ts").alias("at"), F.col("tokens").cast("long").alias("tokens"))
-    ordered = slim.repartition("key", "stretch").sortWithinPartitions("key", "stretch", "at", "event_id")
+    ordered = rows.repartition("key", "piece").sortWithinPartitions("key", "piece", "at", F.col("given").desc(), "event_id")
 
-    def passes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, ledger = None, None
-        for pdf in batches:
+        for batch in batches:
             reasons = []
-            for key, stretch, at, tokens in zip(pdf["key"], pdf["stretch"], pdf["at"], pdf["tokens"]):
-                if (key, stretch) != current:
-                    current, ledger = (key, stretch), Ledger(rpm, tpm, daily)
-                reasons.append(ledger.decide(int(at), int(tokens)))
-            out = pdf[["key", "event_id"]].copy()
-            out["reason"] = reasons
-            out["admitted"] = out["reason"] == "ok"
-            yield out
-
-    return ordered.mapInPandas(passes, f"key {key_type}, event_id long, reason string, admitted boolean")
+            columns = [batch.column(c).to_pylist() for c in ("key", "piece", "at", "tokens", "given")]
+            for key, piece, at, tokens, given in zip(*columns):
+                if (key, piece) != current:
+                    current, ledger = (key, piece), Ledger(rpm, tpm, daily)
+                if given:
+                    ledger.entries.append((at, tokens))
+                reasons.append(None if given else ledger.decide(at, tokens))
+            table = pa.Table.from_batches([batch]).append_column("reason", pa.array(reasons, pa.string()))
+            yield from table.drop_columns(["given"]).to_batches()
+
+    schema = ordered.drop("given").schema.add("reason", "string")
+    return ordered.mapInArrow(passes, schema).where(F.col("reason").isNotNull())
+
+
+def _carried(decided: DataFrame, days: int) -> DataFrame:
+    """key, piece, admitted: what the ledger holds at the end of a piece, at most ``daily`` (at, event_id, tokens) in order."""
+    from_here = ((F.col("piece") + 1) * days - 1) * DAY * _MICROS
+    entry = F.when((F.col("reason") == "ok") & (F.col("at") >= from_here), F.struct("at", "event_id", "tokens"))
+    return decided.groupBy("key", "piece").agg(F.array_sort(F.collect_list(entry)).alias("admitted"))
+
+
+def admission_control(log: DataFrame, rpm: int = RPM, tpm: int = TPM, daily: int = DAILY, days: int = 7) -> DataFrame:
+    """key, event_id, admitted, reason: greedy admission in event order; only admitted requests use quota.
+
+    A decision depends on those of the trailing day, so timelines are cut into pieces of ``days`` days. First all
+    pieces run as if nothing had been admitted before; then a piece runs again, with what the piece before has
+    admitted in its last day, as long as that changed. A piece whose predecessor keeps those admissions is final:
+    the rounds end after the longest chain of changes (a change seldom outlives a piece, since limits that leave
+    slack or silences forget it), and later rounds touch only pieces in such chains. No task holds the life of a
+    key, and the result does not depend on ``days``. Events of a null key share one ledger; events of one instant
+    go by event_id.
+    """
+    at = F.unix_micros("ts")
+    events = settle(
+        log.select("key", F.floor(at / (days * DAY * _MICROS)).alias("piece"), F.col("event_id").cast("long").alias("event_id"), at.alias("at"), F.col("tokens").cast("long").alias("tokens"))
+        .withColumn("given", F.lit(False))
+        .repartition("key", "piece")
+    )
+    layers = [settle(_decided(events, rpm, tpm, daily).withColumn("round", F.lit(0)))]
+    pieces = settle(_carried(layers[0], days).withColumn("round", F.lit(0)))
+    changed = pieces.where(F.size("admitted") > 0)
+    while True:
+        # what a changed piece has admitted last is given to the next piece, where that has events
+        todo = _piece(pieces.select("key", "piece"), changed.select("key", (F.col("piece") + 1).alias("piece")), "left_semi")
+        if todo.isEmpty():
+            break
+        given = changed.select("key", (F.col("piece") + 1).alias("piece"), F.explode("admitted").alias("e"))
+        given = given.select("key", "piece", F.col("e.event_id").alias("event_id"), F.col("e.at").alias("at"), F.col("e.tokens").alias("tokens"), F.lit(True).alias("given"))
+        rows = _piece(events, todo, "left_semi").unionByName(_piece(given, todo, "left_semi"))
+        turn = len(layers)
+        layers.append(settle(_decided(rows, rpm, tpm, daily).withColumn("round", F.lit(turn))))
+        again = _carried(layers[-1], days).withColumnRenamed("admitted", "now")
+        pieces = settle(
+            _piece(pieces, again, "left").select(
+                "key", "piece", F.coalesce("now", "admitted").alias("admitted"),
+                F.when(F.col("now").isNotNull(), turn).otherwise(F.col("round")).alias("round"),
+                (F.col("now") != F.col("admitted")).alias("moved"),
+            )
+        )
+        changed = pieces.where("moved").drop("moved")
+        pieces = pieces.drop("moved")
+    decided = reduce(DataFrame.unionByName, layers)
+    last = _piece(decided, pieces.select("key", "piece", F.col("round").alias("last")), "inner").where(F.col("round") == F.col("last"))
+    return last.select("key", "event_id", "reason", (F.col("reason") == "ok").alias("admitted"))

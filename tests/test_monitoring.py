@@ -181,3 +181,16 @@ def test_sketched_quantiles_stay_within_their_bound(spark):
         own = [v for t, v in values[r["key"]] if end - 300 <= t < end]
         assert r["n"] == len(own) and abs(sum(v <= r["value"] for v in own) / len(own) - 0.9) < 3 / k + 1 / len(own)
     assert telemetry.sketched_quantiles(telemetry.quantile_sketches(log.where("v < 0"), "v")).collect() == []
+
+
+def test_admission_over_many_days_without_a_silence(spark):
+    """A key is busy for twelve days in four pieces, so a change in the first may travel through all; null keys count too."""
+    rng = random.Random(8)
+    rows = [(None if i % 5 == 0 else 1, i, T0 + dt.timedelta(seconds=rng.randrange(12 * 86_400)), rng.randrange(1, 50)) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA.replace("key string", "key int"))
+    got = quota.admission_control(df, 3, 70, 7, days=3).collect()
+    assert len(got) == 900 and {r["event_id"]: r["reason"] for r in got} == admit(rows, 3, 70, 7)
+    assert quota.admission_control(df.where("key = 2")).count() == 0
+    burst = [("a", i, T0 + dt.timedelta(days=3 * (i // 4), seconds=i), 60) for i in range(12)]  # at the cuts, across silences
+    got = quota.admission_control(spark.createDataFrame(burst, SCHEMA), 2, 100, 3, days=1).collect()
+    assert {r["event_id"]: r["reason"] for r in got} == admit(burst, 2, 100, 3)
