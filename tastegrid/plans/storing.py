@@ -342,13 +342,20 @@ def _(spark, d):
     return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    "stream_admission",
-    f"""WITH RECURSIVE {LOG}, {ADMISSION} SELECT key, event_id, reason, reason = 'ok' AS admitted FROM passed
-WHERE rn > 0 AND tick < (SELECT (epoch_ms(max(ts)) - 600000) * 1000 FROM events)""",
-)
+@query("stream_admission", f"WITH RECURSIVE {LOG}, {ADMISSION} SELECT key, event_id, reason, reason = 'ok' AS admitted FROM passed WHERE rn > 0")
 def _(spark, d):
-    """Streamed admission per user; the decisions of the events that the watermark has passed."""
-    log = log_stream(spark, d).withColumn("key", F.col("user_id"))
-    rows = jobs.run_available(jobs.stream_admission(log, 2, 60, 3), stores.scratch_folder(spark, "admission"))
+    """Streamed admission per user, all events decided: an end mark after the last event moves the watermark past it.
+
+    The mark itself waits behind the watermark, so it never gets a decision.
+    """
+    log = log_stream(spark, d).withColumn("key", F.col("user_id")).select("key", "event_id", "ts", "tokens")
+    last = tables.table(spark, d, "events").agg(F.max(tables.instant("ts")).alias("ts"))
+    mark = last.select(
+        F.lit(None).cast(log.schema["key"].dataType).alias("key"), F.lit(-1).cast(log.schema["event_id"].dataType).alias("event_id"),
+        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts"), F.lit(0).cast("long").alias("tokens"),
+    )
+    folder = stores.scratch_folder(spark, "admission")
+    mark.write.parquet(f"{folder}-end")
+    log = log.unionByName(spark.readStream.schema(log.schema).parquet(f"{folder}-end"))
+    rows = jobs.run_available(jobs.stream_admission(log, 2, 60, 3), folder)
     return rows.select("key", "event_id", "reason", "admitted")
