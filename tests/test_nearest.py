@@ -25,11 +25,10 @@ def test_heads_are_left_out_by_norm_and_ranges_are_exact(monkeypatch):
     asked = rng.normal(size=(20, 4))
     wave = nearest._Wave(np.arange(400), listed([(list(v), [], []) for v in docs]))
     queries = listed([(list(v), [], []) for v in asked])
-    tails, own = wave.tails(queries), np.full(20, -1)
-    places, scores = wave.head_best(queries.dense, tails, Asked(), own, 3, wave.chunks)
+    places, scores = wave.head_best(queries.dense, None, Asked(), np.full(20, -1), 3, wave.chunks)
     made = np.round(asked @ docs.T, 9)
     assert (places == np.argsort(-made, axis=1, kind="stable")[:, :3]).all()
-    reach = wave.reach(queries.dense, tails)
+    reach = wave.reach(queries.dense)
     whole = asked @ docs.T
     assert np.allclose(reach, np.stack([whole.min(axis=1), whole.max(axis=1)], axis=1), rtol=0, atol=1e-12)
     assert wave.scored < 0.5 * 3 * made.size  # three passes, most of the chunks left out
@@ -42,9 +41,11 @@ def test_heads_with_tails_and_ranked_documents(monkeypatch):
     heads, tails = rng.integers(-3, 4, (200, 3)) / 4, rng.integers(-2, 3, (200, 6)) * (rng.random((200, 6)) < 0.4)
     rows = [(list(h), list(np.flatnonzero(t)), list(t[np.flatnonzero(t)].astype(float))) for h, t in zip(heads, tails)]
     ranked = rng.random(200) < 0.5
+    rows[0] = (rows[0][0], rows[0][1] * 2, rows[0][2] * 2)  # a slot named twice counts once
     wave = nearest._Wave(np.arange(200), listed(rows), ranked)
+    rows[0] = (rows[0][0], rows[0][1][: len(rows[0][1]) // 2], rows[0][2][: len(rows[0][2]) // 2])
     queries = listed(rows[:30])
-    places, scores = wave.head_best(queries.dense, wave.tails(queries), Asked(), np.full(30, -1), 3, wave.chunks)
+    places, scores = wave.head_best(queries.dense, wave.contents(wave.tails(queries)), Asked(), np.full(30, -1), 3, wave.chunks)
     made = np.where(ranked, heads[:30] @ heads.T + tails[:30] @ tails.T, -np.inf)
     assert (places == np.argsort(-np.round(made, 9), axis=1, kind="stable")[:, :3]).all()
 
