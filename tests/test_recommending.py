@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,6 +53,42 @@ def test_shipped_and_joined_factors_agree(spark, monkeypatch, ratings):
             assert abs(rows[0][u] @ rows[1][i] - other[0][u] @ other[1][i]) < 1e-6
 
 
+def test_factors_in_slabs_agree_with_numpy(spark, monkeypatch):
+    """Blocks of several slabs on both sides."""
+    monkeypatch.setattr(factors, "FACTOR_BYTES", 0)
+    rng = np.random.default_rng(3)
+    n_users, n_items, n = 9000, 6000, 60_000
+    pairs = np.unique(np.column_stack([rng.integers(0, n_users, n), (n_items * rng.random(n) ** 3).astype(int)]), axis=0)
+    value = rng.integers(1, 6, len(pairs)).astype(float)
+    rows = spark.createDataFrame(pd.DataFrame({"user_id": pairs[:, 0], "item_id": pairs[:, 1], "rating": value}))
+    fitted = factors.fit_svd(rows, n_components=6, iterations=4)
+    u = {r[0]: r[1] for r in fitted.user_factors.collect()}
+    v = {r[0]: r[1] for r in fitted.item_factors.collect()}
+    assert set(u) == set(pairs[:, 0]) and set(v) == set(pairs[:, 1])
+    left, right = (np.array([x[k] for k in sorted(x)]) for x in (u, v))
+    place = [np.searchsorted(sorted(x), pairs[:, i]) for i, x in enumerate((u, v))]
+    product = np.zeros(left.shape)
+    np.add.at(product, place[0], value[:, None] * right[place[1]])
+    assert np.allclose(right.T @ right, np.eye(6), atol=1e-8)  # V is orthonormal, and U·Σ = ratings x V
+    assert np.allclose(product, left, atol=1e-8)
+    assert np.allclose(np.sqrt((left**2).sum(axis=0)), fitted.singular_values)
+
+
+def test_error_in_blocks_is_that_of_the_join(spark, monkeypatch, ratings):
+    """Repeated keys and ratings, nulls, and ratings without factors count as in the join."""
+    rng = np.random.default_rng(5)
+
+    def drawn(name, n):
+        rows = [(f"{name[0]}{i % n}", [float(x) for x in rng.normal(size=3)]) for i in range(n + 2)]
+        return spark.createDataFrame([*rows, (None, [1.0, 1.0, 1.0])], f"{name} string, vector array<double>")
+
+    users, items = drawn("user_id", 35), drawn("item_id", 30)
+    odd = ratings.unionAll(ratings.limit(30)).unionAll(spark.createDataFrame([(None, "i1", 5.0), ("u1", None, 5.0), ("u1", "i1", None)], ratings.schema))
+    joined = factors.train_mse(odd, users, items, dims=3).first()[0]
+    monkeypatch.setattr(factors, "FACTOR_BYTES", 0)
+    assert np.isclose(factors.train_mse(odd, users, items, dims=3).first()[0], joined, rtol=1e-9)
+
+
 def test_error_falls_with_more_components(spark, ratings):
     errors = []
     for k in (2, 8):
