@@ -18,6 +18,7 @@ from tastegrid.plans import experimenting, monitoring  # noqa: F401  their SQL i
 from tastegrid.plans.guarding import _INPUT_VIOLATIONS, SCREENED
 from tastegrid.plans.ratings import ORDER
 from tastegrid.plans.registry import ADMISSION, CONTENT, CORPUS, ITEMS, LOG, ORACLE, QA, RATINGS, query
+from tastegrid.session import written
 from tastegrid.sources import readers, stores, tables
 from tastegrid.streaming import jobs
 
@@ -135,7 +136,7 @@ def _(spark, d):
 
 def stored_model(spark: SparkSession, d: str) -> tuple[factors.Factors, dict]:
     path = stores.scratch_folder(spark, "model")
-    rated = clean_ratings(tables.raw_ratings(spark, d), ORDER)
+    rated = written(clean_ratings(tables.raw_ratings(spark, d), ORDER).select("user_id", "item_id", "rating"), "ratings")
     model = factors.fit_svd(rated)
     shape = matrix_shape(rated).first()
     stores.save_model(model, path, "v1", n_components=len(model.singular_values), n_users=shape["n_users"], n_items=shape["n_items"])
