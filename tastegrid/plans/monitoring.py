@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tastegrid.operators import drift, quota, telemetry
 from tastegrid.operators.ordering import split_at_fraction
 from tastegrid.plans.registry import ADMISSION, CORPUS, LOG, RATINGS, query
+from tastegrid.session import written
 from tastegrid.sources import tables
 from tastegrid.sources.tables import table
 
@@ -25,7 +26,8 @@ def stacked(spark: SparkSession, d: str) -> DataFrame:
     rows = tables.raw_ratings(spark, d).join(
         table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("item_id"), F.col("p_brand").alias("brand")), "item_id"
     )
-    return split_at_fraction(rows, ORDER)
+    # the split reads its rows several times: they are joined once
+    return split_at_fraction(written(rows, "ratings"), ORDER)
 
 
 _SPLIT = f"""{RATINGS}, numbered AS (SELECT r.*, p_brand AS brand, row_number() OVER (ORDER BY ts, o_key, line, item_id, rating) - 1 AS pos
@@ -46,7 +48,7 @@ cdf AS (SELECT v, lead(v) OVER (ORDER BY v) AS nv, CAST(sum(r) OVER (ORDER BY v)
     f"WITH {_SPLIT} SELECT part, CAST(count(*) AS BIGINT) AS n, sum(rating) AS total, min(ts) AS first_ts, max(ts) AS last_ts FROM st GROUP BY part",
 )
 def _(spark, d):
-    s = split_at_fraction(tables.raw_ratings(spark, d), ORDER)
+    s = split_at_fraction(written(tables.raw_ratings(spark, d), "ratings"), ORDER)
     return s.groupBy("part").agg(
         F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts")
     )

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastegrid.operators import drift, quantiles, quota, telemetry
+from tastegrid.plans import monitoring
 
 T0 = dt.datetime(2024, 1, 1)
 SCHEMA = "key string, event_id long, ts timestamp, tokens long"
@@ -17,6 +18,18 @@ def log(spark, n=400, keys=3, seconds=4000, seed=1):
     return rows, spark.createDataFrame(rows, SCHEMA)
 
 
+def test_rows_to_split_are_joined_once(spark, tmp_path):
+    """The split reads its rows several times; the join below them is not worked out each time."""
+    rows = 30
+    spark.range(rows).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(rows).selectExpr("id AS l_orderkey", "id % 5 AS l_partkey", "1 AS l_linenumber", "CAST(id AS DOUBLE) AS l_quantity").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(4).selectExpr("id AS p_partkey", "concat('b', id) AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    split = monitoring.stacked(spark, str(tmp_path))
+    assert "Join" not in split._jdf.queryExecution().optimizedPlan().toString()
+    parts = {r[0]: r[1] for r in split.groupBy("part").count().collect()}
+    assert parts == {"reference": 16, "current": 8}  # a part is missing
+
+
 def test_trailing_usage_against_brute_force(spark):
     rows, df = log(spark)
     got = {r["event_id"]: r for r in quota.trailing_usage(df, bucket_seconds=300, minute=60, day=600).collect()}
