@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tastegrid import schemas
 from tastegrid.operators import retrieval
 from tastegrid.operators.factors import Factors
-from tastegrid.session import ensure_checkpoint_dir
+from tastegrid.session import ensure_checkpoint_dir, spread
 from tastegrid.sources.readers import load_documents_csv, load_documents_json
 
 
@@ -94,7 +94,8 @@ def ingest(spark: SparkSession, source: str | DataFrame, source_type: str, index
         docs = load_documents_json(spark, source)
     else:
         raise ValueError(f"unknown source type: {source_type}")
-    embedded = retrieval.embed_text(docs, "content", model)
+    # a quoted file with line breaks is read by one task; the embedding is not left to it
+    embedded = retrieval.embed_text(spread(docs, "id"), "content", model)
     save_index(*retrieval.ivf_build(embedded, cells), index_path)
     return load_index(spark, index_path)[0].count()
 

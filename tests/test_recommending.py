@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tastegrid.operators import factors, nearest, recommending, retrieval
+from tastegrid.operators import factors, nearest, recommending, retrieval, tfidf
 
 
 @pytest.fixture(scope="module")
@@ -97,6 +97,15 @@ def test_error_falls_with_more_components(spark, ratings):
     assert errors[1] < errors[0]
 
 
+def test_sums_of_one_kind_are_those_of_both(spark):
+    docs = spark.createDataFrame([(0, "red cat red cat"), (1, "cat"), (2, None), (3, "the")], "id long, text string")
+    terms = tfidf.doc_terms(docs, "text")
+    both = {r["term"]: (r["total"], r["df"]) for r in tfidf.term_sums(terms).collect()}
+    assert {r["term"]: r["total"] for r in tfidf.term_totals(terms).collect()} == {t: n for t, (n, _) in both.items()}
+    assert {r["term"]: r["df"] for r in tfidf.term_documents(terms).collect()} == {t: n for t, (_, n) in both.items()}
+    assert both["red cat"] == (2, 1) and both["cat"] == (3, 2)
+
+
 def vectors(spark, n, name, seed, dim=6):
     rng = np.random.default_rng(seed)
     # many equal vectors: ties must go to the lowest id

@@ -184,3 +184,13 @@ def test_dedup_keeps_one_per_key(spark, arrivals):
     stream = jobs.read_table_stream(spark, path, files_per_trigger=1).withColumn("cache_key", F.col("tokens"))
     got = jobs.run_available(jobs.dedup_prompts(stream.select("ts", "cache_key")), str(root / "d"))
     assert got.count() == batch.select("tokens").distinct().count()
+
+
+def test_embedding_of_one_file_is_spread(spark, tmp_path, monkeypatch):
+    """A documents file that one task reads is embedded by as many tasks as there are cores."""
+    rows = [(i, f"T{i}", "g", "a\nb", 1999, "d") for i in range(40)]
+    docs = spark.createDataFrame(rows, "id long, title string, genre string, content string, year int, director string").coalesce(1)
+    seen, embed = [], stores.retrieval.embed_text
+    monkeypatch.setattr(stores.retrieval, "embed_text", lambda df, *a: seen.append(df.rdd.getNumPartitions()) or embed(df, *a))
+    assert stores.ingest(spark, docs, "table", f"{tmp_path}/index") == 40
+    assert seen[0] >= spark.sparkContext.defaultParallelism
