@@ -316,6 +316,40 @@ def test_keyword_points_agree_with_brute_force(spark, monkeypatch, small):
     assert sorted((r["query_id"], r["id"], r["score"], r["rank"]) for r in got) == sorted(want)
 
 
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("same", [False, True])
+def test_sparse_queries_travel_to_the_documents(spark, monkeypatch, small, same):
+    """The documents are not collected; ties, repeated ids and documents in many portions."""
+    if small:
+        monkeypatch.setattr(nearest, "LIST_NUMBERS", 40)
+        monkeypatch.setattr(nearest, "WAVE_BYTES", 3000)
+    rng = np.random.default_rng(8)
+
+    def sparse(n):
+        slots = [sorted(map(int, rng.choice(30, rng.integers(0, 8), replace=False))) for _ in range(n)]
+        return [(i - i % 50 // 49, ([], s, [float(x) for x in rng.integers(-1, 4, len(s)) / 2])) for i, s in enumerate(slots)]
+
+    queries, docs = sparse(70), sparse(300)
+    kind = "vector struct<dense: array<double>, slots: array<int>, weights: array<double>>"
+    q, d = spark.createDataFrame(queries, f"query_id long, {kind}"), spark.createDataFrame(docs, f"id long, {kind}").repartition(3)
+    sent, waves = [], nearest.waves
+    monkeypatch.setattr(nearest, "waves", lambda df, key, vector: sent.append(key) or waves(df, key, vector))
+    want = []
+    if not same:
+        for qid, (_, qs, qw) in queries:
+            asked = dict(zip(qs, qw))
+            want.append((qid, sorted((-sum(asked.get(s, 0.0) * w for s, w in zip(ds, dw)), i) for i, (_, ds, dw) in docs)))
+        # ids come twice: the rows of both queries compete
+        want = sorted((qid, i, -v) for qid in {x for x, _ in queries} for v, i in sorted(y for x, r in want if x == qid for y in r)[:4] if v <= -0.5)
+        got = nearest.topk_inner_product(q, d, 4, min_score=0.5, route="queries").collect()
+    else:
+        want = sorted(tuple(r)[:3] for r in nearest.topk_inner_product(q, d, 4, exclude_same=True, min_score=0.5, route="pair").collect())
+        sent.clear()
+        got = nearest.topk_inner_product(q, d, 4, exclude_same=True, min_score=0.5, route="queries").collect()
+    assert sorted(tuple(r)[:3] for r in got) == want and len(want) > 150
+    assert sent == ["query_id"]
+
+
 def test_unknown_embedding_model(spark):
     with pytest.raises(ValueError):
         retrieval.embed_text(spark.range(1), "id", "no_such_model")
