@@ -119,3 +119,19 @@ def test_text_edges(spark):
     parsed = text.parse_json_response(F.col("p"), "title string")["title"]
     assert one(spark, parsed, "p string", '```json\n{"title": "x"}\n```') == "x"
     assert one(spark, parsed, "p string", "no json") is None
+
+
+def test_documents_as_shown_give_the_same_prompts(spark):
+    fields = "id long, title string, genre string, year int, rating double, director string, cast string, plot string"
+    docs = spark.createDataFrame(
+        [(1, "T" * 400, "g", 1999, 0.5, "d", "", "ä𝄞" * 500), (2, None, None, None, None, None, None, None), (3, "t", "g", 1, 1.0, "d", "c", "short")], fields
+    )
+    shown = prompting.as_shown(docs)
+
+    def prompts(rows):
+        asked = rows.agg(F.array_sort(F.collect_list(F.struct(*rows.columns))).alias("context")).withColumn("query", F.lit("q"))
+        return {r["strategy"]: r["prompt"] for r in prompting.build_prompts(asked).collect()}
+
+    assert prompts(shown) == prompts(docs)
+    widths = {r["id"]: (r["title"], r["plot"]) for r in shown.select("id", F.length("title").alias("title"), F.length("plot").alias("plot")).collect()}
+    assert widths == {1: (400, 300), 2: (None, None), 3: (1, 5)}
