@@ -22,13 +22,17 @@ STOP_WORDS = (
     "which while who whom why will with would you your yours yourself yourselves"
 ).split()
 MAX_FEATURES = 1000
+MIN_LETTERS = 2
+
+
+def _runs(text: Column) -> Column:
+    """Lower-cased word runs; accented letters are letters, anything else splits."""
+    return F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased word runs of two or more characters, stop words removed."""
-    # accented letters are letters; anything else splits
-    found = F.split(F.lower(text), r"[^\p{L}\p{N}_]+")
-    return F.filter(found, lambda t: (F.length(t) >= 2) & ~t.isin(*STOP_WORDS))
+    return F.filter(_runs(text), lambda t: (F.length(t) >= MIN_LETTERS) & ~t.isin(*STOP_WORDS))
 
 
 def _with_pairs(found: Column) -> Column:
@@ -125,18 +129,41 @@ def fit_tfidf(docs: DataFrame, text: str, id_col: str = "id", max_features: int
     return terms.mapInArrow(scale, f"`{id_col}` {kind}, term string, weight double")
 
 
+def term_counts(docs: DataFrame, text: str, id_col: str = "id") -> DataFrame:
+    """id, term, tf: the ``tokens`` of each row counted in its own task, without a shuffle; rows of equal ids are counted apart."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stop = pa.array(STOP_WORDS, pa.string())
+        for b in batches:
+            found = b.column(1).flatten().dictionary_encode()
+            names, slot = found.dictionary, found.indices.to_numpy(zero_copy_only=False)
+            kept = pc.and_(pc.greater_equal(pc.utf8_length(names), MIN_LETTERS), pc.invert(pc.is_in(names, value_set=stop)))
+            row = np.repeat(np.arange(b.num_rows), b.column(1).value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            known = kept.to_numpy(zero_copy_only=False)[slot]
+            many = max(len(names), 1)
+            key, tf = np.unique(row[known] * many + slot[known], return_counts=True)
+            columns = [b.column(0).take(pa.array(key // many)), names.take(pa.array(key % many)), pa.array(tf)]
+            yield pa.RecordBatch.from_arrays(columns, [id_col, "term", "tf"])
+
+    return docs.select(id_col, _runs(F.col(text)).alias("runs")).mapInArrow(count, f"`{id_col}` {kind}, term string, tf long")
+
+
 def hashed_vectors(docs: DataFrame, text: str, id_col: str = "id", dim: int = 384) -> DataFrame:
     """id, bucket, weight: TF-IDF folded into ``dim`` md5 buckets, unit length (the offline text embedding)."""
-    counts = docs.select(id_col, F.explode(tokens(F.col(text))).alias("term")).groupBy(id_col, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
-    n_docs = docs.count()
+    counts = term_counts(docs, text, id_col)
+    n_docs, n_ids = docs.agg(F.count(F.lit(1)), F.countDistinct(id_col)).first()
+    if n_ids < n_docs:  # rows of one id are one document
+        counts = counts.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
     by_term = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     freq = doc_frequency(by_term, n_docs).select(
         "term", "idf", (F.conv(F.substring(F.md5("term"), 1, 8), 16, 10).cast("long") % dim).cast("int").alias("bucket")
     )
+    # dealt by document once, for the sums and for the length
     raw = (
         counts.join(freq, "term")
+        .select(id_col, "bucket", "tf", "idf")
+        .repartition(id_col)
         .groupBy(id_col, "bucket")
         .agg(F.sum(F.col("tf") * F.col("idf")).alias("_w"))
     )

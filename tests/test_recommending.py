@@ -1,3 +1,7 @@
+import hashlib
+import re
+from collections import Counter, defaultdict
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -350,6 +354,29 @@ def test_sparse_queries_travel_to_the_documents(spark, monkeypatch, small, same)
     assert sent == ["query_id"]
 
 
+@pytest.mark.parametrize("twice", [False, True])
+def test_hashed_vectors_shuffle_terms_without_counting_again(spark, twice):
+    """Terms are counted where the text is; rows of one id are one document; empty and null texts have no rows."""
+    texts = ["The blue SEA, the sea! Über a x", "", None, "sea sky", "the of and", "Über_1 sky sky " * 50]
+    rows = [(i, t) for i, t in enumerate(texts)] + ([(3, "sky new"), (None, "sea"), (None, "sky")] if twice else [])
+    docs = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    bags = defaultdict(Counter)
+    for i, t in rows:
+        bags[i].update(w for w in re.split(r"\W+", (t or "").lower()) if len(w) >= 2 and w not in tfidf.STOP_WORDS)
+    df = Counter(w for bag in bags.values() for w in bag)
+    want = defaultdict(float)
+    for i, bag in bags.items():
+        for w, n in bag.items():
+            want[i, int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 384] += n * (np.log((1 + len(rows)) / (1 + df[w])) + 1)
+    norm = {i: sum(w * w for (j, _), w in want.items() if j == i) ** 0.5 for i in bags}
+    got = tfidf.hashed_vectors(docs, "text")
+    found = {(r["id"], r["bucket"]): r["weight"] for r in got.collect()}
+    assert found.keys() == want.keys() and all(abs(found[key] - w / norm[key[0]]) < 1e-12 for key, w in want.items())
+    if not twice:
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(id" in plan and not re.search(r"hashpartitioning\(id#\d+L?, (term|bucket)", plan)
+
+
 def test_unknown_embedding_model(spark):
     with pytest.raises(ValueError):
         retrieval.embed_text(spark.range(1), "id", "no_such_model")
