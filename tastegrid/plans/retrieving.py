@@ -45,8 +45,7 @@ lq AS (SELECT CAST(label AS BIGINT) AS query_id, list_transform(m, lambda x: x /
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
     """The corpus with its searchable text and the fallback embedding of it."""
-    docs = tables.with_content(tables.corpus(spark, d))
-    return retrieval.embed_text(docs, "content", "digest_core")
+    return tables.corpus(spark, d, lambda docs: retrieval.embed_text(tables.with_content(docs), "content", "digest_core"))
 
 
 def queries(spark: SparkSession, d: str) -> DataFrame:

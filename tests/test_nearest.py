@@ -80,3 +80,74 @@ def test_the_core_of_the_digest_embedding_gives_the_same_cosines(spark):
     texts = spark.createDataFrame([(i, f"text {i}") for i in range(20)], "id long, text string")
     whole, core = (np.array([r["vector"] for r in retrieval.embed_text(texts, "text", m).orderBy(F.col("id")).collect()]) for m in ("digest", "digest_core"))
     assert core.shape == (20, 16) and np.allclose(whole @ whole.T, core @ core.T, rtol=0, atol=1e-12)
+
+
+def asked_of(wave, docs, asked, k, min_score=None, exclude_same=False):
+    """(ids, scores) of a search's rows beside brute force."""
+    search = object.__new__(nearest._Search)
+    search.k, search.digits, search.exclude_same, search.min_score, search.extent, search.scale = k, 6, exclude_same, min_score, False, None
+    search.names, search.types = ["q", "d", "score"], [pa.int64(), pa.int64(), pa.float64()]
+    kind = pa.struct([("dense", pa.list_(pa.float64())), ("slots", pa.list_(pa.int32())), ("weights", pa.list_(pa.float64()))])
+    vectors = pa.array([{"dense": list(v), "slots": [], "weights": []} for v in asked], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(asked)), pa.int64()), vectors], names=["q", "v"])
+    got = pa.Table.from_batches(list(search.stream(wave, [batch]))).to_pylist()
+    found = {(r["q"], r["d"], r["score"]) for r in got}
+    made = np.round(asked @ docs.T, 6)
+    if exclude_same:
+        made[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
+    if min_score is not None:
+        made[made < min_score] = -np.inf
+    order = np.argsort(-made, axis=1, kind="stable")[:, :k]
+    return found, {(q, int(i), made[q, i]) for q in range(len(asked)) for i in order[q] if np.isfinite(made[q, i])}
+
+
+def unit(v):
+    return v / np.sqrt((v * v).sum(axis=1))[:, None]
+
+
+def test_a_query_meets_only_cells_whose_signs_it_shares():
+    rng = np.random.default_rng(5)
+    docs, asked = unit(rng.integers(-127, 128, (40_000, 10)) / 127.5), unit(rng.normal(size=(300, 10)))
+    wave = nearest._Wave(np.arange(40_000), listed([(list(v), [], []) for v in docs]))
+    for k, least in ((5, 0.1), (5, 0.8), (1, None)):
+        wave.scored = 0
+        got, due = asked_of(wave, docs, asked, k, least)
+        assert got == due
+        assert wave.scored < 0.5 * len(asked) * len(docs)
+
+
+def test_cells_of_copies_zeros_and_one_sign(monkeypatch):
+    monkeypatch.setattr(nearest, "FEWEST", 16)
+    monkeypatch.setattr(nearest, "CHUNK", 64)
+    monkeypatch.setattr(nearest, "PAIR_NUMBERS", 500)
+    rng = np.random.default_rng(6)
+    docs = unit(rng.integers(-2, 3, (3000, 5)) + 0.25)
+    docs[rng.random(3000) < 0.4] = docs[0]  # copies tie, the lowest ids win
+    docs[:40, 2], docs[40] = 0.0, 0.0
+    docs[60:, 4] = np.abs(docs[60:, 4])
+    wave = nearest._Wave(np.arange(3000), listed([(list(v), [], []) for v in docs]))
+    for least in (None, 0.1, 0.95, 2.0):
+        for same in (False, True):
+            got, due = asked_of(wave, docs, docs[:200], 7, least, same)
+            assert got == due
+    positive = unit(rng.random((3000, 6)))
+    wave = nearest._Wave(np.arange(3000), listed([(list(v), [], []) for v in positive]))
+    got, due = asked_of(wave, positive, -positive[:50], 4)
+    assert got == due
+
+
+def test_documents_of_several_waves_are_read_by_piece(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERY_BATCH_ROWS", 3)
+    monkeypatch.setattr(nearest, "WAVE_BYTES", 4000)
+    monkeypatch.setattr(nearest, "PIECE_BYTES", 2000)
+    rng = np.random.default_rng(7)
+    vectors = unit(rng.normal(size=(150, 4)))
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(999, None)], "id long, vector array<double>")
+    asked = spark.createDataFrame([(f"q{i}", [float(x) for x in vectors[i]]) for i in range(20)] + [("q", None)], "query_id string, vector array<double>")
+    got = {(r["query_id"], r["rank"], r["id"]) for r in nearest.topk_inner_product(asked, docs, 3, digits=6).collect()}
+    made = np.round(vectors[:20] @ vectors.T, 6)
+    order = np.argsort(-made, axis=1, kind="stable")[:, :3]
+    assert got == {(f"q{i}", r + 1, int(d)) for i in range(20) for r, d in enumerate(order[i])}
+    settled = nearest.settle(docs.where("vector is not null"))
+    pieces = [piece for wave in nearest.waves(settled, "id", "vector") for piece in wave]
+    assert len(pieces) == 4 and sorted(i for p in pieces for i in p["id"].to_pylist()) == list(range(150))
