@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tastegrid.operators import nearest, recommending, retrieval
+from tastegrid.plans import retrieving
 
 
 def listed(rows):
@@ -151,3 +152,12 @@ def test_documents_of_several_waves_are_read_by_piece(spark, monkeypatch):
     settled = nearest.settle(docs.where("vector is not null"))
     pieces = [piece for wave in nearest.waves(settled, "id", "vector") for piece in wave]
     assert len(pieces) == 4 and sorted(i for p in pieces for i in p["id"].to_pylist()) == list(range(150))
+
+
+def test_texts_do_not_travel_for_embeddings(spark, tmp_path):
+    spark.createDataFrame([(1, "Ab c", "en", "web")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = retrieving.corpus(spark, str(tmp_path))
+    plan = docs.select("id", "vector")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" in plan.split("Join", 1)[-1]  # worked out below the join
+    assert docs.columns == ["id", "title", "genre", "plot", "year", "rating", "director", "content", "vector"]
