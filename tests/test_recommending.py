@@ -78,6 +78,19 @@ def test_factors_in_slabs_agree_with_numpy(spark, monkeypatch):
     assert np.allclose(np.sqrt((left**2).sum(axis=0)), fitted.singular_values)
 
 
+def test_blocks_of_many_users_agree_with_the_columns(spark, monkeypatch):
+    """A block of more than 32,768 users: the places of its slabs are beyond 16 bits."""
+    monkeypatch.setattr(factors, "FACTOR_BYTES", 0)
+    rows = spark.range(280_000).select(
+        F.col("id").alias("user_id"), (F.col("id") % 3).alias("item_id"), (F.col("id") % 5 + 1).cast("double").alias("rating")
+    )
+    assert 280_000 / spark.sparkContext.defaultParallelism > 1 << 15
+    found = factors.fit_svd(rows, n_components=2, iterations=1)
+    # every user rates one item, so the singular values are the lengths of the items' columns
+    squares = sorted((sum((i % 5 + 1) ** 2 for i in range(item, 280_000, 3)) for item in range(3)), reverse=True)
+    np.testing.assert_allclose(found.singular_values, np.sqrt(squares[:2]), rtol=1e-9)
+
+
 def test_error_in_blocks_is_that_of_the_join(spark, monkeypatch, ratings):
     """Repeated keys and ratings, nulls, and ratings without factors count as in the join."""
     rng = np.random.default_rng(5)
