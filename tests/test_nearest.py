@@ -154,6 +154,25 @@ def test_documents_of_several_waves_are_read_by_piece(spark, monkeypatch):
     assert len(pieces) == 4 and sorted(i for p in pieces for i in p["id"].to_pylist()) == list(range(150))
 
 
+def test_documents_of_several_waves_do_not_pass_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "QUERY_BATCH_ROWS", 3)
+    monkeypatch.setattr(nearest, "WAVE_BYTES", 4000)
+    monkeypatch.setattr(nearest, "PIECE_BYTES", 300)
+    monkeypatch.setattr(nearest, "_streamed", None)  # ships documents by broadcast
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(300, 4))
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)], "id long, vector array<double>")
+    asked = spark.createDataFrame([(f"q{i}", [float(x) for x in vectors[i]]) for i in range(40)], "query_id string, vector array<double>")
+    made = vectors[:40] @ vectors.T
+    got = {(r["query_id"], r["rank"], r["id"]) for r in nearest.topk_inner_product(asked, docs, 3, digits=6).collect()}
+    order = np.argsort(-np.round(made, 6), axis=1, kind="stable")[:, :3]
+    assert got == {(f"q{i}", r + 1, int(d)) for i in range(40) for r, d in enumerate(order[i])}
+    reach = {r["query_id"]: r for r in nearest.score_range(asked, docs, "query_id", "id").collect()}
+    assert len(reach) == 40 and {r["n_items"] for r in reach.values()} == {300}
+    for i in range(40):
+        np.testing.assert_allclose([reach[f"q{i}"][c] for c in ("min_score", "max_score")], [made[i].min(), made[i].max()])
+
+
 def test_texts_do_not_travel_for_embeddings(spark, tmp_path):
     spark.createDataFrame([(1, "Ab c", "en", "web")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
